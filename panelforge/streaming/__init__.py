@@ -1,0 +1 @@
+"""The panel engine has no streaming operators: every source is a bounded table."""
