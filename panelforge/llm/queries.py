@@ -7,10 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelforge.llm import decontaminate, langid, packing, toxicity
+from panelforge.llm import chat, covertree, decontaminate, langid, lm, minhash, packing, toxicity
 from panelforge.llm.common import crc_of_id, read_table
 
 
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.collapse_and_render(read_table(spark, sf_dir, "conversations"))
+
+
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = covertree.quantise(read_table(spark, sf_dir, "embeddings"))
+    return covertree.search(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
@@ -21,6 +34,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (crc_of_id() % 4 == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     lexicon = toxicity.train(docs, read_table(spark, sf_dir, "labels", "doc_id", "toxic"))
@@ -42,10 +59,104 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_formatting": op1_chat_formatting,
+    "op2_exact_topk": op2_exact_topk,
+    "op3_lm_scoring": op3_lm_scoring,
     "op5_packing": op5_packing,
     "op7_language_id": op7_language_id,
+    "op8_minhash_dedup": op8_minhash_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_chat_formatting": """
+WITH numbered AS (
+  SELECT conv_id, role, text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS n
+  FROM conversations WHERE conv_id IS NOT NULL
+), spelled AS (
+  SELECT conv_id, n,
+         string_agg(coalesce('s' || length(role) || ':' || role, 'n') || coalesce('s' || length(text) || ':' || text, 'n'), '|')
+           OVER (PARTITION BY conv_id ORDER BY n) AS prefix,
+         string_agg('<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || chr(10) || '<|end|>' || chr(10), '')
+           OVER (PARTITION BY conv_id ORDER BY n) AS rendered,
+         count(*) OVER (PARTITION BY conv_id) AS n_turns
+  FROM numbered
+), whole AS (
+  SELECT prefix, min(conv_id) AS conv_id, min(n_turns) AS n_turns, count(*) AS n_copies, min(rendered) AS rendered
+  FROM spelled WHERE n = n_turns GROUP BY prefix
+)
+SELECT conv_id, n_turns, n_copies, rendered FROM whole
+WHERE prefix NOT IN (SELECT prefix FROM spelled WHERE n < n_turns)
+""",
+    "op2_exact_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
+    "op8_minhash_dedup": """
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 4], ' ') END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id
+  GROUP BY x.doc_id, y.doc_id
+  HAVING 100 * count(*) >= 85 * ((SELECT n FROM sizes WHERE doc_id = x.doc_id) + (SELECT n FROM sizes WHERE doc_id = y.doc_id) - count(*))
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), components AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN components USING (doc_id)
+""",
+    "op10_decontamination": """
+WITH letters AS (
+  SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS big, 'abcdefghijklmnopqrstuvwxyz' AS small
+), doc_words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), big, small), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents, letters
+), item_words AS (
+  SELECT item_id, regexp_extract_all(translate(text, big, small), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark, letters WHERE item_id IS NOT NULL AND text IS NOT NULL
+), windows AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS size, array_to_string(w[i:i + 12], ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM item_words WHERE len(w) > 0)
+), sizes AS (
+  SELECT DISTINCT size FROM windows
+), places AS (
+  SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS s
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM doc_words, sizes WHERE len(w) >= size)
+), hits AS (
+  SELECT p.doc_id, p.i, p.size, k.item_id FROM places p JOIN windows k ON p.s = k.s AND p.size = k.size
+), counted AS (
+  SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS pos FROM hits) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc_words d LEFT JOIN counted USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+}
