@@ -1,10 +1,54 @@
-"""The corpus pipeline: documents through toxicity, near-dedup, decontamination, PII and packing."""
+"""The corpus pipeline: documents through toxicity, near-dedup, decontamination, PII and packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; all but the last return the columns of
+documents. Documents without an id can't be told apart by one and are never taken for copies.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from panelforge.llm import decontaminate, minhash, packing, pii, toxicity
+from panelforge.llm.common import read_table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    lexicon = toxicity.train(docs, read_table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return toxicity.score_toxicity(docs, lexicon).where("predicted = 0").select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked at five-word similarity 0.8 or more the smallest doc_id stays."""
+    found = minhash.near_duplicates(docs.select("doc_id", "text"), percent=80, banding=minhash.Banding(rows=9))
+    return docs.join(found.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(docs, read_table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return found.where(~decontaminate.is_contaminated(F.col("n_words"), F.col("n_hit"))).select(*docs.columns)
+
+
+def replace_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    out = pii.replace_entities(docs)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("n_entities") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("pii", replace_pii),
+    ("packing", pack_sequences),
+]
 
-STAGES: list = []
+#: Toxicity scores and token ids are beyond SQL; tests hold the pipeline against a brute-force version.
 ORACLE_SQL = None
 
 

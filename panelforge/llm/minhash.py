@@ -155,7 +155,7 @@ def forest(n: int, pairs: tuple[np.ndarray, np.ndarray]) -> list[tuple[int, int]
 
 
 def near_duplicates(
-    docs: DataFrame, *, shingle_words: int = 5, percent: int = 85, banding: Banding = Banding(), block_sets: int = BLOCK_SETS, block_shingles: int = BLOCK_SHINGLES
+    docs: DataFrame, *, shingle_words: int = 5, percent: int = 80, banding: Banding = Banding(), block_sets: int = BLOCK_SETS, block_shingles: int = BLOCK_SHINGLES
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of each row of ``docs`` (doc_id, text).
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelforge.llm import chat, covertree, decontaminate, langid, lm, minhash, packing, toxicity
+from panelforge.llm import chat, covertree, decontaminate, langid, lm, minhash, packing, pii, secrets, toxicity
 from panelforge.llm.common import crc_of_id, read_table
 
 
@@ -24,10 +24,19 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.replace_entities(read_table(spark, sf_dir, "documents"))
+    return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.find_secrets(read_table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     out = langid.predict(docs, langid.train(docs), keep=["doc_id"])
@@ -35,7 +44,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents", "doc_id", "text"), percent=85)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +71,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_exact_topk": op2_exact_topk,
     "op3_lm_scoring": op3_lm_scoring,
+    "op4_pii_surrogates": op4_pii_surrogates,
     "op5_packing": op5_packing,
+    "op6_secret_scan": op6_secret_scan,
     "op7_language_id": op7_language_id,
     "op8_minhash_dedup": op8_minhash_dedup,
     "op9_toxicity": op9_toxicity,
