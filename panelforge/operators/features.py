@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -104,7 +105,10 @@ BROADCAST_CODES = 200_000
 
 def encode(df: DataFrame, codes: DataFrame, columns=S.ENCODED_COLUMNS) -> DataFrame:
     """``{column}_enc`` by left joins; -1 for a value that was not there when the codes were fitted."""
-    small = codes.limit(BROADCAST_CODES + 1).count() <= BROADCAST_CODES
+    known = codes.limit(BROADCAST_CODES + 1).collect()
+    small = len(known) <= BROADCAST_CODES
+    if small:  # computed once, not once for each column
+        codes = df.sparkSession.createDataFrame(known, codes.schema)
     for c in columns:
         if c in df.columns:
             dim = codes.where(F.col("column") == c).select(F.col("value").alias(c), F.col("code").alias(f"{c}_enc"))
@@ -145,6 +149,7 @@ def build(df: DataFrame, config: S.FeatureConfig = S.FeatureConfig(), *, guard:
     if guard:
         require_input(df)
     columns = df.columns
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)  # read by the codes, the group means and the windows
     out = df.withColumns(lag_features(config.lags))
     if config.windows:
         out = out.withColumns(rolling_features(config.windows, config.stats, f"sales_lag_{config.horizon}"))

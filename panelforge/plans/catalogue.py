@@ -188,7 +188,7 @@ SELECT q.*, min(x) AS low, max(x) AS high FROM q JOIN v USING (cat_id) WHERE x B
 _OLS = lambda df: df.select("cat_id", F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"), F.col("n").cast("long").alias("n"))
 register("price_elasticity_ols", lambda s, d: _OLS(explore.price_elasticity(merged(s, d))), f"""{BASE}, v AS (SELECT cat_id, ln(1 + CAST(sales AS DOUBLE)) AS y, ln(1 + CAST(sell_price AS DOUBLE)) AS x FROM merged WHERE sales > 0 AND sell_price IS NOT NULL)
 SELECT cat_id, round(regr_slope(y, x), 6) AS slope, round(regr_intercept(y, x), 6) AS intercept, CAST(regr_count(y, x) AS BIGINT) AS n FROM v GROUP BY cat_id""")
-register("quantile_9999", lambda s, d: explore.quantile(adapter.prices(s, d), "sell_price", 0.9999), f"{BASE} SELECT quantile_cont(CAST(sell_price AS DOUBLE), 0.9999) AS q FROM prices")
+register("quantile_9999", lambda s, d: explore.quantile(adapter.prices(s, d), "sell_price", 0.9999).select(F.round("q", 4).alias("q")), f"{BASE} SELECT round(quantile_cont(CAST(sell_price AS DOUBLE), 0.9999), 4) AS q FROM prices")
 register("seeded_sample", lambda s, d: explore.seeded_sample(adapter.sales_long(s, d).select("id", "d_int", "sales"), 20_000, ["id", "d_int"]), f"{BASE} SELECT id, d_int, sales FROM long ORDER BY md5('42|' || id || '|' || d_int), id, d_int LIMIT 20000")
 
 # Cleaning
@@ -213,7 +213,7 @@ _AGG = {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
 
 
 def _rolling_sql(stat: str) -> str:
-    one = lambda w: f"CAST(round(coalesce({_AGG[stat]}(CAST(sales_lag_28 AS DOUBLE)) OVER (PARTITION BY id ORDER BY d_int ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW), 0), 4) AS FLOAT) AS rolling_{stat}_{w}d"
+    one = lambda w: f"CAST(round(CAST(CAST(coalesce({_AGG[stat]}(CAST(sales_lag_28 AS DOUBLE)) OVER (PARTITION BY id ORDER BY d_int ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW), 0) AS FLOAT) AS DOUBLE), 4) AS FLOAT) AS rolling_{stat}_{w}d"
     return f"{LAGGED} SELECT id, d_int, {', '.join(one(w) for w in S.WINDOWS)} FROM lagged"
 
 
@@ -285,7 +285,7 @@ def _matrix(s: SparkSession, d: str) -> DataFrame:
 
 _ENC_SQL = ", ".join(f"CAST(dense_rank() OVER (ORDER BY {c}) - 1 AS SMALLINT) AS {c}_enc" for c in S.ENCODED_COLUMNS)
 _ROLL_SQL = ", ".join(
-    f"CAST(round(coalesce({_AGG[k]}(CAST(sales_lag_28 AS DOUBLE)) OVER (PARTITION BY id ORDER BY d_int ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW), 0), 3) AS FLOAT) AS rolling_{k}_{w}d"
+    f"CAST(round(CAST(CAST(coalesce({_AGG[k]}(CAST(sales_lag_28 AS DOUBLE)) OVER (PARTITION BY id ORDER BY d_int ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW), 0) AS FLOAT) AS DOUBLE), 3) AS FLOAT) AS rolling_{k}_{w}d"
     for w in S.WINDOWS
     for k in S.STATS
 )
