@@ -204,6 +204,8 @@ def predict(docs: DataFrame, network: Network, *, text_col: str = "text", keep:
     table: list[np.ndarray] = []
 
     def work(texts: list) -> dict:
+        if not network.languages:
+            return {"lang_pred": [UNDETERMINED] * len(texts), "score": [0.0] * len(texts)}
         split = [segments_of(t) for t in texts]
         fresh = list({s for words in split for s in words} - place.keys())
         if len(place) + len(fresh) > REMEMBERED:
@@ -215,7 +217,7 @@ def predict(docs: DataFrame, network: Network, *, text_col: str = "text", keep:
         table[:] = [np.concatenate([*table, scores])]
         labels, best = [], []
         for text, words in zip(texts, split):
-            if not words or not network.languages or not _LETTER.search(text):
+            if not words or not _LETTER.search(text):
                 labels.append(UNDETERMINED)
                 best.append(0.0)
                 continue

@@ -185,17 +185,15 @@ def near_duplicates(
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     grouped = dealt.join(texts, "doc_id").repartition("leader", "low", "high").sortWithinPartitions("leader", "low", "high", "doc_id")
 
-    edges = _verified(grouped, shingle_words, percent).distinct()
-    components = connected_components(edges)
     classes = known.groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    several = known.groupBy("doc_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x <> y")
+    same = known.join(several, "doc_id", "left_semi").join(classes, "digest").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    components = connected_components(_verified(grouped, shingle_words, percent).unionByName(same))
     where = classes.join(components, classes.rep == components.node, "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
-    joined = signed.join(where, "digest", "left")
-    return joined.select(
-        "doc_id",
-        "n_shingles",
-        F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce(F.col("doc_id") == F.coalesce("component_id", "doc_id"), F.lit(True)).alias("kept"),
-    )
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    joined = signed.join(where, "digest", "left").withColumn("component_id", component)
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    return joined.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
 def _verified(grouped: DataFrame, shingle_words: int, percent: int) -> DataFrame:
