@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.functions import schema as S
-from panelforge.functions.scalars import day_index, null_count, safe_divide
+from panelforge.functions.scalars import day_index, null_count, number, safe_divide
 from panelforge.operators import clean as C
 from panelforge.operators import enrich, explore, inventory, reshape, validate
 from panelforge.operators import features as X
@@ -155,6 +155,15 @@ UNION ALL SELECT 'p_name', 'string', count(DISTINCT p_name) / count(*) < 0.5 FRO
 UNION ALL SELECT 'p_brand', 'string', count(DISTINCT p_brand) / count(*) < 0.5 FROM part
 UNION ALL SELECT 'p_type', 'string', count(DISTINCT p_type) / count(*) < 0.5 FROM part""")
 
+
+
+def _chunks(s: SparkSession, d: str) -> DataFrame:
+    """The wide table melted in two day ranges, joined as a bag."""
+    wide = reshape.widen_days(adapter.sales_long(s, d).where("d_int <= 56"), _MELT_DAYS)
+    parts = [reshape.melt_days(wide, _MELT_DAYS[a:b]).select("id", "d", "sales", "d_int") for a, b in ((0, 30), (30, 56))]
+    return parts[0].unionByName(parts[1])
+
+
 # Joins
 register("join_calendar_left", lambda s, d: enrich.join_calendar(adapter.sales_long(s, d), adapter.calendar(s)).select("id", "d_int", "date", "wm_yr_wk", "event_name_1", "snap_CA"), f"{BASE} SELECT id, d_int, date, wm_yr_wk, event_name_1, snap_CA FROM merged")
 register("join_prices_left", lambda s, d: merged(s, d).select("id", "d_int", "sales", "sell_price"), f"{BASE} SELECT id, d_int, sales, sell_price FROM merged")
@@ -295,6 +304,20 @@ lagged AS (SELECT *, {_LAGS_SQL}, {_ENC_SQL}, {_CALENDAR_SQL}, CAST(event_name_1
 SELECT lagged.*, {_ROLL_SQL}, days_since_event, priced.* EXCLUDE (id, d_int)
 FROM lagged JOIN since USING (id, d_int) JOIN priced USING (id, d_int)""")
 
+# Smaller operators on their own
+register("snap_effect_long", lambda s, d: reshape.unpivot(explore.snap_effect(merged(s, d)), ["state_id"], ["snap_mean", "other_mean"], "measure", "sales"), f"""{BASE}, m AS (
+  SELECT state_id, avg(CAST(sales AS DOUBLE)) FILTER (flag = 1) AS snap_mean, avg(CAST(sales AS DOUBLE)) FILTER (flag = 0) AS other_mean
+  FROM (SELECT state_id, sales, CASE state_id {" ".join(f"WHEN '{x}' THEN snap_{x}" for x in S.STATES)} END AS flag FROM merged WHERE state_id IN ('CA', 'TX', 'WI')) GROUP BY state_id)
+SELECT state_id, 'snap_mean' AS measure, snap_mean AS sales FROM m UNION ALL SELECT state_id, 'other_mean', other_mean FROM m""")
+register("distinct_states", lambda s, d: adapter.sales_meta(s, d).select("state_id").distinct(), f"{BASE} SELECT DISTINCT state_id FROM meta")
+register("first_rows", lambda s, d: adapter.calendar(s).orderBy("d_int").limit(3), f"{BASE} SELECT * FROM cal ORDER BY d_int LIMIT 3")
+register("coercing_cast", lambda s, d: adapter.table(s, d, "part").select("p_partkey", number("p_type", "smallint").alias("as_number"), number("p_size", "tinyint").alias("size")), "SELECT p_partkey, TRY_CAST(p_type AS SMALLINT) AS as_number, TRY_CAST(p_size AS TINYINT) AS size FROM part")
+register("chunk_union", lambda s, d: _chunks(s, d), f"{BASE} SELECT id, d, sales, d_int FROM long WHERE d_int <= 56")
+register("repeated_price_keys", lambda s, d: enrich.repeated_keys(adapter.prices(s, d).withColumn("wm_yr_wk", (F.col("wm_yr_wk") % 7).cast("smallint")), enrich.PRICE_KEY), f"{BASE} SELECT store_id, item_id, CAST(wm_yr_wk % 7 AS SMALLINT) AS wm_yr_wk, count(*) AS count FROM prices GROUP BY ALL HAVING count(*) > 1")
+register("price_report", lambda s, d: adapter.prices(s, d).agg(F.median("sell_price").alias("median"), F.min("sell_price").alias("low"), F.max("sell_price").alias("high"), F.count_distinct("store_id").alias("stores")), f"{BASE} SELECT median(CAST(sell_price AS DOUBLE)) AS median, min(sell_price) AS low, max(sell_price) AS high, count(DISTINCT store_id) AS stores FROM prices")
+register("apply_codes", lambda s, d: X.encode(merged(s, d).select("id", "d_int", "weekday"), X.fit_codes(merged(s, d).where("wday > 2"), ["weekday"]), ["weekday"]).select("id", "d_int", "weekday_enc"), f"""{BASE}, v AS (SELECT value, CAST(dense_rank() OVER (ORDER BY value) - 1 AS SMALLINT) AS code FROM (SELECT DISTINCT weekday AS value FROM merged WHERE wday > 2))
+SELECT id, d_int, coalesce(code, CAST(-1 AS SMALLINT)) AS weekday_enc FROM merged LEFT JOIN v ON weekday = value""")
+
 # Store and checks
 register("walk_forward_split", lambda s, d: adapter.sales_long(s, d).select("id", "d_int", store.split_of().alias("split")).where("split is not null"), f"{BASE} SELECT id, d_int, CASE WHEN d_int <= 1800 THEN 'train' WHEN d_int <= 1856 THEN 'valid' ELSE 'test' END AS split FROM long WHERE d_int <= 1913")
 register("manifest_counts", lambda s, d: store.manifest_counts(faulty(s, d)), f"""{FAULTY} SELECT count(*) AS n_rows, count(*) FILTER (d_int BETWEEN 1 AND 1800) AS train_rows, count(*) FILTER (d_int BETWEEN 1801 AND 1856) AS valid_rows,
