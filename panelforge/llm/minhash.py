@@ -183,7 +183,8 @@ def near_duplicates(
     dealt = placed.select("leader", "doc_id", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.select("leader", "doc_id", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"))
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    grouped = dealt.join(texts, "doc_id").repartition("leader", "low", "high").sortWithinPartitions("leader", "low", "high", "doc_id")
+    # always a shuffled join: whether the ties are few enough to broadcast must not change how the cost grows
+    grouped = dealt.hint("merge").join(texts, "doc_id").repartition("leader", "low", "high").sortWithinPartitions("leader", "low", "high", "doc_id")
 
     classes = known.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     several = known.groupBy("doc_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x <> y")
