@@ -58,14 +58,6 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(df: DataFrame) -> None:
-    """Delete the files of a ``materialise``d frame once nothing will read it again."""
-    spark = df.sparkSession
-    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/panelforge/" in file:
-            _remove(spark, file)
-
-
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm
