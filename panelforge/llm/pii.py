@@ -28,6 +28,8 @@ KINDS: tuple[tuple[str, str], ...] = (
     ("name", rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLES})\.? {_NAME}(?: {_NAME}){{0,2}}"),
 )
 ANY = "|".join(f"(?:{p})" for _, p in KINDS)
+#: Every match of ANY holds an @, a digit, or a title before a capital; most texts hold none and are told so cheaply.
+POSSIBLE = rf"[@0-9]|(?=[MHSDFPГг])(?:{_TITLES})\.? \p{{Lu}}"
 
 # The letters that stand for hexadecimal digits in surrogates, by script, and the syllables of names.
 _LATIN, _CYRILLIC, _GREEK = "abdeghiklmnoprst", "абвгдежзиклмнопр", "αβγδεζηθικλμνξοπ"
@@ -198,8 +200,9 @@ def replace_entities(docs: DataFrame, *, key: str = "panelforge", text_col: str
     names = [c for c in docs.columns if c != "n_entities"]
     docs = docs.select(*names)
     text = F.col(f"`{text_col}`")
-    untouched = docs.where(~F.coalesce(text.rlike(ANY), F.lit(False))).withColumn("n_entities", F.lit(0))
-    found = docs.where(text.rlike(ANY)).select(F.struct(*names).alias("doc"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)).alias("found"), F.monotonically_increasing_id().alias("row"))
+    holds = F.coalesce(text.rlike(POSSIBLE) & text.rlike(ANY), F.lit(False))
+    untouched = docs.where(~holds).withColumn("n_entities", F.lit(0))
+    found = docs.where(holds).select(F.struct(*names).alias("doc"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)).alias("found"), F.monotonically_increasing_id().alias("row"))
     found = materialise(found, "found")
     mentions = found.select("row", F.posexplode("found").alias("pos", "form")).withColumn("kind", _kind(F.col("form")))
     forms = materialise(mentions.select("kind", "form").distinct(), "forms")
