@@ -16,7 +16,7 @@ from panelforge.llm.common import arrow_schema, ship, to_batch
 CANDIDATE_BLOCK = 8192
 QUERY_BLOCK = 1024
 #: A node with so few vectors is not split further: its scores are one matrix product.
-LEAF = 96
+LEAF = 256
 
 
 @dataclass
@@ -103,15 +103,12 @@ class TopK:
 
     def offer(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
         """scores: (rows, candidates); -inf takes no part."""
-        if scores.shape[1] > 4 * self.k:  # ties at the kth score must all stay
-            cut = np.partition(scores, scores.shape[1] - self.k, axis=1)[:, -self.k]
-            floor = np.maximum(cut, self.score[rows, -1])
-            for r in np.flatnonzero((scores >= floor[:, None]).any(axis=1)):
-                some = np.flatnonzero(scores[r] >= floor[r])
-                self._merge(int(rows[r]), scores[r, some], ids[some])
-        else:
-            for r in range(len(rows)):
-                self._merge(int(rows[r]), scores[r], ids)
+        floor = self.score[rows, -1]
+        if scores.shape[1] > self.k:
+            floor = np.maximum(floor, np.partition(scores, scores.shape[1] - self.k, axis=1)[:, -self.k])
+        may = (scores >= floor[:, None]) & (scores > -np.inf)  # ties at the kth score stay in
+        for r in np.flatnonzero(may.any(axis=1)):
+            self._merge(int(rows[r]), scores[r, may[r]], ids[may[r]])
 
     def _merge(self, q: int, scores: np.ndarray, ids: np.ndarray) -> None:
         s, i = np.append(self.score[q], scores), np.append(self.ids[q], ids)
