@@ -52,8 +52,9 @@ def filled_price() -> Column:
 def fill_prices(df: DataFrame) -> DataFrame:
     """Series fill, then the median of what is filled (PRICE_FALLBACK if there is none or it isn't positive), then the
     cap at a high quantile and the floor. The two figures are exact one-row aggregates that meet the rows in a
-    broadcast of one row, in this order: the cap is taken after the fallback."""
-    step = df.withColumn("sell_price", filled_price())
+    broadcast of one row, in this order: the cap is taken after the fallback. The filled rows feed both and the output,
+    so they are kept."""
+    step = df.withColumn("sell_price", filled_price()).persist(StorageLevel.MEMORY_AND_DISK)
     median = step.agg(F.median("sell_price").alias("m")).select(F.when(F.col("m") > 0, F.col("m")).otherwise(S.PRICE_FALLBACK).cast("float").alias("__median"))
     step = step.crossJoin(F.broadcast(median)).withColumn("sell_price", F.coalesce("sell_price", "__median")).drop("__median")
     cap = step.agg(F.percentile("sell_price", F.lit(S.PRICE_CAP)).cast("float").alias("__cap"))
@@ -153,9 +154,7 @@ def clean(df: DataFrame, *, guard: bool = True) -> Cleaned:
     out = out.withColumns(rules)
     if "sell_price" in df.columns:
         if counts["fill_sell_price"]:
-            # the filled rows feed two one-row aggregates and the output
-            filled = out.withColumn("sell_price", number("sell_price")).persist(StorageLevel.MEMORY_AND_DISK)
-            out = fill_prices(filled)
+            out = fill_prices(out)
         else:
             out = out.withColumn("sell_price", number("sell_price"))
     if "wm_yr_wk" in df.columns:
