@@ -6,10 +6,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import arrow_schema, bounded_sample, crc_of_id, materialise, ship, to_batch
+from panelforge.llm.common import arrow_schema, crc_of_id, materialise, ship, to_batch
 
 #: The end token; words never hold white space.
 END = b"\n"
@@ -19,8 +20,11 @@ CLASSES = 1024
 FREQUENT = 200_000
 #: Distinct words that a task counts before it passes them on.
 COUNTED = 400_000
-#: Training documents that the vectors are fitted on, at most (about).
-MAX_DOCS = 1500
+#: Passes over all training documents; the tasks' models are averaged after each.
+ROUNDS = 2
+#: Tokens that a task holds and shuffles before it learns from them.
+HELD = 1 << 17
+PARAMETERS = ("r", "t", "c1", "c2", "b")
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -81,27 +85,36 @@ class LogBilinear:
         return near.astype("f4"), far.astype("f4"), (np.log(np.maximum(norm, 1e-30)) + near_top[:, None] + far_top[None, :]).astype("f4")
 
 
-def fit(sequences: list[np.ndarray], classes: int, unigram: np.ndarray, *, size: int = 24, noise: int = 15, epochs: int = 2, batch: int = 2048, seed: int = 3) -> LogBilinear:
+def add_rows(out: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """``out[at] += rows``, with repeated places summed first."""
+    order = np.argsort(at, kind="stable")
+    places = at[order]
+    first = np.flatnonzero(np.append(True, places[1:] != places[:-1]))
+    out[places[first]] += np.add.reduceat(rows[order], first, axis=0)
+
+
+class Trainer:
     """Noise-contrastive estimation: tell the token from ``noise`` draws of the unigram distribution; AdaGrad."""
-    rng = np.random.default_rng(seed)
-    draw = lambda *s: (rng.standard_normal(s) * 0.1).astype("f4")
-    log_p = np.log(unigram).astype("f4")
-    m = LogBilinear(draw(classes + 1, size), draw(classes, size), np.eye(size, dtype="f4"), np.eye(size, dtype="f4") * 0.5, log_p.copy())
-    if not sequences:
-        return m
-    w, u, v = (np.concatenate(x) for x in zip(*((s, np.append(classes, s[:-1]), np.concatenate([[classes, classes], s[:-2]])[: len(s)]) for s in sequences)))
-    cumulative = np.cumsum(unigram)
-    seen = {k: np.full_like(getattr(m, k), 1e-2) for k in ("r", "t", "c1", "c2", "b")}
-
-    def move(name: str, g: np.ndarray, rate: float = 0.1) -> None:
-        seen[name] += g * g
-        setattr(m, name, getattr(m, name) - rate * g / np.sqrt(seen[name]))
-
-    log_k = np.log(noise).astype("f4")
-    for _ in range(epochs):
-        for some in np.array_split(rng.permutation(len(w)), max(1, len(w) // batch)):
+
+    def __init__(self, model: LogBilinear, unigram: np.ndarray, rng: np.random.Generator, *, noise: int = 15, batch: int = 2048, shared: int = 128) -> None:
+        self.m = model
+        self.rng, self.noise, self.batch, self.shared = rng, noise, batch, shared
+        self.log_p, self.cumulative = np.log(unigram).astype("f4"), np.cumsum(unigram)
+        self.seen = {k: np.full_like(getattr(model, k), 1e-2) for k in PARAMETERS}
+
+    def _move(self, name: str, g: np.ndarray, rate: float = 0.1) -> None:
+        self.seen[name] += g * g
+        setattr(self.m, name, getattr(self.m, name) - rate * g / np.sqrt(self.seen[name]))
+
+    def learn(self, sequences: list[np.ndarray]) -> None:
+        """One pass over ``sequences``, in random order."""
+        m, log_p, noise = self.m, self.log_p, self.noise
+        classes = len(m.t)
+        w, u, v = (np.concatenate(x) for x in zip(*((s, np.append(classes, s[:-1]), np.concatenate([[classes, classes], s[:-2]])[: len(s)]) for s in sequences)))
+        log_k = np.log(noise).astype("f4")
+        for some in np.array_split(self.rng.permutation(len(w)), max(1, len(w) // self.batch)):
             x, y, word = u[some], v[some], w[some]
-            fake = np.minimum(np.searchsorted(cumulative, rng.random(batch // 4)), classes - 1)  # shared by the batch
+            fake = np.minimum(np.searchsorted(self.cumulative, self.rng.random(self.shared)), classes - 1)  # shared by the batch
             rx, ry = m.r[x], m.r[y]
             q = rx @ m.c1 + ry @ m.c2
             real_s = (q * m.t[word]).sum(1) + m.b[word] - log_p[word] - log_k
@@ -110,16 +123,69 @@ def fit(sequences: list[np.ndarray], classes: int, unigram: np.ndarray, *, size:
             g_fake = 1 / (1 + np.exp(-np.clip(fake_s, -30, 30))) * (noise / len(fake)) / len(some)
             gq = g_real[:, None] * m.t[word] + g_fake @ m.t[fake]
             gt, gb, gr = np.zeros_like(m.t), np.zeros_like(m.b), np.zeros_like(m.r)
-            np.add.at(gt, word, g_real[:, None] * q)
-            np.add.at(gt, fake, g_fake.T @ q)
-            np.add.at(gb, word, g_real)
-            np.add.at(gb, fake, g_fake.sum(0))
-            np.add.at(gr, x, gq @ m.c1.T)
-            np.add.at(gr, y, gq @ m.c2.T)
+            add_rows(gt, word, g_real[:, None] * q)
+            add_rows(gt, fake, g_fake.T @ q)
+            gb += np.bincount(word, g_real, classes) + np.bincount(fake, g_fake.sum(0), classes)
+            add_rows(gr, x, gq @ m.c1.T)
+            add_rows(gr, y, gq @ m.c2.T)
             g1, g2 = rx.T @ gq, ry.T @ gq
             for name, g in (("t", gt), ("b", gb), ("r", gr), ("c1", g1), ("c2", g2)):
-                move(name, g * 50)  # AdaGrad's step does not depend on the scale once it exceeds its start
-    return m
+                self._move(name, g * 50)  # AdaGrad's step does not depend on the scale once it exceeds its start
+
+
+def start(classes: int, unigram: np.ndarray, *, size: int = 24, seed: int = 3) -> LogBilinear:
+    rng = np.random.default_rng(seed)
+    draw = lambda *s: (rng.standard_normal(s) * 0.1).astype("f4")
+    return LogBilinear(draw(classes + 1, size), draw(classes, size), np.eye(size, dtype="f4"), np.eye(size, dtype="f4") * 0.5, np.log(unigram).astype("f4"))
+
+
+def fit(sequences: list[np.ndarray], classes: int, unigram: np.ndarray, *, size: int = 24, noise: int = 15, epochs: int = 2, batch: int = 2048, seed: int = 3) -> LogBilinear:
+    """The model of sequences in memory."""
+    trainer = Trainer(start(classes, unigram, size=size, seed=seed), unigram, np.random.default_rng(seed), noise=noise, batch=batch)
+    for _ in range(epochs if sequences else 0):
+        trainer.learn(sequences)
+    return trainer.m
+
+
+def fit_all(docs: DataFrame, class_of: dict[bytes, int], classes: int, unigram: np.ndarray, *, rounds: int = ROUNDS, seed: int = 3) -> LogBilinear:
+    """The model of all of ``docs`` (text): in each round every task learns from its whole partition, starting at the
+    common model; the next common model is the tasks' mean, weighted by their tokens."""
+    spark = docs.sparkSession
+    schema = "tokens bigint, r binary, t binary, c1 binary, c2 binary, b binary"
+    arrow = arrow_schema(schema)
+    ship(spark)
+    texts = docs.select(F.col("text").cast("string").alias("text"))
+    model = start(classes, unigram, seed=seed)
+    for at in range(rounds):
+        sent = spark.sparkContext.broadcast((model, class_of, unigram))
+
+        def run(batches, sent=sent, at=at):
+            common, class_of, unigram = sent.value
+            mine = LogBilinear(*[getattr(common, k).copy() for k in PARAMETERS])
+            trainer = Trainer(mine, unigram, np.random.default_rng([seed, at, TaskContext.get().partitionId()]))
+            get, tokens, held, waiting = class_of.get, 0, 0, []
+            for batch in batches:
+                for text in batch.column(0):
+                    s = np.array([get(w, 0) for w in tokens_of(text.as_py())] + [1], dtype=np.int64)
+                    waiting.append(s)
+                    tokens, held = tokens + len(s), held + len(s)
+                    if held >= HELD:
+                        trainer.learn(waiting)
+                        held, waiting = 0, []
+            if waiting:
+                trainer.learn(waiting)
+            if tokens:
+                yield to_batch({"tokens": [tokens]} | {k: [getattr(mine, k).astype("f4").tobytes()] for k in PARAMETERS}, arrow)
+
+        total, sums = 0, {k: np.zeros(getattr(model, k).shape) for k in PARAMETERS}
+        # written first, so that the driver holds one task's model at a time
+        for row in materialise(texts.mapInArrow(run, schema), "models").toLocalIterator():
+            total += row.tokens
+            for k in PARAMETERS:
+                sums[k] += row.tokens * np.frombuffer(row[k], dtype="f4").reshape(sums[k].shape)
+        if total:
+            model = LogBilinear(*[(sums[k] / total).astype("f4") for k in PARAMETERS])
+    return model
 
 
 @dataclass
@@ -145,8 +211,8 @@ class Scorer:
         return float(np.log10(self.other_total + 0.5 * (self.other_vocabulary + 1)))
 
 
-def train(docs: DataFrame, counts: DataFrame, *, classes: int = CLASSES, frequent: int = FREQUENT, max_docs: int = MAX_DOCS) -> Scorer:
-    """Fit on ``docs``' token counts (all of them) and vectors (about ``max_docs`` of them, by a hash of the id)."""
+def train(docs: DataFrame, counts: DataFrame, *, classes: int = CLASSES, frequent: int = FREQUENT) -> Scorer:
+    """Fit counts and vectors on all of ``docs``."""
     totals = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     total, vocabulary = int(totals.n or 0), int(totals.v)
     level = F.floor(F.log2("c") * 8).cast("int")
@@ -171,9 +237,7 @@ def train(docs: DataFrame, counts: DataFrame, *, classes: int = CLASSES, frequen
     for w, k in class_of.items():
         unigram[k] += held[w]
     unigram /= unigram.sum()
-    sample = bounded_sample(docs.where("doc_id is not null"), "doc_id", max_docs, seed=13)
-    sequences = [np.array([class_of.get(w, 0) for w in tokens_of(r.text)] + [1]) for r in sample.select("doc_id", "text").collect()]
-    near, far, norm = fit(sequences, n, unigram).tables()
+    near, far, norm = fit_all(docs, class_of, n, unigram).tables()
     words = {w: (c, class_of.get(w, 0)) for w, c in held.items()}
     return Scorer(words, near, far, norm, total, vocabulary, float(total - known), vocabulary - seen_classes)
 
@@ -235,7 +299,7 @@ def _parts(docs: DataFrame, scorer_broadcast) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, ROWS)
 
 
-def score(docs: DataFrame, *, classes: int = CLASSES, frequent: int = FREQUENT, max_docs: int = MAX_DOCS) -> DataFrame:
+def score(docs: DataFrame, *, classes: int = CLASSES, frequent: int = FREQUENT) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row of ``docs`` (doc_id, text).
 
     Learns from rows whose crc32(doc_id as text) mod 5 is not 1 and scores all. Tokens: words and one end. ``score``
@@ -243,14 +307,14 @@ def score(docs: DataFrame, *, classes: int = CLASSES, frequent: int = FREQUENT,
     context of two, exactly normalised; a word without a class of its own has besides its share, by smoothed counts,
     among all such words (one unseen word counts among them). ``base_score`` is the smoothed unigram's.
 
-    Counts cover all training rows. The most frequent words' counts are sent to the tasks (FREQUENT at most, and
+    Counts and vectors are learned from all training rows. The most frequent words' counts are sent to the tasks (FREQUENT at most, and
     whole levels only); rarer words are joined by word with the counts, where no key is frequent by construction, and
     summed by document. Null or empty text: only the end. A null doc_id counts as the id "" in the split. Repeated
     rows are scored each; other columns take no part; an empty table gives no row.
     """
     train_docs = docs.where(crc_of_id() % 5 != 1)
     counts = materialise(token_counts(train_docs), "counts")
-    scorer = train(train_docs, counts, classes=classes, frequent=frequent, max_docs=max_docs)
+    scorer = train(train_docs, counts, classes=classes, frequent=frequent)
     sent = docs.sparkSession.sparkContext.broadcast(scorer)
     parts = materialise(_parts(docs, sent), "parts")
     own, rare = parts.where("own"), parts.where("not own").select("key", "token", "times")

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelforge.llm import decontaminate, langid, lm, packing, toxicity
+from panelforge.llm import common, decontaminate, langid, lm, packing, toxicity
 
 DOCS = "doc_id bigint, text string, score string, lang string"
 
@@ -244,5 +244,14 @@ def test_lm_tables_are_normalised():
     assert np.allclose(p.sum(axis=2), 1, atol=1e-4)
 
 
+def test_lm_learns_from_every_training_document(spark):
+    ids = spark.range(3000).withColumnRenamed("id", "doc_id").where(common.crc_of_id() % 5 != 1)
+    few = {r.doc_id for r in common.bounded_sample(ids, "doc_id", 1500, seed=13).collect()}
+    text = lambda i: "p q " * 30 if i in few else "x y " * 30
+    out = lm.score(spark.createDataFrame([(i, text(i)) for i in range(3000)], "doc_id bigint, text string"))
+    row = out.where("held_out").agg(F.sum("score").alias("score"), F.sum("base_score").alias("base")).first()
+    assert row.score > 0.7 * row.base, row
+
+
 def test_lm_empty_table(spark):
     assert lm.score(docs(spark, ["a"]).where("false")).select(F.count("*")).first()[0] == 0
