@@ -1,4 +1,4 @@
-"""Secret scans: base patterns, and multipart credentials linked by co-occurrence in overlapping scopes.
+"""Secret scans: base patterns, and multipart credentials linked by the gap between their parts.
 
 DataFrame functions only: no Python runs on the executors.
 """
@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: A scope is so many code points; scopes overlap by half, so parts up to half a scope apart always share one.
+#: Parts are linked if at most so many code points lie between them (next start less previous end).
 SCOPE = 400
 
 
@@ -71,9 +71,9 @@ def find_secrets(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_
     kind as listed. Code points, end exclusive.
 
     Base kinds: leftmost matches that do not overlap, kind by kind; matches that are too short are dropped (they
-    still cover their text). Weak ones are reported only where a scope holds their complement: a bare key beside an
-    access identifier, an identifier beside a secret, an endpoint beside both. Scopes are windows of ``scope`` code
-    points that overlap by half, so linking is an equi-join on (row, scope) and never compares all pairs. A weak match
+    still cover their text). Weak ones are reported only where their complement is at most ``scope`` code points away
+    (next start less previous end): a bare key beside an access identifier, an identifier beside a secret, an endpoint
+    beside both. Linking takes running extremes in the order of the starts and never compares all pairs. A weak match
     with the place of a base one is left out.
 
     One shuffle, by row, of match lengths; texts stay where they are read. Null or empty text: no spans. Null ids
@@ -88,16 +88,21 @@ def find_secrets(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_
     placed = flat.withColumn("start", start.cast("long")).withColumn("end", (F.col("start") + F.col("size")).cast("long")).where("ok is null or ok")
     at = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col("kind") + 1)
     placed = placed.withColumns({"part": at([k.part for k in kinds]), "weak": at([k.weak for k in kinds])})
-    window = F.floor(F.col("start") / (scope // 2))
-    spread = placed.withColumn("scope", F.explode(F.array(window, window - 1)))
-    beside = Window.partitionBy("row", "scope")
-    has = lambda part: F.coalesce(F.max(F.col("part") == part).over(beside), F.lit(False))
+    # of the parts that start earlier the one that ends last is nearest, of the others the one that starts first
+    earlier = Window.partitionBy("row").orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    later = Window.partitionBy("row").orderBy("start").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+
+    def has(part: str) -> Column:
+        of = lambda c: F.when(F.col("part") == part, F.col(c))
+        before_it = F.col("start") - F.max(of("end")).over(earlier) <= scope
+        return F.coalesce(before_it, F.lit(False)) | F.coalesce(F.min(of("start")).over(later) - F.col("end") <= scope, F.lit(False))
+
     linked = (
         F.when(F.col("part") == "secret", has("access")).when(F.col("part") == "access", has("secret")).otherwise(has("access") & has("secret"))
     )
-    hidden = F.coalesce(F.max(F.when(~F.col("weak"), F.lit(True))).over(Window.partitionBy("row", "scope", "start")), F.lit(False))
+    hidden = F.coalesce(F.max(F.when(~F.col("weak"), F.lit(True))).over(Window.partitionBy("row", "start")), F.lit(False))
     span = F.struct("start", F.col("kind").alias("rank"), "end")
-    judged = spread.withColumn("keep", F.col("kind").isNotNull() & (~F.col("weak") | (linked & ~hidden)))
+    judged = placed.withColumn("keep", F.col("kind").isNotNull() & (~F.col("weak") | (linked & ~hidden)))
     spans = judged.groupBy("row", id_col).agg(F.sort_array(F.collect_set(F.when(F.col("keep"), span))).alias("s"))
     name = F.array(*[F.lit(k.name) for k in kinds])
     made = F.transform("s", lambda x: F.struct(x["start"], F.element_at(name, x["rank"] + 1).alias("kind"), x["end"], (x["rank"] >= len(base)).alias("weak")))

@@ -173,6 +173,17 @@ def test_weak_parts_only_beside_their_complement(spark):
     assert got == {0: [], 1: ["access", "key"], 2: ["access"], 3: ["access", "key", "endpoint"], 4: []}
 
 
+def test_weak_parts_are_linked_by_their_gap(spark):
+    long, identifier = "aB3" * 150, "client_id=somebody"
+    texts = ["x" * k + f" {long} {identifier}" for k in (0, 1, 57, 199)]  # starts over 400 apart
+    texts += ["-" * k + f" {identifier} {'. ' * 130}secret=abcdefgh" for k in range(0, 200, 33)]  # starts 200 to 400 apart
+    texts += [f"{identifier} {'. ' * 210}secret=abcdefgh"]  # too far
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: [s.kind for s in r.spans] for r in secrets.find_secrets(frame).collect()}
+    want = [["key", "identifier"]] * 4 + [["identifier", "assign"]] * 7 + [["assign"]]
+    assert got == dict(enumerate(want))
+
+
 def test_secrets_rows(spark):
     frame = spark.createDataFrame([(1, "secret=abcdef"), (1, "secret=abcdef"), (None, "a")], "doc_id bigint, text string")
     assert secrets.find_secrets(frame).count() == 3 and secrets.find_secrets(frame.where("false")).count() == 0
