@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -144,6 +145,12 @@ register(
     lambda s, d: reshape.melt_days(reshape.widen_days(adapter.sales_long(s, d).where("d_int <= 56"), _MELT_DAYS)),
     f"{BASE} SELECT id, item_id, dept_id, cat_id, store_id, state_id, d, sales, d_int FROM long WHERE d_int <= 56",
 )
+_ALL_DAYS = [f"d_{n}" for n in range(1, adapter.DAYS + 1)]
+register(
+    "melt_all_days",
+    lambda s, d: reshape.melt_days(reshape.widen_days(adapter.sales_long(s, d), _ALL_DAYS)),
+    f"{BASE} SELECT id, item_id, dept_id, cat_id, store_id, state_id, d, sales, d_int FROM long",
+)
 register("pivot_zero_rate", lambda s, d: explore.zero_rate_matrix(adapter.sales_long(s, d), ["SIZED", "TIERED"]), f"""{BASE}, r AS (SELECT store_id, cat_id, avg(CASE WHEN sales = 0 THEN 1.0 ELSE 0.0 END) AS z FROM long GROUP BY ALL)
 SELECT store_id, max(z) FILTER (cat_id = 'SIZED') AS "SIZED", max(z) FILTER (cat_id = 'TIERED') AS "TIERED" FROM r GROUP BY store_id""")
 register("parse_day_index", lambda s, d: adapter.calendar(s).select("d", day_index("d").alias("parsed")), f"{BASE} SELECT d, CAST(replace(d, 'd_', '') AS SMALLINT) AS parsed FROM cal")
@@ -164,6 +171,13 @@ def _chunks(s: SparkSession, d: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def _all_chunks(s: SparkSession, d: str, size: int = 500) -> DataFrame:
+    """The wide table of all days melted in ranges of ``size`` days, joined as a bag."""
+    wide = reshape.widen_days(adapter.sales_long(s, d), _ALL_DAYS)
+    parts = [reshape.melt_days(wide, _ALL_DAYS[a : a + size]).select("id", "d", "sales", "d_int") for a in range(0, len(_ALL_DAYS), size)]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 # Joins
 register("join_calendar_left", lambda s, d: enrich.join_calendar(adapter.sales_long(s, d), adapter.calendar(s)).select("id", "d_int", "date", "wm_yr_wk", "event_name_1", "snap_CA"), f"{BASE} SELECT id, d_int, date, wm_yr_wk, event_name_1, snap_CA FROM merged")
 register("join_prices_left", lambda s, d: merged(s, d).select("id", "d_int", "sales", "sell_price"), f"{BASE} SELECT id, d_int, sales, sell_price FROM merged")
@@ -313,6 +327,7 @@ register("distinct_states", lambda s, d: adapter.sales_meta(s, d).select("state_
 register("first_rows", lambda s, d: adapter.calendar(s).orderBy("d_int").limit(3), f"{BASE} SELECT * FROM cal ORDER BY d_int LIMIT 3")
 register("coercing_cast", lambda s, d: adapter.table(s, d, "part").select("p_partkey", number("p_type", "smallint").alias("as_number"), number("p_size", "tinyint").alias("size")), "SELECT p_partkey, TRY_CAST(p_type AS SMALLINT) AS as_number, TRY_CAST(p_size AS TINYINT) AS size FROM part")
 register("chunk_union", lambda s, d: _chunks(s, d), f"{BASE} SELECT id, d, sales, d_int FROM long WHERE d_int <= 56")
+register("chunk_union_all_days", lambda s, d: _all_chunks(s, d), f"{BASE} SELECT id, d, sales, d_int FROM long")
 register("repeated_price_keys", lambda s, d: enrich.repeated_keys(adapter.prices(s, d).withColumn("wm_yr_wk", (F.col("wm_yr_wk") % 7).cast("smallint")), enrich.PRICE_KEY), f"{BASE} SELECT store_id, item_id, CAST(wm_yr_wk % 7 AS SMALLINT) AS wm_yr_wk, count(*) AS count FROM prices GROUP BY ALL HAVING count(*) > 1")
 register("price_report", lambda s, d: adapter.prices(s, d).agg(F.median("sell_price").alias("median"), F.min("sell_price").alias("low"), F.max("sell_price").alias("high"), F.count_distinct("store_id").alias("stores")), f"{BASE} SELECT median(CAST(sell_price AS DOUBLE)) AS median, min(sell_price) AS low, max(sell_price) AS high, count(DISTINCT store_id) AS stores FROM prices")
 register("apply_codes", lambda s, d: X.encode(merged(s, d).select("id", "d_int", "weekday"), X.fit_codes(merged(s, d).where("wday > 2"), ["weekday"]), ["weekday"]).select("id", "d_int", "weekday_enc"), f"""{BASE}, v AS (SELECT value, CAST(dense_rank() OVER (ORDER BY value) - 1 AS SMALLINT) AS code FROM (SELECT DISTINCT weekday AS value FROM merged WHERE wday > 2))

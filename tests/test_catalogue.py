@@ -33,5 +33,10 @@ def test_against_sql(spark, duck, name):
     assert sorted(spell(r[c] for c in order) for r in df.collect()) == theirs
 
 
+@pytest.mark.parametrize("name", ["melt_all_days", "chunk_union_all_days"])
+def test_every_day_is_melted(spark, duck, name):
+    test_against_sql(spark, duck, name)
+
+
 def test_every_query_has_sql():
     assert set(catalogue.QUERIES) == set(catalogue.ORACLE_SQL)
