@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -14,17 +15,24 @@ from panelforge.llm.common import arrow_schema, crc_of_id, materialise, ship, to
 
 #: The end token; words never hold white space.
 END = b"\n"
-#: Words with a vector of their own (the most frequent ones, and the end); all others share the class of unknowns.
-CLASSES = 1024
+#: Classes of tokens, at most: the unknown word, the end, and the most frequent words with vectors of their own.
+CLASSES = 65_536
+#: The class of rank k is one of about 1 + k / SPREAD in its group: groups of like weight, the first of one class each.
+SPREAD = 32
+#: Components of a vector.
+SIZE = 16
 #: Words whose counts are sent to every task: the most frequent ones, this many at most. Others are joined.
 FREQUENT = 200_000
 #: Distinct words that a task counts before it passes them on.
 COUNTED = 400_000
-#: Passes over all training documents; the tasks' models are averaged after each.
+#: Parts of the training documents, each learned from once; the tasks' models are averaged after each.
 ROUNDS = 2
 #: Tokens that a task holds and shuffles before it learns from them.
-HELD = 1 << 17
-PARAMETERS = ("r", "t", "c1", "c2", "b")
+HELD = 1 << 18
+#: Tokens scored by one matrix product.
+SCORED = 1 << 16
+#: Classes in one row of a task's model, and models that are averaged by one task.
+BLOCK, FAN = 2048, 32
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -58,144 +66,286 @@ def token_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("token").agg(F.sum("c").alias("c"))
 
 
+def group_starts(classes: int, spread: int = SPREAD) -> np.ndarray:
+    """The first class of each group, then the number of classes."""
+    starts = [0]
+    while starts[-1] < classes:
+        starts.append(min(classes, starts[-1] + 1 + starts[-1] // spread))
+    return np.array(starts, dtype=np.int64)
+
+
 @dataclass
 class LogBilinear:
-    """p(w | u, v) over classes, for a context of two: softmax of t_w . (C1 r_u + C2 r_v) + b_w.
+    """p(w | u, v) = p(group of w | u, v) p(w | its group, u, v) over classes, for a context of two words.
 
-    Class 0 is the unknown word, 1 the end; ``classes`` is the context that stands before a text's first token.
+    With q = C1 r_u + C2 r_v both are softmaxes of log-bilinear scores: g_k . q + a_k over all groups, and
+    t_w . q + b_w over the classes of the group. Class 0 is the unknown word, 1 the end, the others are words by falling
+    frequency; ``classes`` is the context that stands before a text's first token.
     """
 
     r: np.ndarray
     t: np.ndarray
+    b: np.ndarray
+    g: np.ndarray
+    a: np.ndarray
     c1: np.ndarray
     c2: np.ndarray
-    b: np.ndarray
 
-    def tables(self, block: int = 32) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Scores by the last and the last but one class, and the log of the normaliser of every context."""
-        near, far = (self.r @ self.c1) @ self.t.T + self.b, (self.r @ self.c2) @ self.t.T
-        n = len(self.r)
-        norm = np.empty((n, n), dtype="f4")
-        near_top, far_top = near.max(axis=1), far.max(axis=1)
-        near_e = np.exp(near - near_top[:, None])
-        far_e = np.exp(far - far_top[:, None])
-        for at in range(0, n, block):
-            # exp(x + y) = exp(x) exp(y): the sums over all classes of all pairs of contexts are one product
-            norm[at : at + block] = near_e[at : at + block] @ far_e.T
-        return near.astype("f4"), far.astype("f4"), (np.log(np.maximum(norm, 1e-30)) + near_top[:, None] + far_top[None, :]).astype("f4")
-
-
-def add_rows(out: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
-    """``out[at] += rows``, with repeated places summed first."""
+    def __post_init__(self) -> None:
+        self.starts = group_starts(len(self.t))
+        self.group_of = np.repeat(np.arange(len(self.starts) - 1), np.diff(self.starts))
+
+    def copy(self) -> LogBilinear:
+        return LogBilinear(*[x.copy() for x in (self.r, self.t, self.b, self.g, self.a, self.c1, self.c2)])
+
+    def log_p(self, w: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """The natural log-probability of each class ``w`` after ``u`` (the last class) and ``v`` (the last but one)."""
+        near, far, groups, own = self._ready()
+        q = near[u] + far[v]  # its last component is one, and meets the biases
+        group = self.group_of[w]
+        out = np.concatenate([_picked(q[i : i + 2048] @ groups, group[i : i + 2048]) for i in range(0, len(q), 2048)])
+        order = np.argsort(group, kind="stable")
+        bounds = np.searchsorted(group[order], np.arange(len(self.starts)))
+        for k in np.flatnonzero((np.diff(bounds) > 0) & (np.diff(self.starts) > 1)):
+            some, first, last = order[bounds[k] : bounds[k + 1]], self.starts[k], self.starts[k + 1]
+            out[some] += _picked(q[some] @ own[:, first:last], w[some] - first)
+        return out
+
+    def _ready(self) -> tuple[np.ndarray, ...]:
+        """The factors of all scores, made once for a model that no longer changes."""
+        if not hasattr(self, "_factors"):
+            one = np.ones((len(self.r), 1), "f4")
+            near, far = np.hstack([self.r @ self.c1, one]), np.hstack([self.r @ self.c2, 0 * one])
+            groups, own = np.vstack([self.g.T, self.a]), np.vstack([self.t.T, self.b])
+            self._factors = near, far, np.ascontiguousarray(groups), np.ascontiguousarray(own)
+        return self._factors
+
+    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of a model with one class in each group: scores by the last and the last but one class, and the log of the
+        normaliser of every context."""
+        near, far = (self.r @ self.c1) @ self.g.T + self.a, (self.r @ self.c2) @ self.g.T
+        both = near[:, None, :] + far[None, :, :]
+        top = both.max(axis=2)
+        return near, far, np.log(np.exp(both - top[:, :, None]).sum(axis=2)) + top
+
+
+def _picked(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The log of the softmax of each row at one place; ``scores`` is overwritten."""
+    rows = np.arange(len(at))
+    chosen, top = scores[rows, at].astype("f8"), scores.max()
+    if top > 60 or scores[:, 0].min() < -60:  # too far apart for plain exponentials
+        tops = scores.max(axis=1, keepdims=True)
+        scores -= tops
+        chosen -= tops[:, 0]
+    np.exp(scores, out=scores)
+    return chosen - np.log(scores @ np.ones(scores.shape[1], "f4"))
+
+
+def add_rows(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct places, rising, with the sums of their rows."""
     order = np.argsort(at, kind="stable")
     places = at[order]
     first = np.flatnonzero(np.append(True, places[1:] != places[:-1]))
-    out[places[first]] += np.add.reduceat(rows[order], first, axis=0)
+    return places[first], np.add.reduceat(rows[order], first, axis=0)
 
 
-class Trainer:
-    """Noise-contrastive estimation: tell the token from ``noise`` draws of the unigram distribution; AdaGrad."""
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
-    def __init__(self, model: LogBilinear, unigram: np.ndarray, rng: np.random.Generator, *, noise: int = 15, batch: int = 2048, shared: int = 128) -> None:
-        self.m = model
-        self.rng, self.noise, self.batch, self.shared = rng, noise, batch, shared
-        self.log_p, self.cumulative = np.log(unigram).astype("f4"), np.cumsum(unigram)
-        self.seen = {k: np.full_like(getattr(model, k), 1e-2) for k in PARAMETERS}
 
-    def _move(self, name: str, g: np.ndarray, rate: float = 0.1) -> None:
+class Trainer:
+    """Noise-contrastive estimation with AdaGrad: tell a token's group from ``noise`` draws of the groups' unigram
+    distribution (shared by a batch), and the token from ``noise`` draws within its group (shared by the group)."""
+
+    def __init__(self, model: LogBilinear, unigram: np.ndarray, rng: np.random.Generator, *, noise: int = 15, batch: int = 8192, shared: int = 128, inner: int = 4, rate: float = 0.1) -> None:
+        self.m, self.rng, self.noise, self.batch, self.shared, self.inner, self.rate = model, rng, noise, batch, shared, inner, rate
+        starts = model.starts
+        self.upto = np.append(0.0, np.cumsum(unigram))
+        mass = np.diff(self.upto[starts])
+        self.log_group, self.group_upto = np.log(mass).astype("f4"), np.cumsum(mass)
+        self.log_inner = (np.log(unigram) - np.log(mass)[model.group_of]).astype("f4")
+        self.several = np.diff(starts) > 1
+        self.seen = {k: np.full(len(getattr(model, k)), 1e-2, "f4") for k in ("r", "t", "b")} | {k: np.full_like(getattr(model, k), 1e-2) for k in ("g", "a", "c1", "c2")}
+        self.counts = np.zeros(len(model.r), "f8")
+
+    def _move(self, name: str, g: np.ndarray) -> None:
         self.seen[name] += g * g
-        setattr(self.m, name, getattr(self.m, name) - rate * g / np.sqrt(self.seen[name]))
+        setattr(self.m, name, getattr(self.m, name) - self.rate * g / np.sqrt(self.seen[name]))
+
+    def _move_rows(self, name: str, at: np.ndarray, g: np.ndarray) -> None:
+        """One step size for each row, from the mean square of its gradient."""
+        seen = self.seen[name]
+        seen[at] += g * g if g.ndim == 1 else (g * g).mean(axis=1)
+        step = self.rate / np.sqrt(seen[at])
+        getattr(self.m, name)[at] -= step * g if g.ndim == 1 else step[:, None] * g
 
     def learn(self, sequences: list[np.ndarray]) -> None:
         """One pass over ``sequences``, in random order."""
-        m, log_p, noise = self.m, self.log_p, self.noise
-        classes = len(m.t)
+        classes = len(self.m.t)
         w, u, v = (np.concatenate(x) for x in zip(*((s, np.append(classes, s[:-1]), np.concatenate([[classes, classes], s[:-2]])[: len(s)]) for s in sequences)))
-        log_k = np.log(noise).astype("f4")
+        self.counts += np.bincount(w, minlength=classes + 1)
+        self.counts[classes] += len(sequences)
         for some in np.array_split(self.rng.permutation(len(w)), max(1, len(w) // self.batch)):
-            x, y, word = u[some], v[some], w[some]
-            fake = np.minimum(np.searchsorted(self.cumulative, self.rng.random(self.shared)), classes - 1)  # shared by the batch
-            rx, ry = m.r[x], m.r[y]
-            q = rx @ m.c1 + ry @ m.c2
-            real_s = (q * m.t[word]).sum(1) + m.b[word] - log_p[word] - log_k
-            fake_s = q @ m.t[fake].T + m.b[fake] - log_p[fake] - log_k
-            g_real = (1 / (1 + np.exp(-np.clip(real_s, -30, 30))) - 1) / len(some)
-            g_fake = 1 / (1 + np.exp(-np.clip(fake_s, -30, 30))) * (noise / len(fake)) / len(some)
-            gq = g_real[:, None] * m.t[word] + g_fake @ m.t[fake]
-            gt, gb, gr = np.zeros_like(m.t), np.zeros_like(m.b), np.zeros_like(m.r)
-            add_rows(gt, word, g_real[:, None] * q)
-            add_rows(gt, fake, g_fake.T @ q)
-            gb += np.bincount(word, g_real, classes) + np.bincount(fake, g_fake.sum(0), classes)
-            add_rows(gr, x, gq @ m.c1.T)
-            add_rows(gr, y, gq @ m.c2.T)
-            g1, g2 = rx.T @ gq, ry.T @ gq
-            for name, g in (("t", gt), ("b", gb), ("r", gr), ("c1", g1), ("c2", g2)):
-                self._move(name, g * 50)  # AdaGrad's step does not depend on the scale once it exceeds its start
-
-
-def start(classes: int, unigram: np.ndarray, *, size: int = 24, seed: int = 3) -> LogBilinear:
-    rng = np.random.default_rng(seed)
+            some = some[np.argsort(w[some])]
+            self._step(w[some], u[some], v[some])
+
+    def _step(self, w: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
+        """``w`` rises, so classes and groups are runs."""
+        m, n, noise = self.m, len(w), self.noise
+        log_noise = np.float32(np.log(noise))
+        ru, rv = m.r[u], m.r[v]
+        q = ru @ m.c1 + rv @ m.c2
+
+        group = m.group_of[w]
+        fake = np.minimum(np.searchsorted(self.group_upto, self.rng.random(self.shared)), len(m.g) - 1)
+        real = _sigmoid((q * m.g[group]).sum(1) + m.a[group] - self.log_group[group] - log_noise) - 1
+        other = _sigmoid(q @ m.g[fake].T + m.a[fake] - self.log_group[fake] - log_noise) * np.float32(noise / len(fake))
+        gq = real[:, None] * m.g[group] + other @ m.g[fake]
+        at, sums = add_rows(np.append(group, fake), np.concatenate([real[:, None] * q, other.T @ q]))
+        gg = np.zeros_like(m.g)
+        gg[at] = sums
+        ga = (np.bincount(group, real, len(m.g)) + np.bincount(fake, other.sum(0), len(m.g))).astype("f4")
+
+        first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+        runs, places = group[first], np.repeat(np.arange(len(first)), np.diff(np.append(first, n)))
+        low, high = self.upto[m.starts[runs]], self.upto[m.starts[runs + 1]]
+        drawn = np.searchsorted(self.upto, low[:, None] + (high - low)[:, None] * self.rng.random((len(runs), self.inner)), side="right") - 1
+        drawn = np.clip(drawn, m.starts[runs][:, None], m.starts[runs + 1][:, None] - 1)
+        several = self.several[group].astype("f4")
+        word, vectors = m.t[w], m.t[drawn]
+        mine = (_sigmoid((q * word).sum(1) + m.b[w] - self.log_inner[w] - log_noise) - 1) * several
+        spread = vectors[places]
+        theirs = _sigmoid(np.matmul(spread, q[:, :, None])[:, :, 0] + (m.b[drawn] - self.log_inner[drawn])[places] - log_noise) * (several * np.float32(noise / self.inner))[:, None]
+        gq += mine[:, None] * word + np.matmul(theirs[:, None, :], spread)[:, 0]
+        own = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
+        drawn_sums = np.add.reduceat((theirs[:, :, None] * q[:, None, :]).reshape(n, -1), first, axis=0).reshape(-1, q.shape[1])
+        at, sums = add_rows(np.append(w[own], drawn.ravel()), np.concatenate([np.add.reduceat(mine[:, None] * q, own, axis=0), drawn_sums]))
+        _, biases = add_rows(np.append(w[own], drawn.ravel()), np.append(np.add.reduceat(mine, own), np.add.reduceat(theirs, first, axis=0).ravel()))
+
+        places, context = add_rows(np.append(u, v), np.concatenate([gq @ m.c1.T, gq @ m.c2.T]))
+        dense = np.float32(50 / n)  # AdaGrad's step does not depend on the scale once it exceeds its start
+        g1, g2 = ru.T @ gq, rv.T @ gq
+        self._move_rows("t", at, sums)
+        self._move_rows("b", at, biases)
+        self._move_rows("r", places, context)
+        for name, g in (("g", gg), ("a", ga), ("c1", g1), ("c2", g2)):
+            self._move(name, g * dense)
+
+
+def start(unigram: np.ndarray, *, size: int = SIZE, seed: int = 3) -> LogBilinear:
+    """Scores of the unigram distribution, and small random vectors."""
+    rng, classes = np.random.default_rng(seed), len(unigram)
+    starts = group_starts(classes)
+    mass = np.add.reduceat(unigram, starts[:-1])
     draw = lambda *s: (rng.standard_normal(s) * 0.1).astype("f4")
-    return LogBilinear(draw(classes + 1, size), draw(classes, size), np.eye(size, dtype="f4"), np.eye(size, dtype="f4") * 0.5, np.log(unigram).astype("f4"))
+    inner = np.log(unigram) - np.repeat(np.log(mass), np.diff(starts))
+    return LogBilinear(draw(classes + 1, size), draw(classes, size), inner.astype("f4"), draw(len(mass), size), np.log(mass).astype("f4"), np.eye(size, dtype="f4"), np.eye(size, dtype="f4") * 0.5)
 
 
-def fit(sequences: list[np.ndarray], classes: int, unigram: np.ndarray, *, size: int = 24, noise: int = 15, epochs: int = 2, batch: int = 2048, seed: int = 3) -> LogBilinear:
-    """The model of sequences in memory."""
-    trainer = Trainer(start(classes, unigram, size=size, seed=seed), unigram, np.random.default_rng(seed), noise=noise, batch=batch)
+def fit(sequences: list[np.ndarray], classes: int, unigram: np.ndarray, *, size: int = SIZE, epochs: int = 2, seed: int = 3) -> LogBilinear:
+    """The model of sequences of classes in memory."""
+    assert len(unigram) == classes
+    trainer = Trainer(start(unigram, size=size, seed=seed), unigram, np.random.default_rng(seed))
     for _ in range(epochs if sequences else 0):
         trainer.learn(sequences)
     return trainer.m
 
 
-def fit_all(docs: DataFrame, class_of: dict[bytes, int], classes: int, unigram: np.ndarray, *, rounds: int = ROUNDS, seed: int = 3) -> LogBilinear:
-    """The model of all of ``docs`` (text): in each round every task learns from its whole partition, starting at the
-    common model; the next common model is the tasks' mean, weighted by their tokens."""
+def _blocks(common: LogBilinear, trainer: Trainer):
+    """(block, weights, change) of a task's model: rows of classes weigh as often as they were seen, the rest as all tokens."""
+    m, n = trainer.m, len(common.r)
+    padded = lambda x: np.append(x, np.zeros(1, x.dtype)) if x.ndim == 1 else np.vstack([x, np.zeros((1, x.shape[1]), x.dtype)])
+    change = np.hstack([m.r - common.r, padded(m.t - common.t), padded(m.b - common.b)[:, None]])
+    for k, at in enumerate(range(0, n, BLOCK)):
+        yield k, trainer.counts[at : at + BLOCK], change[at : at + BLOCK]
+    rest = np.concatenate([(getattr(m, k) - getattr(common, k)).ravel() for k in ("g", "a", "c1", "c2")])
+    yield -1, np.array([trainer.counts.sum()]), rest[None, :]
+
+
+def _pack(weights: np.ndarray, change: np.ndarray) -> tuple[bytes, bytes]:
+    return weights.astype("<f8").tobytes(), np.clip(change, -60_000, 60_000).astype("<f2").tobytes()
+
+
+def _merged(weights, changes) -> tuple[np.ndarray, np.ndarray]:
+    """The weighted mean of packed changes; a row that none has seen does not change."""
+    total, summed = None, None
+    for w, c in zip(weights, changes):
+        w = np.frombuffer(w, "<f8")
+        c = np.frombuffer(c, "<f2").reshape(len(w), -1).astype("f8") * w[:, None]
+        total, summed = (w.copy(), c) if total is None else (total + w, summed + c)
+    return total, summed / np.maximum(total, 1e-9)[:, None]
+
+
+def fit_all(docs: DataFrame, class_of: dict[bytes, int], unigram: np.ndarray, *, rounds: int = ROUNDS, seed: int = 3) -> LogBilinear:
+    """The model of all of ``docs`` (text). Each round takes one part of the documents: every task learns from its share
+    of it, starting at the common model, and the tasks' changes are averaged, FAN at a time, into the next common
+    model: the driver gets one model a round, whatever the number of tasks."""
     spark = docs.sparkSession
-    schema = "tokens bigint, r binary, t binary, c1 binary, c2 binary, b binary"
+    schema = "block int, task int, weights binary, change binary"
     arrow = arrow_schema(schema)
     ship(spark)
     texts = docs.select(F.col("text").cast("string").alias("text"))
-    model = start(classes, unigram, seed=seed)
+    common = start(unigram, seed=seed)
+    tasks = max(1, texts.rdd.getNumPartitions())
     for at in range(rounds):
-        sent = spark.sparkContext.broadcast((model, class_of, unigram))
+        sent = spark.sparkContext.broadcast((common, class_of, unigram))
 
         def run(batches, sent=sent, at=at):
             common, class_of, unigram = sent.value
-            mine = LogBilinear(*[getattr(common, k).copy() for k in PARAMETERS])
-            trainer = Trainer(mine, unigram, np.random.default_rng([seed, at, TaskContext.get().partitionId()]))
-            get, tokens, held, waiting = class_of.get, 0, 0, []
+            task = TaskContext.get().partitionId()
+            trainer = Trainer(common.copy(), unigram, np.random.default_rng([seed, at, task]))
+            get, held, waiting = class_of.get, 0, []
             for batch in batches:
                 for text in batch.column(0):
                     s = np.array([get(w, 0) for w in tokens_of(text.as_py())] + [1], dtype=np.int64)
                     waiting.append(s)
-                    tokens, held = tokens + len(s), held + len(s)
+                    held += len(s)
                     if held >= HELD:
                         trainer.learn(waiting)
                         held, waiting = 0, []
             if waiting:
                 trainer.learn(waiting)
-            if tokens:
-                yield to_batch({"tokens": [tokens]} | {k: [getattr(mine, k).astype("f4").tobytes()] for k in PARAMETERS}, arrow)
-
-        total, sums = 0, {k: np.zeros(getattr(model, k).shape) for k in PARAMETERS}
-        # written first, so that the driver holds one task's model at a time
-        for row in materialise(texts.mapInArrow(run, schema), "models").toLocalIterator():
-            total += row.tokens
-            for k in PARAMETERS:
-                sums[k] += row.tokens * np.frombuffer(row[k], dtype="f4").reshape(sums[k].shape)
-        if total:
-            model = LogBilinear(*[(sums[k] / total).astype("f4") for k in PARAMETERS])
-    return model
+            if trainer.counts.any():
+                for block, weights, change in _blocks(common, trainer):
+                    w, c = _pack(weights, change)
+                    yield to_batch({"block": [block], "task": [task], "weights": [w], "change": [c]}, arrow)
+
+        def average(group: pd.DataFrame) -> pd.DataFrame:
+            w, c = _pack(*_merged(group["weights"], group["change"]))
+            return pd.DataFrame({"block": [group["block"].iloc[0]], "task": [group["slot"].iloc[0]], "weights": [w], "change": [c]})
+
+        made = texts.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == at).mapInArrow(run, schema)
+        left = tasks
+        while True:
+            made = made.withColumn("slot", (F.col("task") / FAN).cast("int")).groupBy("block", "slot").applyInPandas(average, schema)
+            left = -(-left // FAN)
+            if left == 1:
+                break
+        common = common.copy()
+        classes, size = common.t.shape
+        for row in made.toLocalIterator():
+            w = np.frombuffer(row.weights, "<f8")
+            c = np.frombuffer(row.change, "<f2").reshape(len(w), -1).astype("f4")
+            if row.block < 0:
+                edges = np.cumsum([0] + [getattr(common, k).size for k in ("g", "a", "c1", "c2")])
+                for k, a, b in zip(("g", "a", "c1", "c2"), edges, edges[1:]):
+                    getattr(common, k)[...] += c[0, a:b].reshape(getattr(common, k).shape)
+                continue
+            first = row.block * BLOCK
+            last = min(first + len(w), classes)
+            common.r[first : first + len(w)] += c[:, :size]
+            common.t[first:last] += c[: last - first, size : 2 * size]
+            common.b[first:last] += c[: last - first, 2 * size]
+        sent.unpersist()
+    return common
 
 
 @dataclass
 class Scorer:
-    """What a task needs: frequent words with count and class (0: no class of its own), the tables and the totals."""
+    """What a task needs: frequent words with count and class (0: no class of its own), the model and the totals."""
 
     words: dict[bytes, tuple[int, int]]
-    near: np.ndarray
-    far: np.ndarray
-    norm: np.ndarray
+    model: LogBilinear
     total: int
     vocabulary: int
     other_total: float
@@ -237,9 +387,9 @@ def train(docs: DataFrame, counts: DataFrame, *, classes: int = CLASSES, frequen
     for w, k in class_of.items():
         unigram[k] += held[w]
     unigram /= unigram.sum()
-    near, far, norm = fit_all(docs, class_of, n, unigram).tables()
+    model = fit_all(docs, class_of, unigram)
     words = {w: (c, class_of.get(w, 0)) for w, c in held.items()}
-    return Scorer(words, near, far, norm, total, vocabulary, float(total - known), vocabulary - seen_classes)
+    return Scorer(words, model, total, vocabulary, float(total - known), vocabulary - seen_classes)
 
 
 ROWS = (
@@ -259,30 +409,44 @@ def _parts(docs: DataFrame, scorer_broadcast) -> DataFrame:
         c = np.array([s.words[w][0] for w in words] + [0], dtype=np.float64)
         k = np.array([s.words[w][1] for w in words] + [0], dtype=np.int64)
         log_c, known = np.log10(c + 0.5), (c > 0)
-        log_c[-1], start = 0.0, len(s.near) - 1
+        log_c[-1], begin = 0.0, len(s.model.t)
         ln10 = np.log(10)
         get, end, none = place.get, place[END], len(words)
+        out: dict[str, list] = {f.name: [] for f in arrow}
+        waiting: list[tuple] = []
+
+        def scored() -> None:
+            """The model's log10 probabilities of the texts that wait, SCORED tokens at a time."""
+            w = np.concatenate([x for *_, x in waiting])
+            edges = np.cumsum([0] + [len(x) for *_, x in waiting])
+            u = np.append(begin, w[:-1])
+            u[edges[:-1]] = begin
+            v = np.append(begin, u[:-1])
+            v[edges[:-1]] = begin
+            p = np.concatenate([s.model.log_p(w[i : i + SCORED], u[i : i + SCORED], v[i : i + SCORED]) for i in range(0, len(w), SCORED)])
+            sums = np.add.reduceat(p.astype("f8"), edges[:-1]) / ln10
+            for (row, shares, _), mine in zip(waiting, sums.tolist()):
+                for name, value in zip(out, (*row, mine + shares, None, None, True)):
+                    out[name].append(value)
+            waiting.clear()
+
+        held = 0
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                out: dict[str, list] = {f.name: [] for f in arrow}
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     tokens = tokens_of(text)
                     ids = np.array([get(w, none) for w in tokens] + [end], dtype=np.int64)
                     w = k[ids]
-                    u = np.append(start, w[:-1])
-                    v = np.append(start, u[:-1])
-                    score = float((s.near[u, w] + s.far[v, w] - s.norm[u, v]).sum(dtype=np.float64) / ln10)
                     unowned = w == 0
-                    score += float(log_c[ids[unowned]].sum()) - unowned.sum() * s.other_denominator
+                    shares = float(log_c[ids[unowned]].sum()) - unowned.sum() * s.other_denominator
                     base = float(log_c[ids].sum()) - len(ids) * s.base_denominator
                     key = xxhash.xxh64_intdigest(f"{doc_id}:".encode() + (text or "").encode("utf-8", "surrogatepass")) - 2**63
-                    row = (key, doc_id, len(ids), int(known[ids].sum()), base, score, None, None, True)
+                    waiting.append(((key, doc_id, len(ids), int(known[ids].sum()), base), shares, w))
+                    held += len(w)
                     rare: dict[bytes, int] = {}
                     for i in np.flatnonzero(ids == none):
                         rare[tokens[i]] = rare.get(tokens[i], 0) + 1
-                    for name, value in zip(out, row):
-                        out[name].append(value)
                     if rare:
                         n = len(rare)
                         for name, value in (("key", key), ("own", False)):
@@ -291,10 +455,15 @@ def _parts(docs: DataFrame, scorer_broadcast) -> DataFrame:
                             out[name] += [None] * n
                         out["token"] += list(rare)
                         out["times"] += list(rare.values())
+                    if held >= SCORED or len(out["key"]) > 50_000:
+                        scored()
+                        held = 0
                     if len(out["key"]) > 50_000:
                         yield to_batch(out, arrow)
                         out = {f.name: [] for f in arrow}
-                yield to_batch(out, arrow)
+        if waiting:
+            scored()
+        yield to_batch(out, arrow)
 
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, ROWS)
 
