@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -10,7 +13,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,33 +41,86 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset a local session gets a
+    temporary one, and a cluster an error, as no folder of the driver's machine is shared there."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="panelforge-shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
+#: Tables written to the shared folder and not yet removed.
+_written: list[str] = []
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: lineage ends here, executors may be lost.
 
-    The folder is removed when the driver's interpreter ends, as plans built on it may run until then.
+    The folder is removed by ``stage_table``, or when the driver's interpreter ends, as plans built on it may run until then.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/panelforge/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    atexit.register(_remove, spark, path)
+    if not _written:
+        atexit.register(_remove_all, spark)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_table(spark: SparkSession, name: str, make) -> DataFrame:
+    """``make()`` written as by ``materialise``; the tables that it needed on its way are removed."""
+    before = len(_written)
+    out = materialise(make(), name)
+    for path in _written[before:-1]:
+        _remove(spark, path)
+    del _written[before:-1]
+    return out
+
+
 def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-    except Exception:  # the application has ended; its shared folder goes with it
-        pass
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _remove_all(spark: SparkSession) -> None:
+    for path in _written:
+        try:
+            _remove(spark, path)
+        except Exception:  # the application has ended; its shared folder goes with it
+            return
+
+
+_slot: dict = {}
+
+
+def worker_slot(key, make):
+    """``make()``, kept in the Python worker until another key is asked for: a reused worker holds one large thing."""
+    if key not in _slot:
+        _slot.clear()
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        _slot[key] = make()
+    return _slot[key]
+
+
+#: Parts that the rows of one key are dealt into before a join.
+SALTS = 32
+
+
+def spread_join(df: DataFrame, small: DataFrame, on: list[str], by: list[str], how: str = "left", salts: int = SALTS) -> DataFrame:
+    """``df`` joined with ``small``, which has one row a key, so that no task gets all rows of a key.
+
+    Rows are dealt into ``salts`` parts of their key by a hash of ``by``. The distinct (key, part) pairs, at most
+    ``salts`` a key, meet ``small`` first and then their own part: nothing is replicated for keys of few rows.
+    """
+    dealt = df.withColumn("__salt", F.pmod(F.xxhash64(*by), F.lit(salts)).cast("int"))
+    parts = dealt.select(*on, "__salt").distinct().join(small, on)
+    return dealt.join(parts, [*on, "__salt"], how).drop("__salt")
 
 
 def read_table(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
@@ -136,12 +192,34 @@ def crc_of_id(column: str = "doc_id"):
 
 
 def bounded_sample(df: DataFrame, key: str, most: int, seed: int = 7) -> DataFrame:
-    """About ``most`` rows of ``df`` (all, if fewer), chosen by a hash of ``key``: the same rows on every run.
+    """The ``most`` rows of ``df`` with the smallest hashes of ``key`` (all, if fewer): the same rows on every run, and
+    as many whatever the size of ``df``. A model may be fitted on them; results never are."""
+    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(most)
+
+
+def bounded_texts(rows: DataFrame, *, most: int, most_bytes: int, by_label: bool = False, seed: int = 7) -> list[tuple[str, object]]:
+    """(text, label) of distinct rows of ``rows`` (text, label), both known: those with the smallest hashes, ``most`` in
+    all or, ``by_label``, of each label; each label then takes whole texts while they fit into its ``most_bytes``.
 
-    A model may be fitted on them; results never are.
+    Only hashes and lengths of the candidates are ranked; texts come to the driver within these bounds. Repeated rows
+    count once. Rows and bytes are bounded whatever the table holds.
     """
-    rows = df.count()
-    if rows <= most:
-        return df
-    share = int(most / rows * 1_000_000)
-    return df.where(F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000)) < share)
+    hashed = rows.select("label", "text", F.xxhash64("text", F.lit(seed)).alias("h"))
+    sizes = hashed.groupBy("label", "h").agg(F.max(F.octet_length("text")).alias("n"))
+    if by_label:
+        rank = F.row_number().over(Window.partitionBy("label").orderBy("h"))
+        first = sizes.withColumn("rank", rank).where(F.col("rank") <= most).drop("rank")
+    else:
+        first = sizes.orderBy("h", "label").limit(most)
+    room: dict = {}
+    picked = []
+    for row in sorted(first.collect(), key=lambda r: (r.h, str(r.label))):
+        left = room.setdefault(row.label if by_label else None, most_bytes)
+        if row.n <= left:
+            room[row.label if by_label else None] = left - row.n
+            picked.append((row.label, row.h))
+    if not picked:
+        return []
+    chosen = rows.sparkSession.createDataFrame(picked, sizes.select("label", "h").schema)
+    found = hashed.join(F.broadcast(chosen), ["label", "h"]).groupBy("label", "h").agg(F.min("text").alias("text"))
+    return [(r.text, r.label) for r in sorted(found.collect(), key=lambda r: (r.h, str(r.label)))]

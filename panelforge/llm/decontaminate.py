@@ -4,13 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import re
-import sys
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import extend
+from panelforge.llm.common import extend, worker_slot
 
 ADDED = ("n_words", "n_hit", "hit_items", "hit_spans")
 SCHEMA = (
@@ -20,8 +18,10 @@ SCHEMA = (
 
 #: Consecutive item words that make a window.
 WINDOW = 13
-#: Normalised benchmark bytes that one automaton may hold; more items are scanned in further passes.
-BLOCK_BYTES = 4_000_000
+#: Benchmark bytes that one automaton may hold; only the items of a larger benchmark are scanned in further passes.
+BLOCK_BYTES = 8_000_000
+#: Benchmark bytes that the driver reads at most; a larger benchmark is refused, not cut.
+MAX_BENCHMARK_BYTES = 128_000_000
 
 # Fixed values of the contract: word characters are 0-9, a-z (after A-Z is lower-cased) and everything from U+0080 on.
 _FOLD = bytes(
@@ -43,55 +43,52 @@ def windows_of(words: list[bytes], window: int = WINDOW) -> list[bytes]:
     return [b" ".join(words[i : i + window]) for i in range(len(words) - window + 1)]
 
 
-def _automaton(items: list[tuple[str, str]], window: int):
-    """Built once per Python worker and kept there by the items' digest."""
+def _automaton(items: list[tuple[str, str]], window: int) -> tuple[dict[bytes, int], object]:
+    """The numbers of the items' words, and the automaton of their windows over such numbers: a node for a word."""
     import ahocorasick
 
-    held = sys.modules[__name__].__dict__.setdefault("_held", {})
-    key = hashlib.sha256(repr((items, window)).encode()).digest()
-    if key not in held:
-        owners: dict[bytes, set[str]] = {}
-        for item, text in items:
-            for piece in windows_of(words_of(text), window):
-                owners.setdefault(piece, set()).add(item)
-        automaton = ahocorasick.Automaton()
-        for piece, who in owners.items():
-            automaton.add_word(f" {piece.decode('latin-1')} ", (piece.count(b" ") + 1, frozenset(who)))
-        automaton.make_automaton()
-        held.clear()
-        held[key] = automaton if owners else None
-    return held[key]
-
-
-def scan(words: list[bytes], automaton) -> tuple[list[tuple[int, int]], set[str]]:
+    owners: dict[tuple[int, ...], set[str]] = {}
+    numbers: dict[bytes, int] = {}
+    for item, text in items:
+        for piece in windows_of(words_of(text), window):
+            owners.setdefault(tuple(numbers.setdefault(w, len(numbers) + 1) for w in piece.split()), set()).add(item)
+    if not owners:
+        return {}, None
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    for piece, who in owners.items():
+        automaton.add_word(piece, (len(piece), frozenset(who)))
+    automaton.make_automaton()
+    return numbers, automaton
+
+
+def scan(words: list[bytes], machine: tuple[dict[bytes, int], object]) -> tuple[list[tuple[int, int]], set[str]]:
     """Hit stretches, as (first word, end word) in order and disjoint, and the items whose windows occur."""
+    numbers, automaton = machine
     if automaton is None or not words:
         return [], set()
-    line = f" {b' '.join(words).decode('latin-1')} "
-    found, items = [], set()
-    for end, (n, who) in automaton.iter(line):
-        found.append((end, n))
+    number, found, items = numbers.get, [], set()
+    for end, (n, who) in automaton.iter(tuple([number(w, 0) for w in words])):
+        found.append((end + 1 - n, end + 1))
         items |= who
-    if not found:
-        return [], items
-    spaces = np.flatnonzero(np.frombuffer(line.encode("latin-1"), dtype=np.uint8) == 32)
-    ends = np.searchsorted(spaces, [end for end, _ in found])
-    return joined([(int(e) - n, int(e)) for e, (_, n) in zip(ends, found)]), items
+    return joined(found), items
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> list[list[tuple[str, str]]]:
-    """Items in blocks of at most BLOCK_BYTES (a longer item is a block of its own), read block by block."""
-    sized = benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).alias("t")).where("i is not null and t is not null")
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, max_bytes: int) -> list[list[tuple[str, str]]]:
+    """Items in blocks of at most BLOCK_BYTES (a longer item is a block of its own)."""
+    items = benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t")).where("i is not null and t is not null").distinct()
+    size = items.agg(F.coalesce(F.sum(F.octet_length("t") + F.octet_length("i")), F.lit(0))).first()[0]
+    if size > max_bytes:
+        raise ValueError(f"the benchmark holds {size} bytes, more than the {max_bytes} that the driver may read")
     blocks: list[list[tuple[str, str]]] = [[]]
     room = BLOCK_BYTES
-    for row in sized.dropDuplicates().toLocalIterator():
+    for row in sorted(items.collect()):
         size = len(row.t.encode("utf-8", "surrogatepass"))
         if size > room and blocks[-1]:
             blocks.append([])
             room = BLOCK_BYTES
         blocks[-1].append((row.i, row.t))
         room -= size
-    return [sorted(b) for b in blocks]
+    return blocks
 
 
 def find_contamination(
@@ -103,21 +100,24 @@ def find_contamination(
     item_text_col: str = "text",
     window: int = WINDOW,
     keep: list[str] | None = None,
+    max_bytes: int = MAX_BENCHMARK_BYTES,
 ) -> DataFrame:
     """``docs`` with ``n_words``, ``n_hit``, ``hit_items`` (strings, sorted) and ``hit_spans`` (code points of the text).
 
     A document word is hit if it lies in an occurrence of a window: ``window`` consecutive words of an item, or all
     words of a shorter item. Spans cover hit stretches in the original text, end exclusive. Nothing is shuffled:
-    documents are scanned where they are read, by one automaton for each 4 MB of benchmark text (one, as a rule);
-    further automata scan in further passes, which join their stretches to those found before.
-
-    Null or empty text: no words, no hits. Items with null id or text, or without words, are left out; repeated items
-    count once. An empty benchmark hits nothing. Columns of ``docs`` stay (``keep`` selects them), but those named
-    like the added ones are replaced.
+    documents are scanned where they are read, by one automaton whose letters are words. Only a benchmark above
+    BLOCK_BYTES, which one worker's memory can't hold as one automaton, is scanned in further passes, which join their
+    stretches to those found before; one above ``max_bytes`` is refused.
+
+    Null or empty text: no words, no hits; long texts are scanned whole. Items with null id or text, or without words,
+    are left out; repeated items count once, and an id with several texts is hit by any. An empty benchmark hits
+    nothing, no document gives no row, repeated documents are scanned each, null ids matter nothing. Columns of ``docs``
+    stay (``keep`` selects them), but those named like the added ones are replaced.
     """
     names = [c for c in (docs.columns if keep is None else keep) if c not in ADDED]
     out = docs.drop(*ADDED)
-    blocks = _blocks(benchmark, item_col, item_text_col)
+    blocks = _blocks(benchmark, item_col, item_text_col, max_bytes)
     for k, block in enumerate(blocks):
         through = names if k == len(blocks) - 1 else list(dict.fromkeys([*names, text_col]))
         out = extend(out, text_col, through, SCHEMA, _pass(block, window), also=(ADDED[2], "hit_words") if k else ())
@@ -125,8 +125,10 @@ def find_contamination(
 
 
 def _pass(block: list[tuple[str, str]], window: int):
+    key = hashlib.sha256(repr((block, window)).encode("utf-8", "surrogatepass")).digest()
+
     def work(texts: list, items_before: list | None = None, words_before: list | None = None) -> dict:
-        automaton = _automaton(block, window)
+        automaton = worker_slot(("benchmark", key), lambda: _automaton(block, window))
         made: dict = {c: [] for c in (*ADDED, "hit_words")}
         for i, text in enumerate(texts):
             words = words_of(text)

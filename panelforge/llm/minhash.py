@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import arrow_schema, map_batches, materialise, ship, to_batch
+from panelforge.llm.common import arrow_schema, map_batches, materialise, ship, spread_join, to_batch
 from panelforge.llm.components import connected_components
 
 # The first 64 bits of the fractional parts of square roots, made odd, as multipliers of the shingle hash.
@@ -98,7 +98,7 @@ def signatures(docs: DataFrame, *, shingle_words: int = 5, banding: Banding = Ba
     return map_batches(docs.select("doc_id", F.col("text").cast("string").alias("text")), work, "doc_id bigint, n_shingles bigint, digest binary, keys array<bigint>")
 
 
-#: A task verifies two blocks of so many sets, and so many shingles together, at most (a larger set is alone).
+#: A group within these bounds is compared all with all by one task; of larger ones a task gets two such blocks.
 BLOCK_SETS = 768
 BLOCK_SHINGLES = 600_000
 
@@ -154,6 +154,10 @@ def forest(n: int, pairs: tuple[np.ndarray, np.ndarray]) -> list[tuple[int, int]
         label = least
 
 
+#: Rounds in which a pivot is compared with all of a large group before what is left is compared in blocks.
+PIVOTS = 3
+
+
 def near_duplicates(
     docs: DataFrame, *, shingle_words: int = 5, percent: int = 80, banding: Banding = Banding(), block_sets: int = BLOCK_SETS, block_shingles: int = BLOCK_SHINGLES
 ) -> DataFrame:
@@ -162,13 +166,16 @@ def near_duplicates(
     1. Each text becomes a set of shingle hashes and its table keys; equal sets become one class (smallest doc_id).
     2. Within a table's bucket every class is tied to the bucket's smallest class, its leader: one row per class and
        leader, not per pair. Two classes that meet in any bucket share that bucket's leader.
-    3. The sets of a leader's classes are compared exactly, all with all, in blocks of bounded size: a task holds two
-       blocks, and a group of any size is dealt out over pairs of blocks. A spanning forest of the links found goes on.
-    4. Components are joined over these links and brought back to the documents.
-
-    Null, empty and blank texts: no shingles, linked with nothing. Rows with one doc_id are one document, so what they
-    link to is joined. A null doc_id takes no part: component null, kept. Other columns take no part. An empty table
-    gives no row. Whether rows are linked is exact but for candidates: see ``Banding`` for the chance to miss one.
+    3. The sets of a leader's classes are compared exactly, all with all, if they fit into one block. In a larger group
+       all are first compared with the leader, then with a few pivots, each the smallest class outside of the
+       group's largest component so far (work that grows with the group, not with its square). Pairs within a component need no
+       comparison any more; the classes outside of the largest are compared with all others, block by block.
+    4. Components are joined over these links and brought back to the documents, whose joins deal out large classes.
+
+    Null, empty and blank texts: no shingles, linked with nothing. Whole texts are compared, however long. Rows with one
+    doc_id are one document, so what they link to is joined. A null doc_id takes no part: component null, kept. Ties go
+    to the smallest doc_id. Other columns take no part. An empty table gives no row. Whether rows are linked is exact but
+    for candidates: see ``Banding`` for the chance to miss one.
     """
     signed = materialise(signatures(docs, shingle_words=shingle_words, banding=banding), "signatures")
     known = signed.where("doc_id is not null and digest is not null")
@@ -176,34 +183,148 @@ def near_duplicates(
     tables = reps.select("doc_id", "n_shingles", F.explode("keys").alias("key"))
     leaders = tables.groupBy("key").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last")).where("leader <> last")
     ties = materialise(tables.join(leaders, "key").groupBy("leader", "doc_id").agg(F.max("n_shingles").alias("n")), "ties")
+    sets = materialise(_shingle_sets(docs, ties.select("doc_id").distinct(), shingle_words), "sets")
 
     sizes = ties.groupBy("leader").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
-    blocks = F.greatest(F.ceil(F.col("sets") / block_sets), F.ceil(F.col("shingles") / block_shingles)).cast("int")
-    placed = ties.join(sizes.select("leader", blocks.alias("blocks")), "leader").withColumn("mine", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    dealt = placed.select("leader", "doc_id", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("leader", "doc_id", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"))
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    # always a shuffled join: whether the ties are few enough to broadcast must not change how the cost grows
-    grouped = dealt.hint("merge").join(texts, "doc_id").repartition("leader", "low", "high").sortWithinPartitions("leader", "low", "high", "doc_id")
+    blocks = _blocks(F.col("sets"), F.col("shingles"), block_sets, block_shingles)
+    sizes = sizes.select("leader", blocks.alias("blocks"))
+    single = ties.join(sizes.where("blocks = 1"), "leader").select("leader", "doc_id", F.lit(0).alias("low"), F.lit(0).alias("high"))
+    links = materialise(_verified(_with_sets(single, sets, ["leader", "low", "high"]), percent), "links")
+    large = materialise(spread_join(ties, sizes.where("blocks > 1"), ["leader"], ["doc_id"], "inner").select("leader", "doc_id", "n"), "large")
+    if not large.isEmpty():
+        links = links.unionByName(_large_links(large, sets, percent, block_sets, block_shingles))
 
     classes = known.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     several = known.groupBy("doc_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x <> y")
     same = known.join(several, "doc_id", "left_semi").join(classes, "digest").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    components = connected_components(_verified(grouped, shingle_words, percent).unionByName(same))
+    components = connected_components(links.unionByName(same))
     where = classes.join(components, classes.rep == components.node, "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    joined = signed.join(where, "digest", "left").withColumn("component_id", component)
+    joined = spread_join(signed.select("doc_id", "n_shingles", "digest"), where, ["digest"], ["doc_id"]).withColumn("component_id", component)
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     return joined.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
-def _verified(grouped: DataFrame, shingle_words: int, percent: int) -> DataFrame:
+def _blocks(sets, shingles, block_sets: int, block_shingles: int):
+    return F.greatest(F.ceil(sets / block_sets), F.ceil(shingles / block_shingles)).cast("int")
+
+
+def _large_links(large: DataFrame, sets: DataFrame, percent: int, block_sets: int, block_shingles: int) -> DataFrame:
+    """Links (a, b) that join all linked pairs of each group of ``large`` (leader, doc_id, n), as in ``near_duplicates``."""
+    links = _star(large.select("leader", F.col("leader").alias("pivot"), "doc_id", "n"), sets, percent, block_sets, block_shingles)
+    tried = large.select("leader", F.col("leader").alias("doc_id")).distinct()
+    for last in [False] * PIVOTS + [True]:
+        components = connected_components(links)
+        named = components.select(F.col("node").alias("doc_id"), "component")
+        marked = materialise(spread_join(large, named, ["doc_id"], ["leader"]).select("leader", "doc_id", "n", F.coalesce("component", "doc_id").alias("c")), "marked")
+        main = marked.groupBy("leader", "c").count().groupBy("leader").agg(F.max(F.struct("count", "c")).alias("m")).select("leader", F.col("m.c").alias("main"))
+        outside = spread_join(marked, main, ["leader"], ["doc_id"], "inner")
+        if last:
+            return links.unionByName(_rest(outside, sets, percent, block_sets, block_shingles))
+        fresh = outside.where("c <> main").join(tried, ["leader", "doc_id"], "left_anti")
+        pivots = materialise(fresh.groupBy("leader").agg(F.min(F.struct("doc_id", "c")).alias("p")).select("leader", F.col("p.doc_id").alias("pivot"), F.col("p.c").alias("pc")), "pivots")
+        if pivots.isEmpty():
+            return links if outside.where("c <> main").isEmpty() else links.unionByName(_rest(outside, sets, percent, block_sets, block_shingles))
+        tried = tried.unionByName(pivots.select("leader", F.col("pivot").alias("doc_id")))
+        asked = spread_join(marked, pivots, ["leader"], ["doc_id"], "inner").where("c <> pc")
+        links = links.unionByName(_star(asked.select("leader", "pivot", "doc_id", "n"), sets, percent, block_sets, block_shingles))
+
+
+def _star(pairs: DataFrame, sets: DataFrame, percent: int, block_sets: int, block_shingles: int) -> DataFrame:
+    """Links (a, b) among ``pairs`` (leader, pivot, doc_id, n): each document against its group's pivot.
+
+    A group is dealt out in parts, each of which gets the pivot's set."""
+    pairs = materialise(pairs.where("pivot <> doc_id"), "pairs")
+    sizes = pairs.groupBy("leader", "pivot").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
+    sizes = sizes.select("leader", "pivot", _blocks(F.col("sets"), F.col("shingles"), block_sets, block_shingles).alias("parts"))
+    members = spread_join(pairs, sizes, ["leader", "pivot"], ["doc_id"], "inner")
+    members = members.select("leader", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int").alias("part"), "doc_id", F.lit(1).alias("role"))
+    heads = sizes.select("leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("pivot").alias("doc_id"), F.lit(0).alias("role"))
+    grouped = _with_sets(members.unionByName(heads), sets, ["leader", "part"], ["role"])
+    arrow = arrow_schema("a bigint, b bigint")
+
+    def run(batches):
+        group, pivots, out = None, [], {"a": [], "b": []}
+        for batch in batches:
+            columns = [batch.column(batch.schema.names.index(c)).to_pylist() for c in ("leader", "part", "role", "doc_id", "shingles")]
+            for leader, part, role, doc_id, shingles in zip(*columns):
+                if (leader, part) != group:
+                    group, pivots = (leader, part), []
+                mine = np.frombuffer(shingles, dtype="<u8")
+                if role == 0:
+                    pivots.append((doc_id, mine))
+                    continue
+                for pivot, other in pivots:
+                    both = len(np.intersect1d(mine, other, assume_unique=True))
+                    if 100 * both >= percent * (len(mine) + len(other) - both):
+                        out["a"].append(doc_id)
+                        out["b"].append(pivot)
+                        break
+            yield to_batch(out, arrow)
+            out = {"a": [], "b": []}
+
+    return materialise(grouped.select("leader", "part", "role", "doc_id", "shingles").mapInArrow(run, "a bigint, b bigint"), "links")
+
+
+def _rest(outside: DataFrame, sets: DataFrame, percent: int, block_sets: int, block_shingles: int) -> DataFrame:
+    """Links of the classes outside of their group's main component with all of the group: every block of them meets
+    every block of the group. ``outside``: (leader, doc_id, n, c, main)."""
+    outer = F.col("c") != F.col("main")
+    sizes = outside.groupBy("leader").agg(
+        F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"), F.count_if(outer).alias("outer_sets"), F.sum(F.when(outer, F.col("n")).otherwise(0)).alias("outer_shingles")
+    )
+    sizes = sizes.where("outer_sets > 0").select(
+        "leader",
+        _blocks(F.col("outer_sets"), F.col("outer_shingles"), block_sets, block_shingles).alias("lows"),
+        _blocks(F.col("sets"), F.col("shingles"), block_sets, block_shingles).alias("highs"),
+    )
+    placed = spread_join(outside, sizes, ["leader"], ["doc_id"], "inner")
+    mine = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    low = placed.where(outer).select("leader", "doc_id", mine("lows").alias("low"), every("highs").alias("high"))
+    high = placed.select("leader", "doc_id", every("lows").alias("low"), mine("highs").alias("high"))
+    dealt = low.unionByName(high).distinct()
+    return materialise(_verified(_with_sets(dealt, sets, ["leader", "low", "high"]), percent), "links")
+
+
+def _shingle_sets(docs: DataFrame, ids: DataFrame, shingle_words: int) -> DataFrame:
+    """(doc_id, shingles) of the documents named in ``ids``: sorted distinct hashes as bytes, a row for each distinct set
+    of a doc_id."""
+    arrow = arrow_schema("doc_id bigint, shingles binary")
+    ship(docs.sparkSession)
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
+    # always a sorted, shuffled join: whether the ids are few enough to broadcast must not change how the cost grows
+    wanted = texts.join(ids.hint("merge"), "doc_id", "left_semi").sortWithinPartitions("doc_id")
+
+    def run(batches):
+        shingler, last, seen = Shingler(shingle_words), None, set()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part, out = batch.slice(at, 256), {"doc_id": [], "shingles": []}
+                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    if doc_id != last:
+                        last, seen = doc_id, set()
+                    made = shingler(text).astype("<u8").tobytes()
+                    mark = xxhash.xxh3_128_digest(made)
+                    if made and mark not in seen:
+                        seen.add(mark)
+                        out["doc_id"].append(doc_id)
+                        out["shingles"].append(made)
+                yield to_batch(out, arrow)
+
+    return wanted.mapInArrow(run, "doc_id bigint, shingles binary")
+
+
+def _with_sets(dealt: DataFrame, sets: DataFrame, group: list[str], order: tuple | list = ()) -> DataFrame:
+    """The rows of ``dealt`` with their sets, each group's in one run."""
+    return dealt.hint("merge").join(sets, "doc_id").repartition(*group).sortWithinPartitions(*group, *order, "doc_id")
+
+
+def _verified(grouped: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) of a spanning forest of the links within each run of rows with one (leader, low, high)."""
     arrow = arrow_schema("a bigint, b bigint")
-    ship(grouped.sparkSession)
 
     def run(batches):
-        shingler = Shingler(shingle_words)
         group, ids, sets = None, [], []
 
         def close() -> dict:
@@ -213,16 +334,13 @@ def _verified(grouped: DataFrame, shingle_words: int, percent: int) -> DataFrame
             return {"a": [ids[k] for k, _ in found], "b": [ids[x] for _, x in found]}
 
         for batch in batches:
-            names = batch.schema.names
-            columns = [batch.column(names.index(c)).to_pylist() for c in ("leader", "low", "high", "doc_id", "text")]
-            for leader, low, high, doc_id, text in zip(*columns):
+            columns = [batch.column(batch.schema.names.index(c)).to_pylist() for c in ("leader", "low", "high", "doc_id", "shingles")]
+            for leader, low, high, doc_id, shingles in zip(*columns):
                 if (leader, low, high) != group:
                     yield to_batch(close(), arrow)
                     group, ids, sets = (leader, low, high), [], []
-                made = shingler(text)
-                if len(made):
-                    ids.append(doc_id)
-                    sets.append(made)
+                ids.append(doc_id)
+                sets.append(np.frombuffer(shingles, dtype="<u8"))
         yield to_batch(close(), arrow)
 
-    return grouped.select("leader", "low", "high", "doc_id", "text").mapInArrow(run, "a bigint, b bigint")
+    return grouped.select("leader", "low", "high", "doc_id", "shingles").mapInArrow(run, "a bigint, b bigint")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 import re
-import sys
 import zlib
 
 import numpy as np
@@ -13,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import arrow_schema, ship, to_batch
+from panelforge.llm.common import arrow_schema, ship, to_batch, worker_slot
 
 #: Tokens in a sequence.
 CAPACITY = 2048
@@ -67,8 +66,7 @@ class Encoder:
 
 def encoder(tokenizer_path: str, ranks_path: str | None) -> Encoder:
     """One per Python worker."""
-    held = sys.modules[__name__].__dict__.setdefault("_held", {})
-    return held.setdefault((tokenizer_path, ranks_path), Encoder(tokenizer_path, ranks_path))
+    return worker_slot(("encoder", tokenizer_path, ranks_path), lambda: Encoder(tokenizer_path, ranks_path))
 
 
 def default_paths() -> tuple[str, str]:

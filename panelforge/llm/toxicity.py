@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import bounded_sample, crc_of_id, extend
+from panelforge.llm.common import bounded_sample, bounded_texts, crc_of_id, extend, worker_slot
 
 # Letters of other scripts, and their lower-case forms, that look like Latin ones.
 _HOMOGLYPHS = str.maketrans(
@@ -27,8 +27,12 @@ _SIGN = re.compile("[\u0080-¿×÷ -⯿　-〿]")
 #: UTF-8 bytes: letters and everything from U+0080 on stay, all else is a space.
 _LETTERS = bytes(c if 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
 
-#: Labelled documents that the lexicon is learned from, at most (about; all labelled ones, if fewer).
+#: Labelled documents that the lexicon is learned from, at most (all labelled ones, if fewer).
 MAX_TRAIN_DOCS = 8000
+#: Bytes of text that it is learned from, at most; whole texts only.
+MAX_TRAIN_BYTES = 128_000_000
+#: A term must occur in this share of the toxic families, and in so many toxic texts for each other one.
+SUPPORT, ODDS = 0.008, 19
 
 
 def fold(text: str | None) -> str:
@@ -58,6 +62,9 @@ class Lexicon:
     slope: float = 4.0
     offset: float = -2.0
 
+    def key(self) -> str:
+        return xxhash.xxh3_128_hexdigest(repr((sorted(self.terms.items()), self.exceptions)).encode("utf-8", "surrogatepass"))
+
     def automaton(self):
         import ahocorasick
 
@@ -84,7 +91,15 @@ class Lexicon:
                 excused.append((start, end))
             elif start not in best or size > best[start][1]:
                 best[start] = (weight, size)
-        hits = {s: v for s, v in best.items() if not any(a <= s < b for a, b in excused)}
+        hits = dict(best)
+        if excused:  # one sweep over starts and stretches, both in order
+            excused.sort()
+            at, reach = 0, -1
+            for s in sorted(best):
+                while at < len(excused) and excused[at][0] <= s:
+                    reach, at = max(reach, excused[at][1]), at + 1
+                if s < reach:
+                    del hits[s]
         total = sum(w for w, _ in hits.values())
         return total / math.log2(8 + len(folded) / 6), [(s, s + n) for s, (_, n) in sorted(hits.items())]
 
@@ -92,10 +107,11 @@ class Lexicon:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.slope * evidence + self.offset))))
 
 
-def learn_lexicon(rows: list[tuple[str | None, int]], prefixes: tuple[int, int] = (4, 8)) -> Lexicon:
+def learn_lexicon(rows: list[tuple[str | None, int]], prefixes: tuple[int, int] = (4, 8), *, support_share: float = SUPPORT, odds: float = ODDS) -> Lexicon:
     """A lexicon from (text, 0 or 1) rows.
 
-    Terms are words and word beginnings that occur in enough toxic texts and in hardly any other. Near copies count
+    Terms are words and word beginnings that occur in enough toxic texts (``support_share`` of their families, three at
+    least) and in hardly any other (one for ``odds`` toxic ones, at most). Near copies count
     once: support is the number of families, told apart by the smallest hash of their words. A bigram around a term
     that occurs mostly in texts that are not toxic becomes an exception phrase. No toxic row: an empty lexicon, whose
     score is below one half for all texts.
@@ -120,7 +136,7 @@ def learn_lexicon(rows: list[tuple[str | None, int]], prefixes: tuple[int, int]
                 for term in terms_of(words):
                     families[term].add(family)
     all_families = len(set().union(*families.values())) if families else 0
-    need = max(3, math.ceil(0.008 * all_families))
+    need = max(3, math.ceil(support_share * all_families))
     support = {t: len(f) for t, f in families.items() if len(f) >= need}
     del families
     in_toxic: Counter[str] = Counter()
@@ -131,7 +147,7 @@ def learn_lexicon(rows: list[tuple[str | None, int]], prefixes: tuple[int, int]
     chosen: dict[str, float] = {}
     for term in support:
         hit, miss = in_toxic[term], in_clean[term]
-        if hit >= 19 * miss:
+        if hit >= odds * miss:
             chosen[term] = round(min(7.0, math.log((hit + 0.5) / (toxic + 1)) - math.log((miss + 0.5) / (clean + 1))), 4)
     for term in sorted(chosen, key=len, reverse=True):
         # of a chain of beginnings the longest that says as much stays: " idiot " rather than " idio"
@@ -183,31 +199,31 @@ def _calibrate(folded: list[tuple[str, int]], lexicon: Lexicon) -> None:
     lexicon.slope, lexicon.offset = max(a, 0.1), min(b, -0.5)
 
 
-def train(docs: DataFrame, labels: DataFrame, *, max_docs: int = MAX_TRAIN_DOCS) -> Lexicon:
+def train(docs: DataFrame, labels: DataFrame, *, max_docs: int = MAX_TRAIN_DOCS, max_bytes: int = MAX_TRAIN_BYTES) -> Lexicon:
     """The lexicon from documents that ``labels`` marks and whose crc32(doc_id as text) mod 5 is not 0.
 
-    Fitted on at most about ``max_docs`` labelled ids, chosen by hash (so few ids that they can be broadcast). A null
-    label or id teaches nothing; several labels of an id count as toxic if one is.
+    Fitted on ``max_docs`` labelled ids, chosen by hash (so few that they can be broadcast), and on as many of their
+    distinct texts within ``max_bytes``, however often an id is repeated. A null label or id teaches nothing; several
+    labels of an id count as toxic if one is. Empty tables: an empty lexicon.
     """
-    marked = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    marked = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("label"))
     marked = bounded_sample(marked.where(crc_of_id() % 5 != 0), "doc_id", max_docs)
-    texts = docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id").where("text is not null")
-    return learn_lexicon([(r.text, r.toxic) for r in texts.collect()])
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(marked), "doc_id").where("text is not null")
+    return learn_lexicon(bounded_texts(texts.select("text", "label"), most=max_docs, most_bytes=max_bytes))
 
 
 def score_toxicity(docs: DataFrame, lexicon: Lexicon, *, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with ``score`` (0 to 1), ``predicted`` (1 from 0.5 on) and ``n_terms`` (words of the lexicon in the text).
 
-    Whole texts are scanned once, where they are read; only the lexicon is sent out. Null or empty text: the score of
-    no evidence, which is below one half. All columns stay (``keep`` selects them); those with the added names are
-    replaced. Repeated rows are scored each.
+    Whole texts are scanned once, where they are read, in time that grows with their length; only the lexicon is sent
+    out. Null or empty text: the score of no evidence, which is below one half. Null ids matter nothing. A score of
+    exactly one half counts as toxic. All columns stay (``keep`` selects them); those with the added names are
+    replaced. Repeated rows are scored each; an empty table gives no row.
     """
-    held: list = []
 
     def work(texts: list) -> dict:
-        if not held:
-            held.append(lexicon.automaton())
-        found = [lexicon.evidence(fold(t), held[0]) for t in texts]
+        machine = worker_slot(("lexicon", lexicon.key()), lexicon.automaton)
+        found = [lexicon.evidence(fold(t), machine) for t in texts]
         scores = [lexicon.probability(e) for e, _ in found]
         return {"score": scores, "predicted": [int(s >= 0.5) for s in scores], "n_terms": [len(h) for _, h in found]}
 
