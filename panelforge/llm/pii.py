@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import materialise
+from panelforge.llm.common import materialise, spread_join
 
 # Titles before a name, by the gender they tell.
 MALE = ("Mr", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "Don", "Sir", "господин", "Господин")
@@ -38,8 +38,15 @@ _SYLLABLES_CYRILLIC = ("ба", "бе", "да", "де", "ел", "фа", "га", "
 _ENDINGS = {"m": ("rick", "ander"), "f": ("lina", "essa"), "n": ("ley", "is"), "s": ("mann", "son")}
 _ENDINGS_CYRILLIC = {"m": ("слав", "мир"), "f": ("лина", "ена"), "n": ("ша", "ня"), "s": ("ский", "енко")}
 
-#: After so many tries with the entity's own length a surrogate grows, so that a crowded format never runs out.
-TRIES = 3
+#: After so many tries with the entity's own length surrogates grow, by GROWTH digits a try (addresses take the whole
+#: IPv4 range first, then the documentation range of IPv6), so that a crowded format never runs out; after MAX_TRIES
+#: an error says so.
+TRIES, GROWTH, MAX_TRIES = 3, 2, 24
+
+#: A capitalised word, for mentions without a title of names found in the same text; a genitive's ending stays.
+_WORD = rf"(?<![\p{{L}}\p{{N}}]){_NAME}"
+_TITLED = rf"^(?:{_TITLES})\.? "
+_GENITIVE = r"['’]s$"
 
 
 def _kind(mention: Column) -> Column:
@@ -73,16 +80,15 @@ def _reshaped(form: Column, h: Column) -> Column:
     return F.array_join(F.transform(F.split(form, ""), one), "")
 
 
-def _filled(form: Column, digits: Column) -> Column:
-    """``form`` with its digits replaced in order by ``digits``, format kept."""
-    chars = F.split(form, "")
+def _filled(form: Column, plain: Column, slot) -> Column:
+    """``form`` with the characters that are a ``slot`` replaced in order by those of ``plain``; what is left of it follows."""
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("n"))
 
     def step(acc: Column, c: Column) -> Column:
-        digit = c.rlike(r"\d")
-        return F.struct(F.concat(acc["out"], F.when(digit, F.substr(digits, acc["n"] + 1, F.lit(1))).otherwise(c)).alias("out"), (acc["n"] + digit.cast("int")).alias("n"))
+        here = slot(c)
+        return F.struct(F.concat(acc["out"], F.when(here, F.substr(plain, acc["n"] + 1, F.lit(1))).otherwise(c)).alias("out"), (acc["n"] + here.cast("int")).alias("n"))
 
-    return F.aggregate(chars, start, step, lambda acc: acc["out"])
+    return F.aggregate(F.split(form, ""), start, step, lambda acc: F.concat(acc["out"], F.substr(plain, acc["n"] + 1, F.length(plain))))
 
 
 def _luhn(digits: Column) -> Column:
@@ -102,19 +108,25 @@ def _syllables(h: Column, script: Column, ending: Column, n: Column) -> Column:
     return F.initcap(F.concat(stem, F.when(script == "c", pairs(_ENDINGS_CYRILLIC)).otherwise(pairs(_ENDINGS))))
 
 
-def _surrogate(key: str, attempt: Column) -> Column:
+def _surrogate(key: str, attempt: int) -> Column:
     """The surrogate norm of (kind, norm, gender, script) at an attempt."""
     kind, norm = F.col("kind"), F.col("norm")
-    h = _hash(key, kind, norm, attempt)
+    h = _hash(key, kind, F.concat_ws("|", norm, "gender"), F.lit(attempt))
     digits = _digits(h, 0)
-    longer = F.when(attempt >= TRIES, F.substring(h, 50, 8)).otherwise(F.lit(""))
+    more = GROWTH * max(0, attempt - TRIES + 1)
+    longer = F.substring(h, 50, 8) if attempt >= TRIES else F.lit("")
     local, domain = F.substring_index(norm, "@", 1), F.substring_index(norm, "@", -1)
     dh = F.sha2(F.concat_ws("|", F.lit(key), F.lit("domain"), domain).cast("binary"), 256)
     top = F.element_at(F.array(F.lit("com"), F.lit("org"), F.lit("net")), F.conv(F.substring(dh, 20, 1), 16, 10).cast("int") % 3 + 1)
     email = F.concat(_reshaped(local, h), longer, F.lit("@d"), F.substring(dh, 1, 6), F.lit(".example."), top)
     octet = lambda k: (F.conv(F.substring(h, k, 4), 16, 10).cast("int") % 254 + 1).cast("string")
-    ip = F.concat_ws(".", F.lit("10"), octet(1), octet(5), octet(9))
-    n = F.length(norm)
+    if attempt < 2 * TRIES:
+        ip = F.concat_ws(".", F.lit("10") if attempt < TRIES else octet(13), octet(1), octet(5), octet(9))
+    else:
+        ip = F.concat_ws(":", F.lit("2001:db8"), *[F.substring(h, k, 4) for k in (1, 5, 9, 13, 17, 21)])
+    n = F.length(norm) + more
+    # beyond the digits of one hash those of a second follow; numbers are matched up to 40 digits long
+    digits = F.concat(digits, _digits(F.sha2(F.concat(h, F.lit("+")).cast("binary"), 256), 0))
     plain = F.substr(digits, F.lit(1), n)
     phone = F.concat(F.substring(norm, 1, 1), (F.substring(digits, 1, 1).cast("int") % 8 + 2).cast("string"), F.substr(digits, F.lit(2), n - 2))
     body = F.concat(F.substring(norm, 1, 1), F.substr(digits, F.lit(1), n - 2))
@@ -122,79 +134,59 @@ def _surrogate(key: str, attempt: Column) -> Column:
     valid = _luhn(norm) % 10 == 0
     card = F.when(valid, F.concat(body, check.cast("string"))).otherwise(F.concat(body, F.when(F.substring(digits, 40, 1).cast("int") == check, (check + 1) % 10).otherwise(F.substring(digits, 40, 1).cast("int")).cast("string")))
     ssn = F.concat(F.lit("9"), F.substr(digits, F.lit(1), n - 1))
-    iban = F.concat(F.substring(norm, 1, 2), _reshaped(F.substr(norm, F.lit(3), n), h))
-    name = _syllables(h, F.col("script"), F.col("gender"), F.lit(2) + F.least(attempt, F.lit(20)))
+    iban = F.concat(F.substring(norm, 1, 2), _reshaped(F.substr(norm, F.lit(3), F.length(norm)), h), F.substr(digits, F.lit(1), F.lit(more)))
+    name = _syllables(h, F.col("script"), F.col("gender"), F.lit(2 + min(attempt, 20)))
     return (
         F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "phone", phone).when(kind == "card", card)
         .when(kind == "ssn", ssn).when(kind == "iban", iban).when(kind.isin("given", "surname"), name).otherwise(plain)
     )
 
 
-def _parts(mentions: DataFrame) -> DataFrame:
-    """(kind, norm, gender, script) of each entity of ``mentions`` (kind, form): names give one per word."""
-    others = mentions.where("kind <> 'name'").select("kind", _norm().alias("norm"), F.lit("n").alias("gender"), F.lit("l").alias("script"))
-    names = mentions.where("kind = 'name'").select(F.explode(_name_parts(F.col("form"))).alias("p")).select("p.kind", "p.norm", "p.gender", "p.script")
-    both = others.unionByName(names)
-    # one gender for a name, whatever title stands before it here or there
-    return both.groupBy("kind", "norm").agg(F.min("gender").alias("gender"), F.min("script").alias("script"))
-
-
 def _norm() -> Column:
     """What makes two mentions of a kind the same entity: letters in lower case, or the digits alone."""
     form, kind = F.col("form"), F.col("kind")
     return F.when(kind == "email", F.lower(form)).when(kind == "ip", form).when(kind == "iban", F.regexp_replace(form, " ", "")).otherwise(F.regexp_replace(form, r"[^0-9]", ""))
 
 
-def _name_parts(form: Column) -> Column:
-    """Per word after the title: kind, norm, gender (of given names), script."""
-    words = F.split(form, " ")
-    title = F.regexp_replace(F.element_at(words, 1), r"\.$", "")
-    gender = F.when(title.isin(*MALE), "m").when(title.isin(*FEMALE), "f").otherwise("n")
-    rest = F.slice(words, 2, F.size(words) - 1)
-
-    def one(w: Column, i: Column) -> Column:
-        last = i == F.size(rest) - 1
-        script = F.when(w.rlike(r"\p{IsCyrillic}"), "c").otherwise("l")
-        return F.struct(F.when(last, "surname").otherwise("given").alias("kind"), F.lower(w).alias("norm"), F.when(last, "s").otherwise(gender).alias("gender"), script.alias("script"))
-
-    return F.transform(rest, one)
-
-
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
-    """(kind, norm, surrogate) of distinct (kind, norm, gender, script).
+    """(kind, norm, gender, surrogate) of distinct (kind, norm, gender, script).
 
     In each round every entity still without one proposes; of those with the same proposal the smallest norm has it,
     unless it is taken or is itself an entity of the corpus. Surrogates are so distinct within a kind, and never a
-    real entity. From TRIES rounds on proposals grow, so the rounds end.
+    real entity. From TRIES rounds on proposals grow, so each round leaves fewer; after MAX_TRIES rounds an error is raised.
     """
     real = materialise(entities, "entities")
-    pending, taken, attempt = real, None, 0
-    given = real.select("kind", F.lower("norm").alias("same"))
-    while True:
-        offer = pending.withColumn("surrogate", _surrogate(key, F.lit(attempt))).withColumn("same", F.lower("surrogate"))
-        first = offer.groupBy("kind", "same").agg(F.min("norm").alias("norm"), F.min_by("surrogate", "norm").alias("surrogate"))
+    pending, taken = real, None
+    given = real.select("kind", F.lower("norm").alias("same")).distinct()
+    for attempt in range(MAX_TRIES):
+        offer = pending.withColumn("surrogate", _surrogate(key, attempt)).withColumn("same", F.lower("surrogate"))
+        first = offer.groupBy("kind", "same").agg(F.min(F.struct("norm", "gender", "surrogate")).alias("x")).select("kind", "same", "x.*")
         won = first.join(given, ["kind", "same"], "left_anti")
         if taken is not None:
             won = won.join(taken.select("kind", "same"), ["kind", "same"], "left_anti")
-        won = materialise(won.select("kind", "norm", "surrogate", "same"), "surrogates")
+        won = materialise(won.select("kind", "norm", "gender", "surrogate", "same"), "surrogates")
         taken = won if taken is None else taken.unionByName(won)
-        pending = materialise(pending.join(won.select("kind", "norm"), ["kind", "norm"], "left_anti"), "pending")
+        pending = materialise(pending.join(won.select("kind", "norm", "gender"), ["kind", "norm", "gender"], "left_anti"), "pending")
         if pending.isEmpty():
-            return taken.select("kind", "norm", "surrogate")
-        attempt += 1
+            return taken.select("kind", "norm", "gender", "surrogate")
+    raise RuntimeError(f"entities are left without a surrogate after {MAX_TRIES} rounds")
 
 
 def replace_entities(docs: DataFrame, *, key: str = "panelforge", text_col: str = "text") -> DataFrame:
     """``docs`` with ``text_col`` rewritten and ``n_entities`` added; all other columns stay.
 
-    Mentions are matched in the whole text, leftmost first: e-mail and IP addresses, IBANs, SSNs, phone and card
-    numbers, and names after a title. Equal entities get equal surrogates in all documents, however they are written
-    (case of an address, separators of a number, a name's words one by one); distinct ones get distinct ones. Format,
-    case, script, the gender a title tells and whether a card number passes its check are kept.
+    Mentions are matched in the whole text, leftmost first: e-mail and IPv4 addresses, IBANs, SSNs, phone and card
+    numbers, names after a title, and further mentions, without one, of the words of these names in the same text
+    (spelled the same). Not found: IPv6 addresses, names without any titled mention in their text, titles in capitals.
+
+    Equal entities get equal surrogates in all documents, however they are written (case of an address, separators of
+    a number, a name's words one by one); distinct ones get distinct ones. Format, case, script and whether a card number
+    passes its check are kept. A given name is one entity for each gender its titles tell: after a neutral title, or
+    none, it takes the gender of its first gendered mention in the text, else is neutral.
 
-    Texts without a match pass through untouched and unshuffled; the others are written to the shared folder with a row
-    number, and only their mentions are shuffled. A third of all rows with one entity is one entity: the map is joined
-    per mention, by an equi-join that AQE may split. Null text stays null with n_entities 0; repeated rows are
+    Texts without a match pass through untouched and unshuffled; the others, long ones too, are written to the shared
+    folder with a row number, and only their mentions are shuffled. A third of all rows with one entity is one entity,
+    and its mentions are dealt over many tasks when the map is joined. Null text stays null with n_entities 0; repeated rows are
     rewritten each; null ids matter nothing; a column n_entities is replaced; an empty table gives no row.
     """
     names = [c for c in docs.columns if c != "n_entities"]
@@ -202,35 +194,70 @@ def replace_entities(docs: DataFrame, *, key: str = "panelforge", text_col: str
     text = F.col(f"`{text_col}`")
     holds = F.coalesce(text.rlike(POSSIBLE) & text.rlike(ANY), F.lit(False))
     untouched = docs.where(~holds).withColumn("n_entities", F.lit(0))
-    found = docs.where(holds).select(F.struct(*names).alias("doc"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)).alias("found"), F.monotonically_increasing_id().alias("row"))
-    found = materialise(found, "found")
-    mentions = found.select("row", F.posexplode("found").alias("pos", "form")).withColumn("kind", _kind(F.col("form")))
-    forms = materialise(mentions.select("kind", "form").distinct(), "forms")
-    rewritten = _rewritten(forms, surrogates(_parts(forms), key))
-    placed = mentions.select("row", "pos", "form").join(rewritten, "form", "left").select("row", "pos", F.coalesce("new", "form").alias("new"))
-    lists = placed.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("pos", "new"))).alias("news"))
-    between = F.split(F.col("doc")[text_col], ANY, -1)
-    news = F.concat(F.transform("news", lambda x: x["new"]), F.array(F.lit("")))
+    either = f"{ANY}|(?:{_WORD})"
+    first = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
+    titled = F.exists("found", lambda x: x.rlike(_TITLED))
+    source = docs.where(holds).select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc"), first.alias("found"), F.monotonically_increasing_id().alias("row"))
+    inner = F.col("doc")[text_col]
+    # texts with a titled name are matched again, capitalised words included
+    source = source.withColumn("titled", titled).withColumn("found", F.when(F.col("titled"), F.regexp_extract_all(inner, F.lit(either), F.lit(0))).otherwise(F.col("found")))
+    found = materialise(source, "found")
+
+    mentions = found.select("row", F.posexplode("found").alias("pos", "form")).withColumn("kind", F.coalesce(_kind(F.col("form")), F.lit("word")))
+    parts = materialise(_parts(mentions), "parts")
+    mapped = surrogates(parts.select("kind", "norm", "gender", "script").groupBy("kind", "norm", "gender").agg(F.min("script").alias("script")), key)
+    placed = spread_join(parts, mapped, ["kind", "norm", "gender"], ["row", "pos"], "inner")
+    # by mention: its words in order; then by row
+    new = placed.groupBy("row", "pos").agg(F.min("lead").alias("lead"), F.sort_array(F.collect_list(F.struct("at", _written().alias("w")))).alias("words"))
+    joined = F.concat(F.col("lead"), F.array_join(F.transform("words", lambda x: x["w"]), " "))
+    lists = new.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("pos", joined.alias("new")))).alias("news"))
+    between = F.split(inner, ANY, -1)
+    between = F.when(F.col("titled"), F.split(inner, either, -1)).otherwise(between)
+    news = F.transform("found", lambda form, i: F.coalesce(F.element_at("news", i), form))
     new_text = F.array_join(F.zip_with(between, news, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     touched = found.join(lists, "row").select(*[new_text.alias(c) if c == text_col else F.col("doc")[c].alias(c) for c in names], F.size("news").alias("n_entities"))
     return untouched.unionByName(touched)
 
 
-def _rewritten(forms: DataFrame, mapped: DataFrame) -> DataFrame:
-    """(form, new) for each form as it is written."""
-    simple = forms.where("kind <> 'name'").withColumn("norm", _norm()).join(mapped, ["kind", "norm"])
-    new = F.when(F.col("kind").isin("phone", "card", "ssn"), _filled(F.col("form"), F.col("surrogate"))).when(F.col("kind") == "iban", _spaced(F.col("form"), F.col("surrogate"))).otherwise(F.col("surrogate"))
-    done = simple.select("form", new.alias("new"))
-    words = forms.where("kind = 'name'").select("form", F.posexplode(_name_parts(F.col("form"))).alias("pos", "p")).select("form", "pos", "p.kind", "p.norm")
-    named = words.join(mapped, ["kind", "norm"]).groupBy("form").agg(F.sort_array(F.collect_list(F.struct("pos", "surrogate"))).alias("all"))
-    whole = F.concat_ws(" ", F.element_at(F.split("form", " "), 1), F.array_join(F.transform("all", lambda x: x["surrogate"]), " "))
-    shouted = F.col("form").rlike(r"^\S+ [\p{Lu} '’-]+$")
-    title = F.element_at(F.split("form", " "), 1)
-    return done.unionByName(named.select("form", F.when(shouted, F.concat_ws(" ", title, F.upper(F.array_join(F.transform("all", lambda x: x["surrogate"]), " ")))).otherwise(whole).alias("new")))
-
-
-def _spaced(form: Column, plain: Column) -> Column:
-    """``plain`` with spaces where ``form`` has them."""
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("n"))
-    step = lambda acc, c: F.struct(F.concat(acc["out"], F.when(c == " ", c).otherwise(F.substr(plain, acc["n"] + 1, F.lit(1)))).alias("out"), (acc["n"] + (c != " ").cast("int")).alias("n"))
-    return F.aggregate(F.split(form, ""), start, step, lambda acc: acc["out"])
+def _parts(mentions: DataFrame) -> DataFrame:
+    """(row, pos, at, lead, form, tail, kind, norm, gender, script) of each entity: a name has one for each of its words.
+
+    ``lead`` is what stands before the entity in its mention (a title), ``tail`` what follows it (a genitive's ending)."""
+    others = mentions.where("kind not in ('name', 'word')").select(
+        "row", "pos", F.lit(0).alias("at"), F.lit("").alias("lead"), "form", F.lit("").alias("tail"), "kind", _norm().alias("norm"), F.lit("n").alias("gender"), F.lit("l").alias("script")
+    )
+    title = F.regexp_extract("form", _TITLED, 0)
+    words = mentions.where("kind = 'name'").withColumn("lead", title).select("row", "pos", "lead", F.split(F.expr("substr(form, length(lead) + 1)"), " ").alias("words"))
+    words = words.select("row", "pos", "lead", F.size("words").alias("n"), F.posexplode("words").alias("at", "whole"))
+    bare = F.regexp_replace(F.trim("lead"), r"\.$", "")
+    gender = F.when(bare.isin(*MALE), "m").when(bare.isin(*FEMALE), "f").otherwise("n")
+    last = F.col("at") == F.col("n") - 1
+    words = words.select("row", "pos", "at", "lead", *_split_genitive(), F.when(last, "surname").otherwise("given").alias("kind"), F.when(last, "s").otherwise(gender).alias("gender"))
+    words = words.withColumn("norm", F.lower("form"))
+    # of each text: the gender that a given name's first gendered mention tells, and what each spelling stands for
+    told = words.where("gender in ('m', 'f')").groupBy("row", "norm").agg(F.min_by("gender", F.struct("pos", "at")).alias("told"))
+    words = words.join(told, ["row", "norm"], "left").withColumn("gender", F.when(F.col("gender") == "n", F.coalesce("told", F.lit("n"))).otherwise(F.col("gender"))).drop("told")
+    spelled = words.groupBy("row", "form").agg(F.min_by(F.struct("kind", "norm", "gender"), F.struct("pos", "at")).alias("e")).select("row", "form", "e.*")
+    bare = mentions.where("kind = 'word'").select("row", "pos", F.lit(0).alias("at"), F.lit("").alias("lead"), F.col("form").alias("whole")).select("row", "pos", "at", "lead", *_split_genitive())
+    untitled = bare.join(spelled, ["row", "form"])
+    columns = ["row", "pos", "at", "lead", "form", "tail", "kind", "norm", "gender"]
+    named = words.select(*columns).unionByName(untitled.select(*columns))
+    return others.unionByName(named.withColumn("script", F.when(F.col("form").rlike(r"\p{IsCyrillic}"), "c").otherwise("l")))
+
+
+def _split_genitive() -> list[Column]:
+    tail = F.regexp_extract("whole", _GENITIVE, 0)
+    return [F.regexp_replace("whole", _GENITIVE, "").alias("form"), tail.alias("tail")]
+
+
+def _written() -> Column:
+    """The surrogate as its entity is written: separators, spaces and capitals as in ``form``."""
+    form, kind, surrogate = F.col("form"), F.col("kind"), F.col("surrogate")
+    shouted = (F.length(form) > 1) & (form == F.upper(form))
+    name = F.concat(F.when(shouted, F.upper(surrogate)).otherwise(surrogate), "tail")
+    return (
+        F.when(kind.isin("phone", "card", "ssn"), _filled(form, surrogate, lambda c: c.rlike(r"\d")))
+        .when(kind == "iban", _filled(form, surrogate, lambda c: c != " "))
+        .when(kind.isin("given", "surname"), name)
+        .otherwise(surrogate)
+    )
