@@ -1,4 +1,4 @@
-"""Secret scans: base patterns, and multipart credentials linked by the gap between their parts.
+"""Secret scans: base patterns, and multipart credentials linked by an interval join of their parts.
 
 DataFrame functions only: no Python runs on the executors.
 """
@@ -10,6 +10,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelforge.llm.common import materialise
+
 #: Parts are linked if at most so many code points lie between them (next start less previous end).
 SCOPE = 400
 
@@ -67,46 +69,60 @@ def _passes(match: Column, kind: Kind) -> Column:
 
 
 def find_secrets(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id", base: tuple[Kind, ...] = BASE, weak: tuple[Kind, ...] = WEAK, scope: int = SCOPE) -> DataFrame:
-    """(``id_col``, spans) of each row of ``docs``; spans: array of (start, kind, end, weak), in order of start, then
-    kind as listed. Code points, end exclusive.
+    """(``id_col``, spans, credentials) of each row of ``docs``; spans: array of (start, kind, end, weak), in order of
+    start, then kind as listed; code points, end exclusive. credentials: array of (secret, access, endpoint), the starts of
+    each reported secret that has an access identifier within ``scope``, of the nearest such identifier, and of the
+    nearest endpoint (null if there is none); the earlier of two as near.
 
     Base kinds: leftmost matches that do not overlap, kind by kind; matches that are too short are dropped (they
     still cover their text). Weak ones are reported only where their complement is at most ``scope`` code points away
     (next start less previous end): a bare key beside an access identifier, an identifier beside a secret, an endpoint
-    beside both. Linking takes running extremes in the order of the starts and never compares all pairs. A weak match
-    with the place of a base one is left out.
+    beside both. A weak match with the place of a base one is left out.
 
-    One shuffle, by row, of match lengths; texts stay where they are read. Null or empty text: no spans. Null ids
-    stay, repeated rows are scanned each, other columns take no part, an empty table gives no row.
+    One shuffle, by row, of match lengths; texts stay where they are read. The parts are then joined by their intervals,
+    in cells of their text. Null or empty text: no spans; very long ones are scanned whole. Null ids stay, repeated
+    rows are scanned each, other columns take no part, an empty table gives no row.
     """
     kinds = (*base, *weak)
     listed = _rows(docs.select(id_col, text_col), text_col, kinds).withColumn("row", F.monotonically_increasing_id())
-    listed = listed.select("row", id_col, F.posexplode_outer("found__").alias("pos", "m"))
-    flat = listed.select("row", id_col, "pos", "m.*").repartition("row")
+    flat = listed.select("row", id_col, F.posexplode_outer("found__").alias("pos", "m")).select("row", id_col, "pos", "m.*")
     before = Window.partitionBy("row", "kind").orderBy("pos")
     start = F.sum(F.col("gap") + F.col("size")).over(before.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
-    placed = flat.withColumn("start", start.cast("long")).withColumn("end", (F.col("start") + F.col("size")).cast("long")).where("ok is null or ok")
+    placed = flat.repartition("row").withColumn("start", start.cast("long")).withColumn("end", (F.col("start") + F.col("size")).cast("long"))
+    placed = materialise(placed.where("ok is null or ok").select("row", id_col, "kind", "start", "end"), "parts")
     at = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col("kind") + 1)
     placed = placed.withColumns({"part": at([k.part for k in kinds]), "weak": at([k.weak for k in kinds])})
-    # of the parts that start earlier the one that ends last is nearest, of the others the one that starts first
-    earlier = Window.partitionBy("row").orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    later = Window.partitionBy("row").orderBy("start").rangeBetween(Window.currentRow, Window.unboundedFollowing)
-
-    def has(part: str) -> Column:
-        of = lambda c: F.when(F.col("part") == part, F.col(c))
-        before_it = F.col("start") - F.max(of("end")).over(earlier) <= scope
-        return F.coalesce(before_it, F.lit(False)) | F.coalesce(F.min(of("start")).over(later) - F.col("end") <= scope, F.lit(False))
-
-    linked = (
-        F.when(F.col("part") == "secret", has("access")).when(F.col("part") == "access", has("secret")).otherwise(has("access") & has("secret"))
-    )
+    nearest = _nearest(placed.where("kind is not null").select("row", "kind", "part", "start", "end"), scope)
+    judged = placed.join(nearest, ["row", "kind", "start"], "left")
+    has = lambda part: F.col(part).isNotNull()
+    linked = F.when(F.col("part") == "secret", has("access")).when(F.col("part") == "access", has("secret")).otherwise(has("access") & has("secret"))
     hidden = F.coalesce(F.max(F.when(~F.col("weak"), F.lit(True))).over(Window.partitionBy("row", "start")), F.lit(False))
+    judged = judged.withColumn("keep", F.col("kind").isNotNull() & (~F.col("weak") | (linked & ~hidden)))
     span = F.struct("start", F.col("kind").alias("rank"), "end")
-    judged = placed.withColumn("keep", F.col("kind").isNotNull() & (~F.col("weak") | (linked & ~hidden)))
-    spans = judged.groupBy("row", id_col).agg(F.sort_array(F.collect_set(F.when(F.col("keep"), span))).alias("s"))
+    credential = F.struct(F.col("start").alias("secret"), F.col("kind").alias("rank"), "access", "endpoint")
+    whole = F.col("keep") & (F.col("part") == "secret") & has("access")
+    spans = judged.groupBy("row", id_col).agg(F.sort_array(F.collect_set(F.when(F.col("keep"), span))).alias("s"), F.sort_array(F.collect_set(F.when(whole, credential))).alias("c"))
     name = F.array(*[F.lit(k.name) for k in kinds])
     made = F.transform("s", lambda x: F.struct(x["start"], F.element_at(name, x["rank"] + 1).alias("kind"), x["end"], (x["rank"] >= len(base)).alias("weak")))
-    return spans.select(id_col, made.alias("spans"))
+    return spans.select(id_col, made.alias("spans"), F.transform("c", lambda x: F.struct(x["secret"], x["access"], x["endpoint"])).alias("credentials"))
+
+
+def _nearest(parts: DataFrame, scope: int) -> DataFrame:
+    """(row, kind, start, access, secret, endpoint): the start of the nearest part of each other sort at most ``scope``
+    away from a part of ``parts`` (row, kind, part, start, end), for those that have any.
+
+    An interval join: a part is put into the cells of its text that it covers, and on the other side into those that it
+    covers with ``scope`` around it; parts that meet are held against each other in the first cell they share. Matches of a
+    kind don't overlap, so the parts within ``scope`` of one are bounded, however many its text holds.
+    """
+    cell = lambda c: F.floor(c / scope).cast("long")
+    left = parts.withColumn("first", cell(F.col("start"))).withColumn("cell", F.explode(F.sequence("first", cell(F.col("end")))))
+    around = parts.select("row", F.col("part").alias("other"), F.col("start").alias("from"), F.col("end").alias("to"))
+    around = around.withColumn("second", cell(F.col("from") - scope)).withColumn("cell", F.explode(F.sequence("second", cell(F.col("to") + scope))))
+    apart = F.greatest(F.col("from") - F.col("end"), F.col("start") - F.col("to"), F.lit(0))
+    met = left.join(around, ["row", "cell"]).where((F.col("part") != F.col("other")) & (F.col("cell") == F.greatest("first", "second")) & (apart <= scope))
+    of = lambda part: F.min(F.when(F.col("other") == part, F.struct(apart, "from")))["from"].alias(part)
+    return met.groupBy("row", "kind", "start").agg(of("access"), of("secret"), of("endpoint"))
 
 
 def spelled(spans: Column) -> Column:
