@@ -6,7 +6,7 @@ import time
 import numpy as np
 import pytest
 
-from panelforge.llm import common, components, decontaminate, lm, minhash, toxicity
+from panelforge.llm import common, components, decontaminate, langid, lm, minhash, toxicity
 
 
 def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
@@ -140,3 +140,63 @@ def test_scores_against_plain_loops_and_averaging_in_several_levels(spark, monke
                 total += np.log((c.get(w, 0) + 0.5) / (scorer.other_total + 0.5 * (scorer.other_vocabulary + 1)))
             before = (k, before[0])
         assert got[i].score == pytest.approx(total / np.log(10), rel=2e-3, abs=2e-2), i
+
+
+# language id
+
+
+def test_labels_against_a_plain_recurrence(monkeypatch):
+    monkeypatch.setattr(langid, "PIECE", 10**6)  # one piece: the state runs over the whole text
+    network = langid.Network.new(["x", "y", "z"], e=4, h=5, seed=2)
+    w = network.weights
+    sign = lambda a: a / (1 + abs(a))
+    for text in ("a", "Größe und", "un été, là", "x" * 70):
+        data = langid.bytes_of(text)
+        sums = np.zeros((len(data), 3)) + w["c"]
+        for d, order, v in (("f", range(len(data)), w["V"][:5]), ("b", range(len(data) - 1, -1, -1), w["V"][5:])):
+            state = np.zeros(5)
+            for t in order:
+                a = w["E"][data[t]] @ w[f"W{d}"] + w[f"b{d}"]
+                u = w[f"U{d}"]
+                z, r = (0.5 + 0.5 * sign(a[k * 5 : k * 5 + 5] + state @ u[:, k * 5 : k * 5 + 5]) for k in (0, 1))
+                n = sign(a[10:] + (r * state) @ u[:, 10:])
+                state = n + z * (state - n)
+                sums[t] += state @ v
+        want = sums - np.log(np.exp(sums).sum(axis=1, keepdims=True))
+        (got,) = network.label_scores([data])
+        assert np.allclose(got, want, atol=1e-4)
+        assert np.allclose(network.position_logits(np.frombuffer(data, np.uint8)[None])[:, 0], sums, atol=1e-4)
+        assert np.allclose(network.text_scores([data, data])[1], want.sum(axis=0), atol=1e-3)
+
+
+def test_pieces_cover_every_byte_once():
+    data = langid.bytes_of("né 日本 " * 300)
+    spans = langid.pieces_of(data, piece=50, context=7)
+    assert [a for _, a, _, _ in spans] == [0, *[b for _, _, b, _ in spans[:-1]]] and spans[-1][2] == len(data)
+    assert all(data[a] & 0xC0 != 0x80 for _, a, _, _ in spans) and langid.pieces_of(b"") == []
+    assert all(f == max(0, a - 7) and t == min(len(data), b + 7) for f, a, b, t in spans)
+
+
+def test_language_id_edges(spark):
+    network = langid.fit([("aba aca " * 40, "p"), ("zyz xyx " * 40, "q")], steps=60)
+    kind = "doc_id bigint, text string, lang_pred string, score string"
+    rows = [(1, "aba caa", "mine", "s"), (1, "aba caa", "mine", "s"), (None, "xyz zyx", "m", "s"), (2, None, "m", "s"), (3, "12", "m", "s"), (4, "abac " * 60_000, "m", "s")]
+    out = langid.predict(spark.createDataFrame(rows, kind), network)
+    assert out.columns == ["doc_id", "text", "lang_pred", "score"]
+    got = {r.doc_id: r for r in out.collect()}
+    assert out.count() == 6 and (got[1].lang_pred, got[None].lang_pred, got[2].lang_pred, got[3].lang_pred, got[4].lang_pred) == ("p", "q", "und", "und", "p")
+    assert langid.predict(spark.createDataFrame([], kind), network).count() == 0
+    assert len(network.label_bytes("aba caa")) == 7
+
+
+def test_toxicity_and_decontamination_edges(spark):
+    lexicon = toxicity.learn_lexicon([("grumbler here", 1)] * 9 + [("fine words", 0)] * 9)
+    kind = "doc_id bigint, text string, n_terms string, n_hit string"
+    empty = spark.createDataFrame([], kind)
+    assert toxicity.score_toxicity(empty, lexicon).count() == 0
+    assert toxicity.train(empty, spark.createDataFrame([], "doc_id bigint, toxic int")).terms == {}
+    rows = spark.createDataFrame([(1, "a b c", "t", "h")] * 2 + [(None, None, "t", "h")], kind)
+    bench = spark.createDataFrame([(1, "b c"), (1, "x"), (2, "b c")], "item_id bigint, text string")
+    out = decontaminate.find_contamination(rows, bench)
+    assert sorted((r.doc_id or 0, r.n_hit, len(r.hit_items)) for r in out.collect()) == [(0, 0, 0), (1, 2, 2), (1, 2, 2)] and out.columns.count("n_hit") == 1
+    assert toxicity.score_toxicity(rows, lexicon).columns == ["doc_id", "text", "n_hit", "score", "predicted", "n_terms"]
