@@ -94,6 +94,22 @@ def _remove_all(spark: SparkSession) -> None:
             return
 
 
+def one_blas_thread() -> None:
+    """In a Python worker: matrix products by one thread. Spark runs a worker for each core, and starts them with as many
+    BLAS threads as an executor has cores; those only wait for each other."""
+    if "blas" in _limited:
+        return
+    _limited.add("blas")
+    with contextlib.suppress(OSError):
+        with open("/proc/self/maps") as maps:
+            libraries = {line.split()[-1] for line in maps if "openblas" in line}
+        for library in libraries:
+            for name in ("scipy_openblas_set_num_threads64_", "scipy_openblas_set_num_threads", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+                with contextlib.suppress(AttributeError):
+                    getattr(ctypes.CDLL(library), name)(1)
+
+
+_limited: set[str] = set()
 _slot: dict = {}
 
 
@@ -138,6 +154,7 @@ def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one_blas_thread()
         for batch in batches:
             for start in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(start, BATCH_ROWS)
@@ -161,6 +178,7 @@ def extend(docs: DataFrame, text_col: str, keep: list[str] | None, added: str, w
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one_blas_thread()
         for batch in batches:
             for start in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(start, BATCH_ROWS)

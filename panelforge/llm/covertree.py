@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import arrow_schema, materialise, ship, to_batch
+from panelforge.llm.common import arrow_schema, materialise, one_blas_thread, ship, to_batch
 
 #: Vectors in a block; a tree is built over each block.
 CANDIDATE_BLOCK = 8192
@@ -217,6 +217,7 @@ def _blocks(vectors: DataFrame, anchors: np.ndarray, block: int, width: int, nam
     ship(vectors.sparkSession)
 
     def assign(batches):
+        one_blas_thread()
         half = (anchors**2).sum(axis=1) / 2
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
@@ -230,6 +231,7 @@ def _blocks(vectors: DataFrame, anchors: np.ndarray, block: int, width: int, nam
     placed = placed.join(F.broadcast(parts), "cell").withColumn("part", F.pmod(F.xxhash64("vec_id", "v"), F.col("parts")).cast("int"))
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
+        one_blas_thread()
         group = group.sort_values("vec_id", kind="stable")
         data = np.array(group["v"].tolist(), dtype="<i8")
         tree = CoverTree.build(data)
@@ -314,6 +316,8 @@ def _met(pairs: DataFrame, left: DataFrame, right: DataFrame, width: int, k: int
     grouped = heads.unionByName(asked).repartition("cb", "share").sortWithinPartitions("cb", "share", F.col("qb").asc_nulls_first())
 
     def run(batches):
+        one_blas_thread()
+
         def read(ids, data, order, nodes, radii):
             return np.frombuffer(ids, "<i8"), CoverTree.unpacked(np.frombuffer(data, "<i8").reshape(-1, width), order, nodes, radii)
 

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import arrow_schema, crc_of_id, materialise, ship, to_batch
+from panelforge.llm.common import arrow_schema, crc_of_id, materialise, one_blas_thread, ship, to_batch
 
 #: The end token; words never hold white space.
 END = b"\n"
@@ -291,6 +291,7 @@ def fit_all(docs: DataFrame, class_of: dict[bytes, int], unigram: np.ndarray, *,
         sent = spark.sparkContext.broadcast((common, class_of, unigram))
 
         def run(batches, sent=sent, at=at):
+            one_blas_thread()
             common, class_of, unigram = sent.value
             task = TaskContext.get().partitionId()
             trainer = Trainer(common.copy(), unigram, np.random.default_rng([seed, at, task]))
@@ -403,6 +404,7 @@ def _parts(docs: DataFrame, scorer_broadcast) -> DataFrame:
     ship(docs.sparkSession)
 
     def run(batches):
+        one_blas_thread()
         s: Scorer = scorer_broadcast.value
         words = list(s.words)
         place = dict(zip(words, range(len(words))))

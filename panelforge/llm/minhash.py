@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import arrow_schema, map_batches, materialise, ship, spread_join, to_batch
+from panelforge.llm.common import arrow_schema, map_batches, materialise, one_blas_thread, ship, spread_join, to_batch
 from panelforge.llm.components import connected_components
 
 # The first 64 bits of the fractional parts of square roots, made odd, as multipliers of the shingle hash.
@@ -325,6 +325,7 @@ def _verified(grouped: DataFrame, percent: int) -> DataFrame:
     arrow = arrow_schema("a bigint, b bigint")
 
     def run(batches):
+        one_blas_thread()
         group, ids, sets = None, [], []
 
         def close() -> dict:
