@@ -57,5 +57,16 @@ def last_rows(n: int) -> WindowSpec:
     return by_series().rowsBetween(-(n - 1), 0)
 
 
+def date(c: Columnish) -> Column:
+    """Coercing parse: null for what is no date."""
+    return col(c).try_cast("date")
+
+
+def share_text(part: Columnish, whole: Columnish) -> Column:
+    """``part`` as a percentage of ``whole``, with two decimals and a sign; of nothing it is 0."""
+    share = F.coalesce(F.try_divide(col(part) * 100.0, col(whole)), F.lit(0.0))
+    return F.format_string("%.2f%%", share)
+
+
 def null_count(c: str) -> Column:
     return F.count_if(F.col(f"`{c}`").isNull())

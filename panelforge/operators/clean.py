@@ -10,15 +10,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelforge.functions import schema as S
-from panelforge.functions.scalars import by_series, day_index, fill_words, null_count, number
+from panelforge.functions.scalars import by_series, day_index, fill_words, null_count, number, share_text
 
 
 @dataclass
 class Cleaned:
-    """``df`` without nulls; ``audit``: (step, fixed, how), counted on the input."""
+    """``df`` without nulls; ``audit``: (step, fixed, how), counted on the input; ``rows``: of the input.
+
+    The input is kept in the executors' storage, as several passes read it, until ``release``."""
 
     df: DataFrame
     audit: DataFrame
+    rows: int
+    held: DataFrame
+
+    def release(self) -> None:
+        self.held.unpersist()
+
+    def print_audit(self) -> None:
+        """The steps that fixed anything, with their share of the rows."""
+        for step in self.audit.where("fixed > 0").select("step", "fixed", share_text("fixed", F.lit(self.rows)).alias("share"), "how").collect():
+            print(f"{step.step:<24} {step.fixed:>12,} {step.share:>8}  {step.how}")
 
 
 def with_day_index(df: DataFrame) -> DataFrame:
@@ -63,27 +75,39 @@ def fill_prices(df: DataFrame) -> DataFrame:
     return step.crossJoin(F.broadcast(cap)).withColumn("sell_price", floored.cast("float")).drop("__cap")
 
 
+#: Ranges of series between which weeks are handed on; within a range each task fills by itself.
+WEEK_RANGES = 64
+
+
 def fill_weeks(df: DataFrame) -> DataFrame:
     """wm_yr_wk forward, then backward, over the whole table in (id, d_int) order, across series.
 
-    Without a window over everything: each series' first and last week are filled among the series (one row each),
-    and come back by a join on id. A gap takes the last week before it in its series, else of the series before,
-    else the first after it in its series, else of the series after."""
+    Without a window over everything: one aggregate gives each series' first and last week, one row each. These are
+    filled within ranges of series, and between ranges by one row a range, and come back by a join on id. A gap takes
+    the last week before it in its series, else of the series before, else the first after it in its series, else of
+    the series after."""
     week = number("wm_yr_wk", "smallint")
     weeks = df.withColumn("__w", week)
-    ends = weeks.where("__w is not null").groupBy("id").agg(F.min_by("__w", "d_int").alias("first"), F.max_by("__w", "d_int").alias("last"))
-    each = weeks.select("id").distinct().join(ends, "id", "left")
-    order = Window.partitionBy(F.lit(0)).orderBy("id")
-    around = each.select(
-        "id",
-        F.last("last", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("__before"),
-        F.first("first", ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("__after"),
-    )
+    known = F.when(F.col("__w").isNotNull(), F.struct("d_int", "__w"))
+    each = weeks.groupBy("id").agg(F.min(known)["__w"].alias("first"), F.max(known)["__w"].alias("last"))
+    # kept, as a range must hold the same series wherever it is read
+    each = each.repartitionByRange(WEEK_RANGES, "id").withColumn("range", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
+    ends = each.groupBy("range").agg(F.max(F.when(F.col("last").isNotNull(), F.struct("id", "last")))["last"].alias("l"), F.min(F.when(F.col("first").isNotNull(), F.struct("id", "first")))["first"].alias("f"))
+
+    def around(order, last: str, first: str):
+        behind, ahead = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
+        return F.last(last, ignorenulls=True).over(behind), F.first(first, ignorenulls=True).over(ahead)
+
+    before, after = around(Window.partitionBy(F.lit(0)).orderBy("range"), "l", "f")  # WEEK_RANGES rows
+    ends = ends.select("range", before.alias("b"), after.alias("a"))
+    before, after = around(Window.partitionBy("range").orderBy("id"), "last", "first")
+    inside = each.select("id", "range", before.alias("__before"), after.alias("__after")).join(F.broadcast(ends), "range")
+    inside = inside.select("id", F.coalesce("__before", "b").alias("__before"), F.coalesce("__after", "a").alias("__after"))
     ahead = by_series().rowsBetween(0, Window.unboundedFollowing)
     behind = by_series().rowsBetween(Window.unboundedPreceding, 0)
-    inside = weeks.withColumns({"__f": F.last("__w", ignorenulls=True).over(behind), "__b": F.first("__w", ignorenulls=True).over(ahead)})
-    filled = F.coalesce("__f", "__before", "__b", "__after", F.lit(S.WEEK).cast("smallint"))
-    return inside.join(around, "id").withColumn("wm_yr_wk", filled).drop("__w", "__f", "__b", "__before", "__after")
+    filled = weeks.withColumns({"__f": F.last("__w", ignorenulls=True).over(behind), "__b": F.first("__w", ignorenulls=True).over(ahead)})
+    value = F.coalesce("__f", "__before", "__b", "__after", F.lit(S.WEEK).cast("smallint"))
+    return filled.join(inside, "id").withColumn("wm_yr_wk", value).drop("__w", "__f", "__b", "__before", "__after")
 
 
 def catch_all(df: DataFrame, had_null: set[str], done: set[str] = frozenset()) -> DataFrame:
@@ -139,7 +163,9 @@ def clean(df: DataFrame, *, guard: bool = True) -> Cleaned:
     One aggregate over the input gives the audit, whether any price is null (only then prices are filled, capped and
     floored) and which text columns had nulls. The order within a series is always the numeric day.
     """
-    counts = df.agg(*_audit_counts(df)).first().asDict()
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)  # read by the audit and by each fill
+    counts = df.agg(F.count(F.lit(1)).alias("nulls_"), *_audit_counts(df)).first().asDict()
+    n = counts.pop("nulls_")
     steps = [(k, int(v), _HOW.get(k, "constant")) for k, v in counts.items() if not k.startswith("nulls_")]
     report = df.sparkSession.createDataFrame(steps, "step string, fixed bigint, how string")
     had_null = {k.removeprefix("nulls_") for k, v in counts.items() if k.startswith("nulls_") and v}
@@ -162,7 +188,7 @@ def clean(df: DataFrame, *, guard: bool = True) -> Cleaned:
     out = catch_all(out, had_null, done=set(rules) | {"d_int", "sell_price", "wm_yr_wk"}).select(*dict.fromkeys([*df.columns, "d_int"]))
     if guard:
         require_no_nulls(out)
-    return Cleaned(out, report)
+    return Cleaned(out, report, n, df)
 
 
 def null_counts(df: DataFrame) -> dict[str, int]:

@@ -18,9 +18,15 @@ PRICE_LAG, PRICE_ROWS = 7, 28
 
 @dataclass
 class Features:
+    """The input is kept in the executors' storage, as several passes read it, until ``release``."""
+
     df: DataFrame
     names: list[str]
     codes: DataFrame
+    held: DataFrame
+
+    def release(self) -> None:
+        self.held.unpersist()
 
 
 def lag_features(lags=S.LAGS) -> dict[str, Column]:
@@ -69,14 +75,17 @@ def days_since_event() -> dict[str, Column]:
     return {"__n": n, "days_since_event": (F.col("__n") - F.coalesce(last, F.lit(0))).cast("smallint")}
 
 
-def price_features(df: DataFrame) -> DataFrame:
+def price_features(df: DataFrame, base: DataFrame | None = None) -> DataFrame:
     """Series means as a window on the one partitioning by series; the few, huge store and category groups as an
-    aggregate joined back, since a window would put each in one task."""
+    aggregate joined back, since a window would put each in one task. ``base``: the kept frame that ``df`` adds
+    columns to; without it ``df`` is kept, as it is read twice."""
+    if base is None:
+        base = df = df.persist(StorageLevel.MEMORY_AND_DISK)
     price = F.col("sell_price")
     lagged = F.coalesce(F.lag("sell_price", PRICE_LAG).over(by_series()), price)
     recent = F.avg("sell_price").over(last_rows(PRICE_ROWS)).cast("float")
     out = df.withColumns({"price_lag_7d": lagged.cast("float"), "price_rolling_mean_4w": F.coalesce(recent, price), "__series": F.avg("sell_price").over(Window.partitionBy("id")).cast("float")})
-    groups = df.groupBy("store_id", "cat_id").agg(F.avg("sell_price").cast("float").alias("__group"))
+    groups = base.groupBy("store_id", "cat_id").agg(F.avg("sell_price").cast("float").alias("__group"))
     out = out.join(groups, ["store_id", "cat_id"], "left")
     return out.withColumns(
         {
@@ -93,7 +102,8 @@ def fit_codes(df: DataFrame, columns=S.ENCODED_COLUMNS) -> DataFrame:
     present = [c for c in columns if c in df.columns]
     if not present:
         return df.sparkSession.createDataFrame([], "column string, value string, code smallint")
-    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in present])).alias("x"))
+    tuples = df.select(*[F.col(c).cast("string").alias(c) for c in present]).distinct()  # few, whatever the rows
+    pairs = tuples.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in present])).alias("x"))
     distinct = pairs.select("x.*").where("value is not null").distinct()
     code = F.dense_rank().over(Window.partitionBy("column").orderBy("value")) - 1
     return distinct.withColumn("code", code.cast("smallint"))
@@ -105,10 +115,8 @@ BROADCAST_CODES = 200_000
 
 def encode(df: DataFrame, codes: DataFrame, columns=S.ENCODED_COLUMNS) -> DataFrame:
     """``{column}_enc`` by left joins; -1 for a value that was not there when the codes were fitted."""
-    known = codes.limit(BROADCAST_CODES + 1).collect()
-    small = len(known) <= BROADCAST_CODES
-    if small:  # computed once, not once for each column
-        codes = df.sparkSession.createDataFrame(known, codes.schema)
+    codes = codes.persist(StorageLevel.MEMORY_AND_DISK)  # computed once, not once for each column
+    small = codes.count() <= BROADCAST_CODES
     for c in columns:
         if c in df.columns:
             dim = codes.where(F.col("column") == c).select(F.col("value").alias(c), F.col("code").alias(f"{c}_enc"))
@@ -156,11 +164,9 @@ def build(df: DataFrame, config: S.FeatureConfig = S.FeatureConfig(), *, guard:
     out = out.withColumns(calendar_features() | event_flags(df) | snap_flag(df))
     since = days_since_event()
     out = out.withColumn("__n", since["__n"]).withColumn("days_since_event", since["days_since_event"]).drop("__n")
-    out = price_features(out)
+    out = price_features(out, df)
     codes = fit_codes(df, config.encoded)
     out = null_safety(encode(out, codes, config.encoded))
     made = [c for c in out.columns if c not in columns]
     out = out.select(*columns, *made)
-    return Features(out, feature_names(out.columns), codes)
-
-
+    return Features(out, feature_names(out.columns), codes, df)

@@ -17,12 +17,14 @@ def lean(df: DataFrame, keep: Sequence[str] = S.CALENDAR_COLUMNS) -> DataFrame:
 
 
 def melt_days(wide: DataFrame, days: Sequence[str] | None = None, ids: Sequence[str] = S.ID_COLUMNS) -> DataFrame:
-    """One row per series and day column, null cells included: an array of structs exploded, so one narrow pass."""
+    """One row per series and day column, null cells included: one float array exploded with its positions, which give
+    the names, so one narrow pass."""
     days = list(days) if days is not None else [c for c in wide.columns if c.startswith("d_") and c[2:].isdigit()]
     if not days:
         return wide.select(*ids, F.lit(None).cast("string").alias("d"), F.lit(None).cast("float").alias("sales"), F.lit(None).cast("smallint").alias("d_int")).where("false")
-    cells = F.array(*[F.struct(F.lit(c).alias("d"), F.col(c).cast("float").alias("sales")) for c in days])
-    return wide.select(*ids, F.explode(cells).alias("x")).select(*ids, "x.d", "x.sales").withColumn("d_int", day_index("d"))
+    cells = wide.select(*ids, F.posexplode(F.array(*[F.col(c).cast("float") for c in days])).alias("__at", "sales"))
+    name = F.element_at(F.array(*[F.lit(c) for c in days]), F.col("__at") + 1)
+    return cells.select(*ids, name.alias("d"), "sales").withColumn("d_int", day_index("d"))
 
 
 def widen_days(long: DataFrame, days: Sequence[str], ids: Sequence[str] = S.ID_COLUMNS) -> DataFrame:

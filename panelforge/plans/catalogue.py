@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.functions import schema as S
-from panelforge.functions.scalars import day_index, null_count, number, safe_divide
+from panelforge.functions.scalars import date, day_index, null_count, number, safe_divide, share_text
 from panelforge.operators import clean as C
 from panelforge.operators import enrich, explore, inventory, reshape, validate
 from panelforge.operators import features as X
 from panelforge.plans import panel, store
-from panelforge.sources import adapter
+from panelforge.sources import adapter, readers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,6 +26,11 @@ def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return panel.merged(adapter.sales_long(spark, sf_dir), adapter.calendar(spark), adapter.prices(spark, sf_dir))
 
 
+def dated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel with its calendar, for what needs no price."""
+    return enrich.join_calendar(adapter.sales_long(spark, sf_dir), adapter.calendar(spark))
+
+
 # Both engines read these: faults put into the panel at fixed places, so that every cleaning rule has work.
 _K = "(d_int + length(id))"
 FAULTS = {
@@ -188,13 +194,13 @@ _AUDITED = ["sales", "event_name_1", "weekday", "wm_yr_wk", "sell_price", "cat_i
 register("null_audit", lambda s, d: faulty(s, d).agg(*[null_count(c).alias(c) for c in _AUDITED]), f"{FAULTY} SELECT {', '.join(f'count(*) FILTER ({c} IS NULL) AS {c}' for c in _AUDITED)} FROM faulty")
 register("negative_count", lambda s, d: faulty(s, d).agg(F.count_if(F.col("sales") < 0).alias("negative")), f"{FAULTY} SELECT count(*) FILTER (sales < 0) AS negative FROM faulty")
 register("split_counts", lambda s, d: adapter.sales_long(s, d).groupBy(store.split_of().alias("split")).count().withColumnRenamed("count", "n"), f"{BASE} SELECT CASE WHEN d_int <= 1800 THEN 'train' WHEN d_int <= 1856 THEN 'valid' WHEN d_int <= 1913 THEN 'test' END AS split, count(*) AS n FROM long GROUP BY ALL")
-register("national_daily", lambda s, d: explore.national_daily(merged(s, d)), f"{BASE} SELECT date, sum(CAST(sales AS DOUBLE)) AS sales FROM merged GROUP BY date")
-register("state_daily", lambda s, d: explore.state_daily(merged(s, d)), f"{BASE} SELECT date, state_id, sum(CAST(sales AS DOUBLE)) AS sales FROM merged GROUP BY ALL")
+register("national_daily", lambda s, d: explore.national_daily(dated(s, d)), f"{BASE} SELECT date, sum(CAST(sales AS DOUBLE)) AS sales FROM merged GROUP BY date")
+register("state_daily", lambda s, d: explore.state_daily(dated(s, d)), f"{BASE} SELECT date, state_id, sum(CAST(sales AS DOUBLE)) AS sales FROM merged GROUP BY ALL")
 for _key in ("wday", "month"):
-    register(f"mean_by_{_key}", lambda s, d, k=_key: explore.mean_by(merged(s, d), k), f"{BASE} SELECT {_key}, avg(CAST(sales AS DOUBLE)) AS mean_sales FROM merged GROUP BY ALL")
+    register(f"mean_by_{_key}", lambda s, d, k=_key: explore.mean_by(dated(s, d), k), f"{BASE} SELECT {_key}, avg(CAST(sales AS DOUBLE)) AS mean_sales FROM merged GROUP BY ALL")
 register("zero_rate_store_cat", lambda s, d: explore.zero_rate(adapter.sales_long(s, d)), f"{BASE} SELECT store_id, cat_id, avg(CASE WHEN sales = 0 THEN 1.0 ELSE 0.0 END) AS zero_rate FROM long GROUP BY ALL")
 register("median_by_cat", lambda s, d: explore.median_by_category(adapter.sales_long(s, d)), f"{BASE} SELECT cat_id, median(CAST(sales AS DOUBLE)) AS median_sales FROM long WHERE sales > 0 GROUP BY cat_id")
-register("snap_effect", lambda s, d: explore.snap_effect(merged(s, d)), " UNION ALL ".join(
+register("snap_effect", lambda s, d: explore.snap_effect(dated(s, d)), " UNION ALL ".join(
     f"SELECT * FROM ({BASE} SELECT state_id, avg(CAST(sales AS DOUBLE)) FILTER (snap_{x} = 1) AS snap_mean, avg(CAST(sales AS DOUBLE)) FILTER (snap_{x} = 0) AS other_mean FROM merged WHERE state_id = '{x}' GROUP BY state_id)" for x in S.STATES))
 register("summary_stats", lambda s, d: explore.summary(merged(s, d), adapter.calendar(s), adapter.prices(s, d)), f"""{BASE}
 SELECT count(*) AS rows, count(DISTINCT id) AS series, count(DISTINCT store_id) AS stores, count(DISTINCT state_id) AS states, min(date) AS first_date, max(date) AS last_date,
@@ -319,7 +325,7 @@ SELECT lagged.*, {_ROLL_SQL}, days_since_event, priced.* EXCLUDE (id, d_int)
 FROM lagged JOIN since USING (id, d_int) JOIN priced USING (id, d_int)""")
 
 # Smaller operators on their own
-register("snap_effect_long", lambda s, d: reshape.unpivot(explore.snap_effect(merged(s, d)), ["state_id"], ["snap_mean", "other_mean"], "measure", "sales"), f"""{BASE}, m AS (
+register("snap_effect_long", lambda s, d: reshape.unpivot(explore.snap_effect(dated(s, d)), ["state_id"], ["snap_mean", "other_mean"], "measure", "sales"), f"""{BASE}, m AS (
   SELECT state_id, avg(CAST(sales AS DOUBLE)) FILTER (flag = 1) AS snap_mean, avg(CAST(sales AS DOUBLE)) FILTER (flag = 0) AS other_mean
   FROM (SELECT state_id, sales, CASE state_id {" ".join(f"WHEN '{x}' THEN snap_{x}" for x in S.STATES)} END AS flag FROM merged WHERE state_id IN ('CA', 'TX', 'WI')) GROUP BY state_id)
 SELECT state_id, 'snap_mean' AS measure, snap_mean AS sales FROM m UNION ALL SELECT state_id, 'other_mean', other_mean FROM m""")
@@ -377,3 +383,61 @@ SELECT id, round(a, 6) AS mean_demand, round(sd, 6) AS std_demand, round(1.645 *
 register("total_cost", lambda s, d: inventory.safety_stock(adapter.sales_long(s, d)).select("id", F.round(inventory.total_cost("safety_stock", "mean_demand"), 6).alias("cost")), f"""{BASE}, m AS (SELECT id, avg(CAST(sales AS DOUBLE)) AS a, coalesce(stddev_samp(CAST(sales AS DOUBLE)), 0) AS sd FROM long GROUP BY id)
 SELECT id, round(0.05 * (1.645 * sqrt(7.0 * sd * sd + a * a * 2.25)) + 2.0 * a, 6) AS cost FROM m""")
 register("safe_divide", lambda s, d: adapter.prices(s, d).select("store_id", "item_id", "wm_yr_wk", safe_divide(F.col("sell_price"), F.col("wm_yr_wk") % 3, 1.0).alias("ratio")), f"{BASE} SELECT store_id, item_id, wm_yr_wk, CAST(coalesce(CAST(sell_price AS DOUBLE) / nullif(wm_yr_wk % 3, 0), 1) AS FLOAT) AS ratio FROM prices")
+
+# The path from files: what is read back was written into the shared folder before
+
+
+def _written(s: SparkSession, name: str, df: DataFrame) -> str:
+    path = f"{readers.scratch_dir(s)}/files-{uuid.uuid4().hex}/{name}"
+    df.write.csv(path, header=True)
+    return path
+
+
+def _wide(s: SparkSession, d: str) -> DataFrame:
+    return reshape.widen_days(adapter.sales_long(s, d), _ALL_DAYS)
+
+
+def _built(s: SparkSession, d: str) -> DataFrame:
+    """The panel built from its three files, by the command line's function; a second call keeps what is there."""
+    where = f"{readers.scratch_dir(s)}/panel-{uuid.uuid4().hex}"
+    for name, df in (("calendar", adapter.calendar(s)), ("prices", adapter.prices(s, d)), ("sales", _wide(s, d))):
+        df.write.csv(f"{where}/{panel.FILES[name]}", header=True)
+    for _ in range(2):
+        output = panel.build_panel(s, where, f"{where}/panel", day_range=(1, adapter.DAYS))
+    return readers.read_panel(s, output)
+
+
+def _stored(s: SparkSession, d: str) -> store.FeatureStore:
+    made = store.FeatureStore(s, f"{readers.scratch_dir(s)}/store-{uuid.uuid4().hex}")
+    df = tidy(s, d)
+    made.save(df, X.fit_codes(df))
+    made.save(df.limit(0))  # a complete store is kept
+    return made
+
+
+def _manifest(s: SparkSession, d: str) -> DataFrame:
+    found = _stored(s, d).load_manifest()
+    counts = [(k, int(found[k])) for k in ("n_features", "n_rows", "train_rows", "valid_rows", "test_rows", "null_count", "forecast_horizon")]
+    counts += [(f"group {g}", len(c)) for g, c in found["feature_groups"].items()]
+    return s.createDataFrame(counts, "name string, n bigint")
+
+
+_PANEL_COLUMNS = ["id", "item_id", "store_id", "d", "d_int", "sales", "date", "wm_yr_wk", "weekday", "event_name_1", "snap_TX", "sell_price"]
+register("csv_calendar", lambda s, d: readers.read_calendar(s, _written(s, "calendar", adapter.calendar(s))), f"{BASE} SELECT * FROM cal")
+register("csv_prices", lambda s, d: readers.read_prices(s, _written(s, "prices", adapter.prices(s, d))), f"{BASE} SELECT * FROM prices")
+register("csv_sales_meta", lambda s, d: readers.read_sales_meta(s, _written(s, "sales", _wide(s, d))), f"{BASE} SELECT id, item_id, dept_id, cat_id, store_id, state_id FROM meta")
+register("csv_day_range", lambda s, d: reshape.melt_days(readers.read_sales_wide(s, _written(s, "sales", _wide(s, d)), (1801, 1856))).select("id", "d", "sales", "d_int"), f"{BASE} SELECT id, d, sales, d_int FROM long WHERE d_int BETWEEN 1801 AND 1856")
+register("panel_build", lambda s, d: _built(s, d).select(*_PANEL_COLUMNS), f"{BASE} SELECT {', '.join(_PANEL_COLUMNS)} FROM merged")
+register("store_load_valid", lambda s, d: _stored(s, d).load_split("valid", ["id", "d_int", "sales", "sell_price"]), f"{TIDY} SELECT id, d_int, sales, sell_price FROM tidy WHERE d_int BETWEEN 1801 AND 1856")
+register("store_load_full", lambda s, d: _stored(s, d).load_split("full").select("id", "d_int", "sales", "event_name_1"), f"{TIDY} SELECT id, d_int, sales, event_name_1 FROM tidy")
+register("store_codes", lambda s, d: _stored(s, d).load_codes(), ORACLE_SQL["label_encode"])
+_TIDY_GROUPS = {"identifiers": 8, "target": 1, "lag_features": 0, "rolling_features": 0, "calendar_features": 13, "price_features": 1, "label_encoded": 0, "other": 0}
+register("store_manifest", _manifest, f"""{TIDY}, c AS (SELECT count(*) AS n, count(*) FILTER (d_int <= 1800) AS a, count(*) FILTER (d_int BETWEEN 1801 AND 1856) AS b, count(*) FILTER (d_int >= 1857) AS t FROM tidy)
+SELECT 'n_rows' AS name, n FROM c UNION ALL SELECT 'train_rows', a FROM c UNION ALL SELECT 'valid_rows', b FROM c UNION ALL SELECT 'test_rows', t FROM c
+UNION ALL SELECT 'null_count', count(*) FILTER (sales IS NULL OR sell_price IS NULL OR event_name_1 IS NULL) FROM tidy UNION ALL SELECT 'n_features', 23 UNION ALL SELECT 'forecast_horizon', 28""" + "".join(f" UNION ALL SELECT 'group {g}', {n}" for g, n in _TIDY_GROUPS.items()))
+register("files_present", lambda s, d: (lambda p: readers.file_report(s, [p, p + "-absent"]).select((F.col("path") == p).alias("written"), "present", (F.col("mb") > 0).alias("sized")))(_written(s, "prices", adapter.prices(s, d))), "SELECT * FROM (VALUES (true, true, true), (false, false, NULL)) t(written, present, sized)")
+register("clean_guarded", lambda s, d: C.clean(faulty(s, d)).df.select("id", "d_int", "sales", "sell_price", "wm_yr_wk", "cat_id"), f"{CLEAN} SELECT id, d_int, sales, sell_price, wm_yr_wk, cat_id FROM clean")
+register("features_guarded", lambda s, d: X.build(tidy(s, d)).df.select("id", "d_int", "sales_lag_28", "price_lag_7d", "is_snap_day"), f"{PRICED}, f AS (SELECT id, d_int, CAST(coalesce(lag(sales, 28) OVER (PARTITION BY id ORDER BY d_int), 0) AS FLOAT) AS sales_lag_28, {_SNAP_SQL} AS is_snap_day FROM tidy) SELECT id, d_int, sales_lag_28, price_lag_7d, is_snap_day FROM f JOIN priced USING (id, d_int)")
+register("coercing_dates", lambda s, d: adapter.calendar(s).select("d_int", date(F.when(F.col("d_int") % 5 == 0, F.col("weekday")).otherwise(F.col("date").cast("string"))).alias("date")), f"{BASE} SELECT d_int, TRY_CAST(CASE WHEN d_int % 5 = 0 THEN weekday ELSE CAST(date AS VARCHAR) END AS DATE) AS date FROM cal")
+register("audit_shares", lambda s, d: (lambda made: made.audit.select("step", share_text("fixed", F.lit(made.rows)).alias("share")))(C.clean(faulty(s, d), guard=False)), f"""{FAULTY}, n AS (SELECT count(*) AS rows FROM faulty), a AS ({ORACLE_SQL["clean_audit"].removeprefix(FAULTY)})
+SELECT step, printf('%.2f%%', fixed * 100.0 / rows) AS share FROM a, n""")

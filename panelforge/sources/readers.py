@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelforge.functions import schema as S
-from panelforge.functions.scalars import day_index, nan_to_null
+from panelforge.functions.scalars import date, day_index, nan_to_null
 
 # Tokens that CSV files of the raw data write for a missing value.
 NULL_TOKENS = [
@@ -19,12 +20,14 @@ NULL_TOKENS = [
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A typed, lazy scan by header names: no inference, and every null token becomes null before the cast."""
+    """A typed, lazy scan by header names: no inference, and every null token becomes null before the cast. What is no
+    date becomes null; what is no number raises."""
     names = spark.read.csv(path, header=True, enforceSchema=False).columns
     raw = spark.read.csv(path, header=True, schema=T.StructType([T.StructField(n, T.StringType()) for n in names]))
     present = [f for f in schema if f.name in names]
     clean = lambda c: F.when(~F.col(f"`{c}`").isin(NULL_TOKENS), F.col(f"`{c}`"))
-    return nan_to_null(raw.select(*[clean(f.name).cast(f.dataType).alias(f.name) for f in present]))
+    typed = lambda f: date(clean(f.name)) if isinstance(f.dataType, T.DateType) else clean(f.name).cast(f.dataType)
+    return nan_to_null(raw.select(*[typed(f).alias(f.name) for f in present]))
 
 
 def read_calendar(spark: SparkSession, path: str) -> DataFrame:
@@ -51,6 +54,18 @@ def read_panel(spark: SparkSession, path: str, columns: Sequence[str] | None = N
     return panel.select(*columns) if columns else panel
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """A folder for intermediate files within spark.checkpoint.dir, which driver and executors share; where that is unset
+    a local session gets a temporary one, and a cluster an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="panelforge-shared-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return f"{folder.rstrip('/')}/panelforge"
+
+
 def _path(spark: SparkSession, path: str):
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -38,5 +38,10 @@ def test_every_day_is_melted(spark, duck, name):
     test_against_sql(spark, duck, name)
 
 
+@pytest.mark.parametrize("name", ["csv_calendar", "csv_prices", "store_codes", "files_present", "clean_guarded", "coercing_dates", "audit_shares"])
+def test_files_store_and_guards(spark, duck, name):
+    test_against_sql(spark, duck, name)
+
+
 def test_every_query_has_sql():
     assert set(catalogue.QUERIES) == set(catalogue.ORACLE_SQL)
