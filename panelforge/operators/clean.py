@@ -75,8 +75,6 @@ def fill_prices(df: DataFrame) -> DataFrame:
     return step.crossJoin(F.broadcast(cap)).withColumn("sell_price", floored.cast("float")).drop("__cap")
 
 
-#: Ranges of series between which weeks are handed on; within a range each task fills by itself.
-WEEK_RANGES = 64
 
 
 def fill_weeks(df: DataFrame) -> DataFrame:
@@ -91,14 +89,14 @@ def fill_weeks(df: DataFrame) -> DataFrame:
     known = F.when(F.col("__w").isNotNull(), F.struct("d_int", "__w"))
     each = weeks.groupBy("id").agg(F.min(known)["__w"].alias("first"), F.max(known)["__w"].alias("last"))
     # kept, as a range must hold the same series wherever it is read
-    each = each.repartitionByRange(WEEK_RANGES, "id").withColumn("range", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
+    each = each.repartitionByRange("id").withColumn("range", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
     ends = each.groupBy("range").agg(F.max(F.when(F.col("last").isNotNull(), F.struct("id", "last")))["last"].alias("l"), F.min(F.when(F.col("first").isNotNull(), F.struct("id", "first")))["first"].alias("f"))
 
     def around(order, last: str, first: str):
         behind, ahead = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
         return F.last(last, ignorenulls=True).over(behind), F.first(first, ignorenulls=True).over(ahead)
 
-    before, after = around(Window.partitionBy(F.lit(0)).orderBy("range"), "l", "f")  # WEEK_RANGES rows
+    before, after = around(Window.partitionBy(F.lit(0)).orderBy("range"), "l", "f")  # a row for each shuffle partition
     ends = ends.select("range", before.alias("b"), after.alias("a"))
     before, after = around(Window.partitionBy("range").orderBy("id"), "last", "first")
     inside = each.select("id", "range", before.alias("__before"), after.alias("__after")).join(F.broadcast(ends), "range")

@@ -109,14 +109,16 @@ def fit_codes(df: DataFrame, columns=S.ENCODED_COLUMNS) -> DataFrame:
     return distinct.withColumn("code", code.cast("smallint"))
 
 
-#: Codes up to this many rows in all are broadcast, as Spark can't know the size of what it has yet to compute.
+#: Codes up to this many rows in all are broadcast, as Spark can't know the size of what it has yet to compute. Others are joined.
 BROADCAST_CODES = 200_000
 
 
 def encode(df: DataFrame, codes: DataFrame, columns=S.ENCODED_COLUMNS) -> DataFrame:
     """``{column}_enc`` by left joins; -1 for a value that was not there when the codes were fitted."""
-    codes = codes.persist(StorageLevel.MEMORY_AND_DISK)  # computed once, not once for each column
-    small = codes.count() <= BROADCAST_CODES
+    known = codes.limit(BROADCAST_CODES + 1).collect()
+    small = len(known) <= BROADCAST_CODES
+    if small:  # computed once, and without the panel's plan in each of the joins, which would cost more than the joins
+        codes = df.sparkSession.createDataFrame(known, codes.schema)
     for c in columns:
         if c in df.columns:
             dim = codes.where(F.col("column") == c).select(F.col("value").alias(c), F.col("code").alias(f"{c}_enc"))
