@@ -168,7 +168,8 @@ def near_duplicates(
        leader, not per pair. Two classes that meet in any bucket share that bucket's leader.
     3. The sets of a leader's classes are compared exactly, all with all, if they fit into one block. In a larger group
        all are first compared with the leader, then with a few pivots, each the smallest class outside of the
-       group's largest component so far (work that grows with the group, not with its square). Pairs within a component need no
+       group's largest component so far, while more are outside than one block holds (work that grows with the group,
+       not with its square). Pairs within a component need no
        comparison any more; the classes outside of the largest are compared with all others, block by block.
     4. Components are joined over these links and brought back to the documents, whose joins deal out large classes.
 
@@ -222,7 +223,9 @@ def _large_links(large: DataFrame, sets: DataFrame, percent: int, block_sets: in
         if last:
             return links.unionByName(_rest(outside, sets, percent, block_sets, block_shingles))
         fresh = outside.where("c <> main").join(tried, ["leader", "doc_id"], "left_anti")
-        pivots = materialise(fresh.groupBy("leader").agg(F.min(F.struct("doc_id", "c")).alias("p")).select("leader", F.col("p.doc_id").alias("pivot"), F.col("p.c").alias("pc")), "pivots")
+        # what fits into one block is compared at once instead
+        many = fresh.groupBy("leader").agg(F.min(F.struct("doc_id", "c")).alias("p"), F.count(F.lit(1)).alias("sets")).where(F.col("sets") > block_sets)
+        pivots = materialise(many.select("leader", F.col("p.doc_id").alias("pivot"), F.col("p.c").alias("pc")), "pivots")
         if pivots.isEmpty():
             return links if outside.where("c <> main").isEmpty() else links.unionByName(_rest(outside, sets, percent, block_sets, block_shingles))
         tried = tried.unionByName(pivots.select("leader", F.col("pivot").alias("doc_id")))
@@ -317,7 +320,7 @@ def _shingle_sets(docs: DataFrame, ids: DataFrame, shingle_words: int) -> DataFr
 
 def _with_sets(dealt: DataFrame, sets: DataFrame, group: list[str], order: tuple | list = ()) -> DataFrame:
     """The rows of ``dealt`` with their sets, each group's in one run."""
-    return dealt.hint("merge").join(sets, "doc_id").repartition(*group).sortWithinPartitions(*group, *order, "doc_id")
+    return dealt.join(sets, "doc_id").repartition(*group).sortWithinPartitions(*group, *order, "doc_id")
 
 
 def _verified(grouped: DataFrame, percent: int) -> DataFrame:
