@@ -214,10 +214,11 @@ def _large_links(large: DataFrame, sets: DataFrame, percent: int, block_sets: in
     """Links (a, b) that join all linked pairs of each group of ``large`` (leader, doc_id, n), as in ``near_duplicates``."""
     links = _star(large.select("leader", F.col("leader").alias("pivot"), "doc_id", "n"), sets, percent, block_sets, block_shingles)
     tried = large.select("leader", F.col("leader").alias("doc_id")).distinct()
+    marked = None
     for last in [False] * PIVOTS + [True]:
-        components = connected_components(links)
-        named = components.select(F.col("node").alias("doc_id"), "component")
-        marked = materialise(spread_join(large, named, ["doc_id"], ["leader"]).select("leader", "doc_id", "n", F.coalesce("component", "doc_id").alias("c")), "marked")
+        if marked is None:
+            named = connected_components(links).select(F.col("node").alias("doc_id"), "component")
+            marked = materialise(spread_join(large, named, ["doc_id"], ["leader"]).select("leader", "doc_id", "n", F.coalesce("component", "doc_id").alias("c")), "marked")
         main = marked.groupBy("leader", "c").count().groupBy("leader").agg(F.max(F.struct("count", "c")).alias("m")).select("leader", F.col("m.c").alias("main"))
         outside = spread_join(marked, main, ["leader"], ["doc_id"], "inner")
         if last:
@@ -230,7 +231,9 @@ def _large_links(large: DataFrame, sets: DataFrame, percent: int, block_sets: in
             return links if outside.where("c <> main").isEmpty() else links.unionByName(_rest(outside, sets, percent, block_sets, block_shingles))
         tried = tried.unionByName(pivots.select("leader", F.col("pivot").alias("doc_id")))
         asked = spread_join(marked, pivots, ["leader"], ["doc_id"], "inner").where("c <> pc")
-        links = links.unionByName(_star(asked.select("leader", "pivot", "doc_id", "n"), sets, percent, block_sets, block_shingles))
+        found = _star(asked.select("leader", "pivot", "doc_id", "n"), sets, percent, block_sets, block_shingles)
+        if not found.isEmpty():  # without new links the components stay as they are
+            links, marked = links.unionByName(found), None
 
 
 def _star(pairs: DataFrame, sets: DataFrame, percent: int, block_sets: int, block_shingles: int) -> DataFrame:
