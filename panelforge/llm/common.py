@@ -219,14 +219,15 @@ def bounded_texts(rows: DataFrame, *, most: int, most_bytes: int, by_label: bool
     """(text, label) of distinct rows of ``rows`` (text, label), both known: those with the smallest hashes, ``most`` in
     all or, ``by_label``, of each label; each label then takes whole texts while they fit into its ``most_bytes``.
 
-    Only hashes and lengths of the candidates are ranked; texts come to the driver within these bounds. Repeated rows
-    count once. Rows and bytes are bounded whatever the table holds.
+    Only hashes and lengths of the candidates are ranked, of each label those in the ranges of hashes that can hold its
+    smallest; texts come to the driver within these bounds. Repeated rows count once. Rows and bytes are bounded whatever
+    the table holds, if the labels are.
     """
     hashed = rows.select("label", "text", F.xxhash64("text", F.lit(seed)).alias("h"))
     sizes = hashed.groupBy("label", "h").agg(F.max(F.octet_length("text")).alias("n"))
     if by_label:
         rank = F.row_number().over(Window.partitionBy("label").orderBy("h"))
-        first = sizes.withColumn("rank", rank).where(F.col("rank") <= most).drop("rank")
+        first = _smallest_ranges(materialise(sizes, "candidates"), most).withColumn("rank", rank).where(F.col("rank") <= most).drop("rank")
     else:
         first = sizes.orderBy("h", "label").limit(most)
     room: dict = {}
@@ -241,3 +242,17 @@ def bounded_texts(rows: DataFrame, *, most: int, most_bytes: int, by_label: bool
     chosen = rows.sparkSession.createDataFrame(picked, sizes.select("label", "h").schema)
     found = hashed.join(F.broadcast(chosen), ["label", "h"]).groupBy("label", "h").agg(F.min("text").alias("text"))
     return [(r.text, r.label) for r in sorted(found.collect(), key=lambda r: (r.h, str(r.label)))]
+
+
+def _smallest_ranges(sizes: DataFrame, most: int, bits: int = 10) -> DataFrame:
+    """The rows of ``sizes`` (label, h, n) in the lowest of 2**bits equal ranges of hashes that together hold ``most`` of
+    their label, or all of a label with fewer: its ``most`` smallest are among them. The driver gets a count a range."""
+    at = F.shiftright("h", 64 - bits)
+    ends: dict = {}
+    held: dict = {}
+    for row in sorted(sizes.groupBy("label", at.alias("range")).count().collect(), key=lambda r: r.range):
+        if held.get(row.label, 0) < most:
+            held[row.label] = held.get(row.label, 0) + row["count"]
+            ends[row.label] = row.range
+    bounds = sizes.sparkSession.createDataFrame(list(ends.items()), T.StructType([sizes.schema["label"], T.StructField("end", T.IntegerType())]))
+    return sizes.join(F.broadcast(bounds), "label").where(at <= F.col("end")).select(*sizes.columns)

@@ -67,6 +67,18 @@ def test_samples_do_not_shrink_with_the_table(spark, monkeypatch):
     assert len(per) == 100 and sum(y for _, y in per) == 50
     assert sum(len(t) for t, _ in common.bounded_texts(rows, most=700, most_bytes=100)) <= 100
     assert common.bounded_texts(rows.where("false"), most=5, most_bytes=5) == []
+    assert common.bounded_texts(rows.where("false"), most=5, most_bytes=5, by_label=True) == []
+
+
+def test_texts_by_label_are_those_with_the_smallest_hashes(spark):
+    made = [(f"text {i}", "xy"[i % 7 == 0]) for i in range(3000)] + [("text 1", "x")] * 900 + [("few", "z")]
+    rows = spark.createDataFrame(made, "text string, label string")
+    hashes = {r.text: r.h for r in rows.distinct().selectExpr("text", "xxhash64(text, 7) h").collect()}
+    for most in (1, 40, 5000):
+        got = common.bounded_texts(rows, most=most, most_bytes=10**6, by_label=True)
+        for label in "xyz":
+            want = sorted({t for t, y in made if y == label}, key=hashes.get)[:most]
+            assert sorted(t for t, y in got if y == label) == sorted(want)
 
 
 def test_toxicity_sweeps_a_long_text_in_linear_time():
