@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -29,8 +32,14 @@ COUNTED = 400_000
 ROUNDS = 2
 #: Tokens that a task holds and shuffles before it learns from them.
 HELD = 1 << 18
-#: Tokens scored by one matrix product.
-SCORED = 1 << 16
+#: Tokens of a batch that meet its shared draws at once.
+SHARE = 512
+#: Tokens scored at once: they share the exponentials of their contexts' words.
+SCORED = 1 << 18
+#: Scores of a matrix product that stay in the processor's cache.
+CACHED = 1 << 18
+#: Exponentials are multiplied for parts of scores below MOST and sums above LEAST; else whole scores are taken.
+MOST, LEAST = 30.0, 1e-15
 #: Classes in one row of a task's model, and models that are averaged by one task.
 BLOCK, FAN = 2048, 32
 
@@ -40,6 +49,14 @@ def tokens_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def _places(get: Callable, tokens: list[bytes], other: int, end: int) -> np.ndarray:
+    """``get`` of each token, ``other`` where it has none, and ``end`` behind them."""
+    found = np.empty(len(tokens) + 1, np.int64)
+    found[:-1] = np.fromiter(map(get, tokens, repeat(other)), np.int64, len(tokens))
+    found[-1] = end
+    return found
+
+
 def token_counts(docs: DataFrame) -> DataFrame:
     """(token, c) over all of ``docs``: counted within tasks in bounded dictionaries, then summed."""
     schema = "token binary, c bigint"
@@ -47,14 +64,13 @@ def token_counts(docs: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
 
     def run(batches):
-        counts: dict[bytes, int] = {}
-        get, ends = counts.get, 0
+        counts: Counter[bytes] = Counter()
+        ends = 0
         for batch in batches:
             texts = batch.column(0).to_pylist()
             ends += len(texts)
             for text in texts:
-                for w in tokens_of(text):
-                    counts[w] = get(w, 0) + 1
+                counts.update(tokens_of(text))
                 if len(counts) > COUNTED:
                     yield to_batch({"token": list(counts), "c": list(counts.values())}, arrow)
                     counts.clear()
@@ -101,14 +117,44 @@ class LogBilinear:
     def log_p(self, w: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
         """The natural log-probability of each class ``w`` after ``u`` (the last class) and ``v`` (the last but one)."""
         near, far, groups, own = self._ready()
-        q = near[u] + far[v]  # its last component is one, and meets the biases
+        q = near.take(u, axis=0)  # with the other half, its last component is one and meets the biases
+        q += far.take(v, axis=0)
         group = self.group_of[w]
-        out = np.concatenate([_picked(q[i : i + 2048] @ groups, group[i : i + 2048]) for i in range(0, len(q), 2048)])
-        order = np.argsort(group, kind="stable")
-        bounds = np.searchsorted(group[order], np.arange(len(self.starts)))
+        out = self._log_p_groups(q, group, u, v)
+        order, ranked = sorted_places(group)
+        bounds = np.searchsorted(ranked, np.arange(len(self.starts)))
+        q, w = q.take(order, axis=0), w[order]
+        inner = np.zeros(len(w))
         for k in np.flatnonzero((np.diff(bounds) > 0) & (np.diff(self.starts) > 1)):
-            some, first, last = order[bounds[k] : bounds[k + 1]], self.starts[k], self.starts[k + 1]
-            out[some] += _picked(q[some] @ own[:, first:last], w[some] - first)
+            first, last = self.starts[k], self.starts[k + 1]
+            rows = max(1, CACHED // (last - first))
+            for i in range(bounds[k], bounds[k + 1], rows):
+                some = slice(i, min(i + rows, bounds[k + 1]))
+                inner[some] = _picked(q[some] @ own[:, first:last], w[some] - first)
+        out[order] += inner
+        return out
+
+    def _log_p_groups(self, q: np.ndarray, group: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """The log-probability of each token's group. A score is a part by ``u`` and a part by ``v``, so the exponentials of
+        all scores are products of those of the distinct ``u`` and ``v``, which are taken once each."""
+        near, far, groups, _ = self._ready()
+        direct = lambda at: np.concatenate([_picked(q[at[i : i + 2048]] @ groups, group[at[i : i + 2048]]) for i in range(0, len(at), 2048)])
+        (us, ui), (vs, vi) = np.unique(u, return_inverse=True), np.unique(v, return_inverse=True)
+        if len(us) + len(vs) > len(u) // 2:
+            return direct(np.arange(len(u)))
+        parts = []
+        for table, at in ((near, us), (far, vs)):
+            parts.append(np.empty((len(at), groups.shape[1]), "f4"))
+            for i in range(0, len(at), 1024):
+                scores = np.matmul(table[at[i : i + 1024]], groups, out=parts[-1][i : i + 1024])
+                if not scores.max() < MOST:
+                    return direct(np.arange(len(u)))
+                np.exp(scores, out=scores)
+        z = np.concatenate([np.einsum("ij,ij->i", parts[0].take(ui[i : i + 512], axis=0), parts[1].take(vi[i : i + 512], axis=0)) for i in range(0, len(u), 512)])
+        out = np.einsum("ij,ij->i", q, np.ascontiguousarray(groups.T).take(group, axis=0)).astype("f8") - np.log(np.maximum(z, LEAST))
+        small = np.flatnonzero(z <= LEAST)  # products may have vanished
+        if len(small):
+            out[small] = direct(small)
         return out
 
     def _ready(self) -> tuple[np.ndarray, ...]:
@@ -141,12 +187,32 @@ def _picked(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
     return chosen - np.log(scores @ np.ones(scores.shape[1], "f4"))
 
 
+def sorted_places(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stable order of ``at`` (not negative), and ``at`` in it: one sort of plain numbers, several times as fast as argsort."""
+    bits = len(at).bit_length()
+    keys = at.astype(np.int64) << bits
+    keys |= np.arange(len(at))
+    keys.sort()
+    return keys & ((1 << bits) - 1), keys >> bits
+
+
+def _runs(places: np.ndarray) -> np.ndarray:
+    """Where the runs of equal places begin."""
+    return np.flatnonzero(np.append(True, places[1:] != places[:-1]))
+
+
+def _sums(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The sums of runs of rows. Pairs of components are added as one complex number, which halves numpy's work."""
+    if rows.ndim == 2 and rows.shape[1] % 2 == 0 and rows.dtype == np.float32:
+        return np.add.reduceat(np.ascontiguousarray(rows).view("c8"), first, axis=0).view("f4")
+    return np.add.reduceat(rows, first, axis=0)
+
+
 def add_rows(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct places, rising, with the sums of their rows."""
-    order = np.argsort(at, kind="stable")
-    places = at[order]
-    first = np.flatnonzero(np.append(True, places[1:] != places[:-1]))
-    return places[first], np.add.reduceat(rows[order], first, axis=0)
+    order, places = sorted_places(at)
+    first = _runs(places)
+    return places[first], _sums(rows.take(order, axis=0), first)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -175,9 +241,11 @@ class Trainer:
     def _move_rows(self, name: str, at: np.ndarray, g: np.ndarray) -> None:
         """One step size for each row, from the mean square of its gradient."""
         seen = self.seen[name]
-        seen[at] += g * g if g.ndim == 1 else (g * g).mean(axis=1)
-        step = self.rate / np.sqrt(seen[at])
-        getattr(self.m, name)[at] -= step * g if g.ndim == 1 else step[:, None] * g
+        now = seen[at] + (g * g if g.ndim == 1 else np.einsum("ij,ij->i", g, g) / np.float32(g.shape[1]))
+        seen[at] = now
+        step = self.rate / np.sqrt(now)
+        moved = getattr(self.m, name)
+        moved[at] = moved.take(at, axis=0) - (step * g if g.ndim == 1 else step[:, None] * g)
 
     def learn(self, sequences: list[np.ndarray]) -> None:
         """One pass over ``sequences``, in random order."""
@@ -186,41 +254,69 @@ class Trainer:
         self.counts += np.bincount(w, minlength=classes + 1)
         self.counts[classes] += len(sequences)
         for some in np.array_split(self.rng.permutation(len(w)), max(1, len(w) // self.batch)):
-            some = some[np.argsort(w[some])]
-            self._step(w[some], u[some], v[some])
+            order, rising = sorted_places(w[some])
+            some = some[order]
+            self._step(rising, u[some], v[some])
 
     def _step(self, w: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
         """``w`` rises, so classes and groups are runs."""
         m, n, noise = self.m, len(w), self.noise
         log_noise = np.float32(np.log(noise))
-        ru, rv = m.r[u], m.r[v]
+        ru, rv = m.r.take(u, axis=0), m.r.take(v, axis=0)
         q = ru @ m.c1 + rv @ m.c2
+        gq = np.empty_like(q)
+        one = np.hstack([q, np.ones((n, 1), "f4")])  # meets the biases
 
-        group = m.group_of[w]
+        # groups drawn for the whole batch, SHARE rows at a time, which stay in the processor's cache
         fake = np.minimum(np.searchsorted(self.group_upto, self.rng.random(self.shared)), len(m.g) - 1)
-        real = _sigmoid((q * m.g[group]).sum(1) + m.a[group] - self.log_group[group] - log_noise) - 1
-        other = _sigmoid(q @ m.g[fake].T + m.a[fake] - self.log_group[fake] - log_noise) * np.float32(noise / len(fake))
-        gq = real[:, None] * m.g[group] + other @ m.g[fake]
-        at, sums = add_rows(np.append(group, fake), np.concatenate([real[:, None] * q, other.T @ q]))
-        gg = np.zeros_like(m.g)
-        gg[at] = sums
-        ga = (np.bincount(group, real, len(m.g)) + np.bincount(fake, other.sum(0), len(m.g))).astype("f4")
-
-        first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
-        runs, places = group[first], np.repeat(np.arange(len(first)), np.diff(np.append(first, n)))
+        against = -np.vstack([m.g[fake].T, m.a[fake] - self.log_group[fake] - log_noise])
+        fake_sums = np.zeros((len(fake), one.shape[1]), "f4")
+        with np.errstate(over="ignore"):  # an infinite exponential stands for a probability of zero
+            for i in range(0, n, SHARE):
+                other = one[i : i + SHARE] @ against
+                np.exp(other, out=other)
+                other += 1
+                np.divide(np.float32(noise / len(fake)), other, out=other)
+                gq[i : i + SHARE] = other @ m.g[fake]
+                fake_sums += other.T @ one[i : i + SHARE]
+
+        # for each run of a group: the words drawn within it, and last the group itself
+        group = m.group_of[w]
+        first = _runs(group)
+        edges = np.append(first, n)
+        runs = group[first]
         low, high = self.upto[m.starts[runs]], self.upto[m.starts[runs + 1]]
         drawn = np.searchsorted(self.upto, low[:, None] + (high - low)[:, None] * self.rng.random((len(runs), self.inner)), side="right") - 1
         drawn = np.clip(drawn, m.starts[runs][:, None], m.starts[runs + 1][:, None] - 1)
+        sides = np.concatenate([m.t[drawn], m.g[runs][:, None]], axis=1)
+        biases = np.hstack([m.b[drawn] - self.log_inner[drawn], (m.a - self.log_group)[runs][:, None]]) - log_noise
+        tall = np.concatenate([sides, biases[:, :, None]], axis=2).transpose(0, 2, 1)
+        push = np.empty((n, self.inner + 1), "f4")
+        bounds = list(zip(range(len(runs)), edges[:-1].tolist(), edges[1:].tolist()))
+        for k, i, j in bounds:
+            np.matmul(one[i:j], tall[k], out=push[i:j])
+        push = _sigmoid(push)
         several = self.several[group].astype("f4")
-        word, vectors = m.t[w], m.t[drawn]
-        mine = (_sigmoid((q * word).sum(1) + m.b[w] - self.log_inner[w] - log_noise) - 1) * several
-        spread = vectors[places]
-        theirs = _sigmoid(np.matmul(spread, q[:, :, None])[:, :, 0] + (m.b[drawn] - self.log_inner[drawn])[places] - log_noise) * (several * np.float32(noise / self.inner))[:, None]
-        gq += mine[:, None] * word + np.matmul(theirs[:, None, :], spread)[:, 0]
-        own = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
-        drawn_sums = np.add.reduceat((theirs[:, :, None] * q[:, None, :]).reshape(n, -1), first, axis=0).reshape(-1, q.shape[1])
-        at, sums = add_rows(np.append(w[own], drawn.ravel()), np.concatenate([np.add.reduceat(mine[:, None] * q, own, axis=0), drawn_sums]))
-        _, biases = add_rows(np.append(w[own], drawn.ravel()), np.append(np.add.reduceat(mine, own), np.add.reduceat(theirs, first, axis=0).ravel()))
+        push[:, :-1] *= (several * np.float32(noise / self.inner))[:, None]
+        push[:, -1] -= 1
+        run_sums = np.empty((len(runs), self.inner + 1, one.shape[1]), "f4")
+        for k, i, j in bounds:
+            gq[i:j] += push[i:j] @ sides[k]
+            np.matmul(push[i:j].T, one[i:j], out=run_sums[k])
+        run_sums, run_biases = run_sums[:, :, :-1], run_sums[:, :, -1]
+        gg, ga = np.zeros_like(m.g), np.zeros_like(m.a)
+        gg[runs], ga[runs] = run_sums[:, -1], run_biases[:, -1]
+        np.add.at(gg, fake, fake_sums[:, :-1])
+        np.add.at(ga, fake, fake_sums[:, -1])
+
+        word = m.t.take(w, axis=0)
+        mine = (_sigmoid(np.einsum("ij,ij->i", q, word) + m.b[w] - self.log_inner[w] - log_noise) - 1) * several
+        word *= mine[:, None]
+        gq += word
+        own = _runs(w)
+        words = np.append(w[own], drawn.ravel())
+        at, sums = add_rows(words, np.concatenate([_sums(mine[:, None] * q, own), run_sums[:, :-1].reshape(-1, q.shape[1])]))
+        _, biases = add_rows(words, np.append(np.add.reduceat(mine, own), run_biases[:, :-1].ravel()))
 
         places, context = add_rows(np.append(u, v), np.concatenate([gq @ m.c1.T, gq @ m.c2.T]))
         dense = np.float32(50 / n)  # AdaGrad's step does not depend on the scale once it exceeds its start
@@ -298,7 +394,7 @@ def fit_all(docs: DataFrame, class_of: dict[bytes, int], unigram: np.ndarray, *,
             get, held, waiting = class_of.get, 0, []
             for batch in batches:
                 for text in batch.column(0):
-                    s = np.array([get(w, 0) for w in tokens_of(text.as_py())] + [1], dtype=np.int64)
+                    s = _places(get, tokens_of(text.as_py()), 0, 1)
                     waiting.append(s)
                     held += len(s)
                     if held >= HELD:
@@ -438,7 +534,7 @@ def _parts(docs: DataFrame, scorer_broadcast) -> DataFrame:
                 part = batch.slice(at, 512)
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     tokens = tokens_of(text)
-                    ids = np.array([get(w, none) for w in tokens] + [end], dtype=np.int64)
+                    ids = _places(get, tokens, none, end)
                     w = k[ids]
                     unowned = w == 0
                     shares = float(log_c[ids[unowned]].sum()) - unowned.sum() * s.other_denominator

@@ -126,6 +126,79 @@ def test_group_model_is_normalised():
     assert model.log_p(every, every * 0, every * 0)[77] == pytest.approx(model.log_p(every[77:78], every[:1], every[:1])[0], abs=1e-4)
 
 
+def _plain_log_p(model, w, u, v):
+    q = model.r[u].astype("f8") @ model.c1 + model.r[v] @ model.c2
+    s = model.g @ q + model.a
+    k = model.group_of[w]
+    first, last = model.starts[k], model.starts[k + 1]
+    t = model.t[first:last] @ q + model.b[first:last]
+    return s[k] - s.max() - np.log(np.exp(s - s.max()).sum()) + t[w - first] - t.max() - np.log(np.exp(t - t.max()).sum())
+
+
+@pytest.mark.parametrize("scale", [1, 40])  # 40: the parts' exponentials do not fit into plain numbers
+def test_exponentials_of_repeated_contexts_are_shared(monkeypatch, scale):
+    rng = np.random.default_rng(5)
+    unigram = 1 / np.arange(1, 1001)
+    model = lm.start(unigram / unigram.sum(), seed=4)
+    model.g += scale * rng.standard_normal(model.g.shape).astype("f4")
+    w, u, v = rng.integers(0, 1000, 5000), rng.integers(0, 60, 5000), rng.integers(0, 60, 5000)
+    taken, exp = [], np.exp
+    monkeypatch.setattr(np, "exp", lambda x, *more, **named: (taken.append(np.size(x)), exp(x, *more, **named))[1])
+    got = model.log_p(w, u, v)
+    monkeypatch.undo()
+    if scale == 1:  # the groups of each word of a context once, and the classes of each token's group
+        inner = np.diff(model.starts)[model.group_of[w]].sum()
+        assert sum(taken) <= 120 * len(model.g) + inner
+    for i in range(0, 5000, 97):
+        assert got[i] == pytest.approx(_plain_log_p(model, w[i], u[i], v[i]), rel=1e-4, abs=1e-3), i
+
+
+def test_a_training_step_against_plain_formulas():
+    rng = np.random.default_rng(6)
+    unigram = 1 / np.arange(1, 201)
+    unigram /= unigram.sum()
+    model = lm.start(unigram, seed=4)
+    for x in (model.r, model.t, model.g):
+        x += rng.standard_normal(x.shape).astype("f4")
+    trainer = lm.Trainer(model.copy(), unigram, np.random.default_rng(9), shared=20)
+    w, u, v = np.sort(rng.choice(200, 700, p=unigram)), rng.integers(0, 201, 700), rng.integers(0, 201, 700)
+    trainer._step(w, u, v)
+
+    rng, p, noise = np.random.default_rng(9), trainer, 15
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    grad = {k: np.zeros(getattr(model, k).shape) for k in ("r", "t", "b", "g", "a", "c1", "c2")}
+    fake = np.minimum(np.searchsorted(p.group_upto, rng.random(20)), len(model.g) - 1)
+    group = model.group_of[w]
+    runs = np.unique(group)
+    low, high = p.upto[model.starts[runs]], p.upto[model.starts[runs + 1]]
+    drawn = np.searchsorted(p.upto, low[:, None] + (high - low)[:, None] * rng.random((len(runs), 4)), side="right") - 1
+    drawn = np.clip(drawn, model.starts[runs][:, None], model.starts[runs + 1][:, None] - 1)
+    for x, y, z, k in zip(w, u, v, group):
+        q = model.r[y].astype("f8") @ model.c1 + model.r[z] @ model.c2
+        pairs = [("g", "a", k, 1.0, p.log_group[k], 1)] + [("g", "a", f, noise / 20, p.log_group[f], 0) for f in fake]
+        if model.starts[k + 1] - model.starts[k] > 1:
+            pairs += [("t", "b", x, 1.0, p.log_inner[x], 1)]
+            pairs += [("t", "b", d, noise / 4, p.log_inner[d], 0) for d in drawn[np.searchsorted(runs, k)]]
+        gq = 0
+        for vectors, biases, at, weight, log_noise, true in pairs:
+            rows = getattr(model, vectors)
+            e = weight * (sigmoid(rows[at] @ q + getattr(model, biases)[at] - log_noise - np.log(noise)) - true)
+            grad[vectors][at] += e * q
+            grad[biases][at] += e
+            gq = gq + e * rows[at]
+        grad["r"][y] += model.c1 @ gq
+        grad["r"][z] += model.c2 @ gq
+        grad["c1"] += np.outer(model.r[y], gq)
+        grad["c2"] += np.outer(model.r[z], gq)
+    for k, g in grad.items():
+        if k in ("r", "t"):
+            step = g / np.sqrt(1e-2 + (g * g).mean(axis=1, keepdims=True))
+        else:
+            g = g if k == "b" else g * 50 / 700
+            step = g / np.sqrt(1e-2 + g * g)
+        assert np.allclose(getattr(trainer.m, k), getattr(model, k) - 0.1 * step, atol=2e-3), k
+
+
 def test_scores_against_plain_loops_and_averaging_in_several_levels(spark, monkeypatch):
     monkeypatch.setattr(lm, "FAN", 2)  # six tasks: three levels of averaging
     monkeypatch.setattr(lm, "BLOCK", 16)
