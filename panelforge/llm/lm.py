@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Callable
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import arrow_schema, crc_of_id, materialise, one_blas_thread, ship, to_batch
+from panelforge.llm.common import BATCH_ROWS, arrow_schema, crc_of_id, materialise, one_blas_thread, ship, to_batch
 
 #: The end token; words never hold white space.
 END = b"\n"
@@ -26,8 +25,6 @@ SPREAD = 32
 SIZE = 16
 #: Words whose counts are sent to every task: the most frequent ones, this many at most. Others are joined.
 FREQUENT = 200_000
-#: Distinct words that a task counts before it passes them on.
-COUNTED = 400_000
 #: Parts of the training documents, each learned from once; the tasks' models are averaged after each.
 ROUNDS = 2
 #: Tokens that a task holds and shuffles before it learns from them.
@@ -49,34 +46,35 @@ def tokens_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def _places(get: Callable, tokens: list[bytes], other: int, end: int) -> np.ndarray:
-    """``get`` of each token, ``other`` where it has none, and ``end`` behind them."""
-    found = np.empty(len(tokens) + 1, np.int64)
-    found[:-1] = np.fromiter(map(get, tokens, repeat(other)), np.int64, len(tokens))
-    found[-1] = end
-    return found
+def split_tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The tokens of all ``texts``, as ``tokens_of`` gives them, one after the other, and the number of each text."""
+    clean = pc.ascii_trim_whitespace(pc.ascii_lower(texts.cast(pa.string()).fill_null("")))
+    lists = pc.ascii_split_whitespace(clean)
+    n = np.array(pc.list_value_length(lists), dtype=np.int64)
+    n[np.array(pc.binary_length(clean)) == 0] = 0
+    tokens = lists.flatten()
+    return tokens.filter(pc.greater(pc.binary_length(tokens), 0)).cast(pa.binary()), n
+
+
+def _places(tokens: pa.Array, known: pa.Array) -> np.ndarray:
+    """Where each token stands in ``known``; the length of ``known``, if nowhere."""
+    return np.array(pc.index_in(tokens, value_set=known).fill_null(len(known)), dtype=np.int64)
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
-    """(token, c) over all of ``docs``: counted within tasks in bounded dictionaries, then summed."""
+    """(token, c) over all of ``docs``: counted within Arrow batches, then summed."""
     schema = "token binary, c bigint"
     arrow = arrow_schema(schema)
     ship(docs.sparkSession)
 
     def run(batches):
-        counts: Counter[bytes] = Counter()
         ends = 0
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            ends += len(texts)
-            for text in texts:
-                counts.update(tokens_of(text))
-                if len(counts) > COUNTED:
-                    yield to_batch({"token": list(counts), "c": list(counts.values())}, arrow)
-                    counts.clear()
+            ends += batch.num_rows
+            counted = pc.value_counts(split_tokens(batch.column(0))[0])
+            yield to_batch({"token": counted.field("values"), "c": counted.field("counts")}, arrow)
         if ends:
-            counts[END] = ends
-        yield to_batch({"token": list(counts), "c": list(counts.values())}, arrow)
+            yield to_batch({"token": [END], "c": [ends]}, arrow)
 
     counted = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
     return counted.groupBy("token").agg(F.sum("c").alias("c"))
@@ -391,15 +389,17 @@ def fit_all(docs: DataFrame, class_of: dict[bytes, int], unigram: np.ndarray, *,
             common, class_of, unigram = sent.value
             task = TaskContext.get().partitionId()
             trainer = Trainer(common.copy(), unigram, np.random.default_rng([seed, at, task]))
-            get, held, waiting = class_of.get, 0, []
+            known, classes = pa.array(list(class_of), pa.binary()), np.array([*class_of.values(), 0])
+            held, waiting = 0, []
             for batch in batches:
-                for text in batch.column(0):
-                    s = _places(get, tokens_of(text.as_py()), 0, 1)
-                    waiting.append(s)
-                    held += len(s)
-                    if held >= HELD:
-                        trainer.learn(waiting)
-                        held, waiting = 0, []
+                for first in range(0, batch.num_rows, BATCH_ROWS):
+                    tokens, n = split_tokens(batch.column(0).slice(first, BATCH_ROWS))
+                    for s in np.split(classes[_places(tokens, known)], np.cumsum(n)[:-1]):
+                        waiting.append(np.append(s, class_of[END]))
+                        held += len(s) + 1
+                        if held >= HELD:
+                            trainer.learn(waiting)
+                            held, waiting = 0, []
             if waiting:
                 trainer.learn(waiting)
             if trainer.counts.any():
@@ -503,13 +503,13 @@ def _parts(docs: DataFrame, scorer_broadcast) -> DataFrame:
         one_blas_thread()
         s: Scorer = scorer_broadcast.value
         words = list(s.words)
-        place = dict(zip(words, range(len(words))))
+        known_words = pa.array(words, pa.binary())
         c = np.array([s.words[w][0] for w in words] + [0], dtype=np.float64)
         k = np.array([s.words[w][1] for w in words] + [0], dtype=np.int64)
         log_c, known = np.log10(c + 0.5), (c > 0)
         log_c[-1], begin = 0.0, len(s.model.t)
         ln10 = np.log(10)
-        get, end, none = place.get, place[END], len(words)
+        end, none = words.index(END), len(words)
         out: dict[str, list] = {f.name: [] for f in arrow}
         waiting: list[tuple] = []
 
@@ -521,7 +521,8 @@ def _parts(docs: DataFrame, scorer_broadcast) -> DataFrame:
             u[edges[:-1]] = begin
             v = np.append(begin, u[:-1])
             v[edges[:-1]] = begin
-            p = np.concatenate([s.model.log_p(w[i : i + SCORED], u[i : i + SCORED], v[i : i + SCORED]) for i in range(0, len(w), SCORED)])
+            cuts = np.linspace(0, len(w), 1 + max(1, len(w) // SCORED), dtype=np.int64)
+            p = np.concatenate([s.model.log_p(w[i:j], u[i:j], v[i:j]) for i, j in zip(cuts, cuts[1:])])
             sums = np.add.reduceat(p.astype("f8"), edges[:-1]) / ln10
             for (row, shares, _), mine in zip(waiting, sums.tolist()):
                 for name, value in zip(out, (*row, mine + shares, None, None, True)):
@@ -530,11 +531,14 @@ def _parts(docs: DataFrame, scorer_broadcast) -> DataFrame:
 
         held = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    tokens = tokens_of(text)
-                    ids = _places(get, tokens, none, end)
+            for at in range(0, batch.num_rows, BATCH_ROWS):
+                part = batch.slice(at, BATCH_ROWS)
+                tokens, n = split_tokens(part.column(1))
+                found, cuts = _places(tokens, known_words), np.cumsum(n)[:-1]
+                unknown = np.flatnonzero(found == none)
+                others = np.split(np.array(tokens.take(pa.array(unknown)).to_pylist(), dtype=object), np.searchsorted(unknown, cuts))
+                for doc_id, text, ids, rarer in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), np.split(found, cuts), others):
+                    ids = np.append(ids, end)
                     w = k[ids]
                     unowned = w == 0
                     shares = float(log_c[ids[unowned]].sum()) - unowned.sum() * s.other_denominator
@@ -543,8 +547,8 @@ def _parts(docs: DataFrame, scorer_broadcast) -> DataFrame:
                     waiting.append(((key, doc_id, len(ids), int(known[ids].sum()), base), shares, w))
                     held += len(w)
                     rare: dict[bytes, int] = {}
-                    for i in np.flatnonzero(ids == none):
-                        rare[tokens[i]] = rare.get(tokens[i], 0) + 1
+                    for token in rarer:
+                        rare[token] = rare.get(token, 0) + 1
                     if rare:
                         n = len(rare)
                         for name, value in (("key", key), ("own", False)):

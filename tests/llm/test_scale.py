@@ -4,6 +4,7 @@ import random
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from panelforge.llm import common, components, decontaminate, langid, lm, minhash, toxicity
@@ -126,6 +127,14 @@ def test_group_model_is_normalised():
     assert model.log_p(every, every * 0, every * 0)[77] == pytest.approx(model.log_p(every[77:78], every[:1], every[:1])[0], abs=1e-4)
 
 
+def test_tokens_of_whole_batches_are_those_of_single_texts():
+    texts = [None, "", " ", "A b", " a\t\tB\x0b\x0cc\r\n", "ÀÉ\xa0x\u2003y\x1cZ\x85", "Kelvin \u212a", "\x00 q", "end\n"]
+    for some in (texts, texts[1:2], texts[:0], texts[::-1]):
+        tokens, n = lm.split_tokens(pa.array(some, pa.string()))
+        assert tokens.to_pylist() == [w for t in some for w in lm.tokens_of(t)]
+        assert n.tolist() == [len(lm.tokens_of(t)) for t in some]
+
+
 def _plain_log_p(model, w, u, v):
     q = model.r[u].astype("f8") @ model.c1 + model.r[v] @ model.c2
     s = model.g @ q + model.a
