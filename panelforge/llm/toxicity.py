@@ -5,13 +5,14 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import bounded_sample, bounded_texts, crc_of_id, extend, worker_slot
+from panelforge.llm.common import bounded_rows, bounded_sample, crc_of_id, extend, map_batches, materialise, scratch, worker_slot
 
 # Letters of other scripts, and their lower-case forms, that look like Latin ones.
 _HOMOGLYPHS = str.maketrans(
@@ -33,6 +34,10 @@ MAX_TRAIN_DOCS = 8000
 MAX_TRAIN_BYTES = 128_000_000
 #: A term must occur in this share of the toxic families, and in so many toxic texts for each other one.
 SUPPORT, ODDS = 0.008, 19
+#: Lengths in bytes of the word beginnings that may become terms.
+PREFIXES = (4, 8)
+#: Training texts whose terms a task holds at once.
+LEARN_ROWS = 200
 
 
 def fold(text: str | None) -> str:
@@ -107,8 +112,8 @@ class Lexicon:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.slope * evidence + self.offset))))
 
 
-def learn_lexicon(rows: list[tuple[str | None, int]], prefixes: tuple[int, int] = (4, 8), *, support_share: float = SUPPORT, odds: float = ODDS) -> Lexicon:
-    """A lexicon from (text, 0 or 1) rows.
+def learn_lexicon(rows: list[tuple[str | None, int]], prefixes: tuple[int, int] = PREFIXES, *, support_share: float = SUPPORT, odds: float = ODDS) -> Lexicon:
+    """A lexicon from (text, 0 or 1) rows in memory; ``train`` learns the same from a table, without holding its texts.
 
     Terms are words and word beginnings that occur in enough toxic texts (``support_share`` of their families, three at
     least) and in hardly any other (one for ``odds`` toxic ones, at most). Near copies count
@@ -120,71 +125,95 @@ def learn_lexicon(rows: list[tuple[str | None, int]], prefixes: tuple[int, int]
     toxic = sum(y for _, y in folded)
     if not toxic:
         return Lexicon()
+    families: dict[str, set[int]] = defaultdict(set)
+    for term, family in _families((t for t, y in folded if y), prefixes):
+        families[term].add(family)
+    need = _need(len(families.pop("", ())), support_share)
+    support = {t for t, f in families.items() if len(f) >= need}
+    del families
+    hits, misses = _holding(folded, support, prefixes)
+    kept = [(t, n, misses[t]) for t, n in hits.items() if n >= odds * misses[t]]
+    lexicon = Lexicon(terms=_choose(kept, toxic, len(folded) - toxic, prefixes[0]))
+    lexicon.exceptions = sorted(f" {p} " for p, c in _phrases(folded, lexicon, lexicon.automaton()).items() if c[0] >= 3 and c[0] >= 4 * c[1])
+    _calibrate(_points(folded, lexicon, lexicon.automaton()), lexicon)
+    return lexicon
+
+
+def _terms_of(words: set[str], prefixes: tuple[int, int]) -> set[str]:
+    # lengths count bytes of UTF-8; a beginning must not end inside a character
     low, high = prefixes
+    cut = {f" {w[:n]}" for w in words for n in range(low, min(high, len(w)) + 1) if n == len(w) or ord(w[n]) & 0xC0 != 0x80}
+    return cut | {f" {w} " for w in words if len(w) >= 3}
 
-    def terms_of(words: set[str]) -> set[str]:
-        # lengths count bytes of UTF-8; a beginning must not end inside a character
-        cut = {f" {w[:n]}" for w in words for n in range(low, min(high, len(w)) + 1) if n == len(w) or ord(w[n]) & 0xC0 != 0x80}
-        return cut | {f" {w} " for w in words if len(w) >= 3}
 
-    families: dict[str, set[int]] = defaultdict(set)
-    for text, y in folded:
-        if y:
-            words = set(text.split())
-            if words:
-                family = min(xxhash.xxh32_intdigest(w.encode("latin-1")) for w in words)
-                for term in terms_of(words):
-                    families[term].add(family)
-    all_families = len(set().union(*families.values())) if families else 0
-    need = max(3, math.ceil(support_share * all_families))
-    support = {t: len(f) for t, f in families.items() if len(f) >= need}
-    del families
-    in_toxic: Counter[str] = Counter()
-    in_clean: Counter[str] = Counter()
+def _families(toxic: Iterable[str], prefixes: tuple[int, int]) -> Iterator[tuple[str, int]]:
+    """(term, family) for each term of each text that has words, and once more with "" for the term."""
+    for text in toxic:
+        words = set(text.split())
+        if words:
+            family = min(xxhash.xxh32_intdigest(w.encode("latin-1")) for w in words)
+            yield "", family
+            for term in _terms_of(words, prefixes):
+                yield term, family
+
+
+def _need(families: int, support_share: float) -> int:
+    return max(3, math.ceil(support_share * families))
+
+
+def _holding(folded: Iterable[tuple[str, int]], support: set[str], prefixes: tuple[int, int]) -> tuple[Counter[str], Counter[str]]:
+    """How many toxic texts, and how many others, hold each term of ``support``."""
+    hits: Counter[str] = Counter()
+    misses: Counter[str] = Counter()
     for text, y in folded:
-        (in_toxic if y else in_clean).update(terms_of(set(text.split())) & support.keys())
-    clean = len(folded) - toxic
+        (hits if y else misses).update(_terms_of(set(text.split()), prefixes) & support)
+    return hits, misses
+
+
+def _choose(kept: Iterable[tuple[str, int, int]], toxic: int, clean: int, low: int) -> dict[str, float]:
+    """Terms with weights from (term, toxic texts, other texts) of those that occur in hardly any other text."""
+    hits: dict[str, int] = {}
     chosen: dict[str, float] = {}
-    for term in support:
-        hit, miss = in_toxic[term], in_clean[term]
-        if hit >= odds * miss:
-            chosen[term] = round(min(7.0, math.log((hit + 0.5) / (toxic + 1)) - math.log((miss + 0.5) / (clean + 1))), 4)
-    for term in sorted(chosen, key=len, reverse=True):
+    for term, hit, miss in sorted(kept, key=lambda k: (-len(k[0]), k[0])):
+        hits[term] = hit
+        chosen[term] = round(min(7.0, math.log((hit + 0.5) / (toxic + 1)) - math.log((miss + 0.5) / (clean + 1))), 4)
+    for term in hits:
         # of a chain of beginnings the longest that says as much stays: " idiot " rather than " idio"
         for n in range(low + 1, len(term)):
             short = term[:n]
             if short in chosen and term in chosen:
-                if in_toxic[term] >= 0.98 * in_toxic[short]:
+                if hits[term] >= 0.98 * hits[short]:
                     del chosen[short]
                 else:
                     del chosen[term]
-    lexicon = Lexicon(terms=chosen)
-    lexicon.exceptions = _exceptions(folded, lexicon)
-    _calibrate(folded, lexicon)
-    return lexicon
+    return chosen
 
 
-def _exceptions(folded: list[tuple[str, int]], lexicon: Lexicon) -> list[str]:
+def _phrases(folded: Iterable[tuple[str, int]], lexicon: Lexicon, automaton) -> dict[str, Counter[int]]:
+    """How often each bigram around a term occurs in texts of either label."""
     around: dict[str, Counter[int]] = defaultdict(Counter)
-    automaton = lexicon.automaton()
     for text, y in folded:
         for start, _ in lexicon.evidence(text, automaton)[1]:
             stop = text.find(" ", start)
             before, after = text[max(0, start - 40) : start].split()[-1:], text[stop : stop + 40].split()[:1]
             term = text[start:stop]
             for phrase in {" ".join([*before, term]), " ".join([term, *after])}:
-                around[phrase][y] += " " in phrase
-    return sorted(f" {p} " for p, c in around.items() if c[0] >= 3 and c[0] >= 4 * c[1])
+                if " " in phrase:
+                    around[phrase][y] += 1
+    return around
+
 
+def _points(folded: Iterable[tuple[str, int]], lexicon: Lexicon, automaton) -> Counter[tuple[float, int]]:
+    return Counter((round(lexicon.evidence(t, automaton)[0], 3), y) for t, y in folded)
 
-def _calibrate(folded: list[tuple[str, int]], lexicon: Lexicon) -> None:
+
+def _calibrate(points: Counter[tuple[float, int]], lexicon: Lexicon) -> None:
     """Logistic regression on the one feature, by Newton steps with a little ridge."""
-    automaton = lexicon.automaton()
-    points = Counter((round(lexicon.evidence(t, automaton)[0], 3), y) for t, y in folded)
+    ordered = sorted(points.items())
     a, b = 4.0, -2.0
     for _ in range(60):
         g0 = g1 = h00 = h01 = h11 = 0.0
-        for (x, y), n in points.items():
+        for (x, y), n in ordered:
             p = 1 / (1 + math.exp(-max(-30.0, min(30.0, a * x + b))))
             r, v = n * (p - y), n * p * (1 - p)
             g0, g1, h00, h01, h11 = g0 + r, g1 + r * x, h00 + v, h01 + v * x, h11 + v * x * x
@@ -204,12 +233,60 @@ def train(docs: DataFrame, labels: DataFrame, *, max_docs: int = MAX_TRAIN_DOCS,
 
     Fitted on ``max_docs`` labelled ids, chosen by hash (so few that they can be broadcast), and on as many of their
     distinct texts within ``max_bytes``, however often an id is repeated. A null label or id teaches nothing; several
-    labels of an id count as toxic if one is. Empty tables: an empty lexicon.
+    labels of an id count as toxic if one is. Empty tables: an empty lexicon. Texts stay on the executors: the driver gets
+    hashes, lengths and counts of terms.
     """
     marked = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("label"))
     marked = bounded_sample(marked.where(crc_of_id() % 5 != 0), "doc_id", max_docs)
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(marked), "doc_id").where("text is not null")
-    return learn_lexicon(bounded_texts(texts.select("text", "label"), most=max_docs, most_bytes=max_bytes))
+    rows = bounded_rows(texts.select("text", "label"), most=max_docs, most_bytes=max_bytes)
+    if rows is None:
+        return Lexicon()
+    with scratch(docs.sparkSession):
+        return _learn_from(rows.select("text", "label"))
+
+
+def _learn_from(rows: DataFrame) -> Lexicon:
+    """What ``learn_lexicon`` learns from the rows (text, label), which tasks read and count."""
+    folded = materialise(map_batches(rows, lambda b: {"folded": [fold(t) for t in b["text"]], "y": [int(bool(y)) for y in b["label"]]}, "folded string, y int"), "folded")
+    sizes = {r.y: r["count"] for r in folded.groupBy("y").count().collect()}
+    toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
+    if not toxic:
+        return Lexicon()
+
+    def families(batch: dict) -> dict:
+        pairs = list(set(_families(batch["folded"], PREFIXES)))
+        return {"term": [t for t, _ in pairs], "family": [f for _, f in pairs]}
+
+    pairs = map_batches(folded.where("y = 1"), families, "term string, family bigint", most=LEARN_ROWS)
+    counts = materialise(pairs.distinct().groupBy("term").count(), "families")
+    need = _need(sum(r["count"] for r in counts.where("term = ''").collect()), SUPPORT)
+    support = {r.term for r in counts.where(f"term <> '' and count >= {need}").select("term").collect()}
+
+    def holding(batch: dict) -> dict:
+        hits, misses = _holding(zip(batch["folded"], batch["y"], strict=True), support, PREFIXES)
+        terms = list(hits.keys() | misses.keys())
+        return {"term": terms, "hits": [hits[t] for t in terms], "misses": [misses[t] for t in terms]}
+
+    sums = map_batches(folded, holding, "term string, hits bigint, misses bigint").groupBy("term").agg(F.sum("hits").alias("hits"), F.sum("misses").alias("misses"))
+    kept = [(r.term, r.hits, r.misses) for r in sums.where(F.col("hits") >= ODDS * F.col("misses")).collect()]
+    bare = Lexicon(terms=_choose(((t, h, m) for t, h, m in kept if h), toxic, clean, PREFIXES[0]))
+
+    def phrases(batch: dict) -> dict:
+        found = _phrases(zip(batch["folded"], batch["y"], strict=True), bare, worker_slot(("lexicon", bare.key()), bare.automaton))
+        return {"phrase": list(found), "toxic": [c[1] for c in found.values()], "clean": [c[0] for c in found.values()]}
+
+    around = map_batches(folded, phrases, "phrase string, toxic bigint, clean bigint").groupBy("phrase").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    exceptions = sorted(f" {r.phrase} " for r in around.where("clean >= 3 and clean >= 4 * toxic").select("phrase").collect())
+    lexicon = Lexicon(terms=bare.terms, exceptions=exceptions)
+
+    def points(batch: dict) -> dict:
+        found = _points(zip(batch["folded"], batch["y"], strict=True), lexicon, worker_slot(("lexicon", lexicon.key()), lexicon.automaton))
+        return {"x": [x for x, _ in found], "y": [y for _, y in found], "n": list(found.values())}
+
+    met = map_batches(folded, points, "x double, y int, n bigint").groupBy("x", "y").agg(F.sum("n").alias("n")).collect()
+    _calibrate(Counter({(r.x, r.y): r.n for r in met}), lexicon)
+    return lexicon
 
 
 def score_toxicity(docs: DataFrame, lexicon: Lexicon, *, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -294,3 +294,29 @@ def test_toxicity_and_decontamination_edges(spark):
     out = decontaminate.find_contamination(rows, bench)
     assert sorted((r.doc_id or 0, r.n_hit, len(r.hit_items)) for r in out.collect()) == [(0, 0, 0), (1, 2, 2), (1, 2, 2)] and out.columns.count("n_hit") == 1
     assert toxicity.score_toxicity(rows, lexicon).columns == ["doc_id", "text", "n_hit", "score", "predicted", "n_terms"]
+
+
+def test_toxicity_learns_without_texts_on_the_driver(spark, monkeypatch):
+    rng = random.Random(4)
+    plain = ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeiouàé") for _ in range(rng.randint(1, 5))) for _ in range(300)]
+    rows = []
+    for i in range(1200):
+        words = [rng.choice(plain) for _ in range(rng.randint(100, 300))]
+        if i % 6 == 0:
+            words[rng.randrange(1, 90)] = rng.choice(["Gr0mblor"] * 3 + ["snarkig" + rng.choice(plain)])
+        elif i % 240 == 1:
+            words[-1] = "gromblor fish"
+        rows.append((i, " ".join(words) if i % 50 else rng.choice(["", " ", None]), int(i % 6 == 0)))
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, toxic int")
+    known = docs.join(labels, "doc_id").where(common.crc_of_id() % 5 != 0).where("text is not null")
+    held = common.bounded_texts(known.selectExpr("text", "toxic as label"), most=2000, most_bytes=10**8)
+    got = []
+    collect = type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda self: got.append(collect(self)) or got[-1])
+    lexicon = toxicity.train(docs, labels)
+    largest = max((len(v) for rows in got for row in rows for v in row if isinstance(v, str)), default=0)
+    assert got and largest < 100 < max(len(t) for t, _ in held)  # no whole text came, only terms and phrases
+    plainly = toxicity.learn_lexicon(held)
+    assert lexicon == plainly and lexicon.exceptions and lexicon.key() == plainly.key() and any("snarkig" in t for t in lexicon.terms)
+    assert not [p for p in common._written if "/folded-" in p or "/families-" in p]
