@@ -9,6 +9,7 @@ import gc
 import os
 import tempfile
 import uuid
+import weakref
 import zipfile
 from collections.abc import Iterator
 
@@ -54,6 +55,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 #: Tables written to the shared folder and not yet removed.
 _written: list[str] = []
+_path_of: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -67,7 +69,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     if not _written:
         atexit.register(_remove_all, spark)
     _written.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _path_of[out] = path
+    return out
+
+
+def drop_table(df: DataFrame) -> None:
+    """Remove a table that ``materialise`` returned, once no plan reads it."""
+    path = _path_of.pop(df)
+    if path in _written:
+        _written.remove(path)
+        _remove(df.sparkSession, path)
 
 
 def stage_table(spark: SparkSession, name: str, make) -> DataFrame:
@@ -162,7 +174,7 @@ def map_batches(df: DataFrame, function, schema: str, *, most: int = BATCH_ROWS)
     Only one batch is held at a time, so memory is bounded by ``most`` rows (or 64 MB) whatever the partition.
     """
     kind = T._parse_datatype_string(schema)
-    arrow = _arrow_schema(kind)
+    arrow = schema_to_arrow(kind)
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,7 +198,7 @@ def extend(docs: DataFrame, text_col: str, keep: list[str] | None, added: str, w
     source = docs.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text_col}`").cast("string").alias("__text__"), *[F.col(c).alias(f"__also_{c}") for c in also])
     n = len(names)
     result = T.StructType(source.schema.fields[:n] + kind.fields)
-    arrow = _arrow_schema(result)
+    arrow = schema_to_arrow(result)
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,14 +218,14 @@ def to_batch(columns: dict, arrow: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in arrow], schema=arrow)
 
 
-def _arrow_schema(schema: T.StructType) -> pa.Schema:
+def schema_to_arrow(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     return to_arrow_schema(schema)
 
 
 def arrow_schema(schema: str) -> pa.Schema:
-    return _arrow_schema(T._parse_datatype_string(schema))
+    return schema_to_arrow(T._parse_datatype_string(schema))
 
 
 def crc_of_id(column: str = "doc_id"):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelforge.llm import chat, covertree, decontaminate, langid, lm, minhash, packing, pii, secrets, toxicity
+from panelforge.llm import chat, covertree, decontaminate, fim, hamerly, langid, lm, minhash, mixing, packing, pii, secrets, toxicity
 from panelforge.llm.common import crc_of_id, read_table
 
 
@@ -67,6 +67,29 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix(read_table(spark, sf_dir, "documents", "doc_id", "text", "source"), keep=["doc_id"])
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamerly.cluster(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.transform(read_table(spark, sf_dir, "documents", "doc_id", "text"), keep=["doc_id"])
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return out.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        digest(F.col("output")).alias("output_sha256"),
+        digest(fim.restored()).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_exact_topk": op2_exact_topk,
@@ -78,8 +101,44 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_dedup": op8_minhash_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
+    "op11_source_mix": op11_source_mix,
+    "op12_centroid_clusters": op12_centroid_clusters,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
+
+def _clusters_sql(k: int = 40, rounds: int = 5) -> str:
+    """Assignments and moves as one pair of CTEs a round."""
+    steps = [f"""WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v
+  FROM (SELECT sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, v FROM v ORDER BY h, v LIMIT {k})
+)"""]
+    for n in range(rounds + 1):
+        steps.append(f"""a{n} AS (
+  SELECT vec_id, x.v AS v, min((d, c)) AS best
+  FROM (SELECT p.vec_id, p.v, p.r, c.c, list_sum(list_transform(list_zip(p.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+        FROM (SELECT *, row_number() OVER () AS r FROM v) p CROSS JOIN c{n} c) x
+  GROUP BY r, vec_id, x.v
+)""")
+        if n < rounds:
+            steps.append(f"""s{n} AS (
+  SELECT c, i, sum(e) AS s, count(*) AS m FROM (SELECT best[2] AS c, unnest(v) AS e, unnest(range(1, 65)) AS i FROM a{n}) GROUP BY c, i
+), m{n} AS (
+  SELECT c, list(CAST((s - ((s % m) + m) % m) // m AS BIGINT) ORDER BY i) AS v FROM s{n} GROUP BY c
+), c{n + 1} AS (
+  SELECT c{n}.c, coalesce(m{n}.v, c{n}.v) AS v FROM c{n} LEFT JOIN m{n} USING (c)
+)""")
+    return ", ".join(steps) + f"""
+SELECT vec_id, CAST(best[2] AS INTEGER) AS cluster, CAST(best[1] AS BIGINT) AS distance,
+       CAST(sum(best[1]) OVER (PARTITION BY best[2]) AS BIGINT) AS cluster_inertia, CAST(sum(best[1]) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON c{rounds}.c = best[2]"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_formatting": """
 WITH numbered AS (
@@ -169,5 +228,52 @@ WITH letters AS (
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc_words d LEFT JOIN counted USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    "op11_source_mix": """
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+         CAST('0x' || substr(md5('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h
+  FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source
+), weighed AS (
+  SELECT source, source_size, CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS weight, CAST(3 * source_size AS DOUBLE) AS most FROM sources
+), ordered AS (
+  SELECT *, most / weight AS ratio, sum(most) OVER o AS limits, sum(weight) OVER o AS weights, CAST(sum(source_size) OVER () AS DOUBLE) AS total, sum(weight) OVER () AS every
+  FROM weighed WINDOW o AS (ORDER BY most / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)
+), reached AS (
+  SELECT coalesce(max(limits), 0) AS limits, coalesce(max(weights), 0) AS weights FROM ordered WHERE limits + ratio * (every - weights) <= total
+), aimed AS (
+  SELECT source, source_size, least((total - r.limits) / nullif(every - r.weights, 0) * weight, most) AS target FROM ordered, reached r
+), parts AS (
+  SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole FROM aimed
+), summed AS (
+  SELECT doc_id, size, source_size, target, whole, target - whole * source_size AS rest, sum(size) OVER (PARTITION BY d.source ORDER BY h) AS upto
+  FROM sized d JOIN parts p ON d.source IS NOT DISTINCT FROM p.source
+)
+SELECT doc_id, size, source_size, target,
+       CAST(size * (whole + CASE WHEN rest > 0 AND (upto <= rest OR (upto - size < rest AND 2 * (rest - (upto - size)) >= size)) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM summed
+""",
+    "op12_centroid_clusters": _clusters_sql(),
+    "op13_fill_in_middle": """
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS t,
+         sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+), drawn AS (
+  SELECT *, len(t) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM cut
+), parts AS (
+  SELECT doc_id, text, n,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form,
+         array_to_string(t[1:least(h1 % (n + 1), h2 % (n + 1))], '') AS p,
+         array_to_string(t[least(h1 % (n + 1), h2 % (n + 1)) + 1:greatest(h1 % (n + 1), h2 % (n + 1))], '') AS m,
+         array_to_string(t[greatest(h1 % (n + 1), h2 % (n + 1)) + 1:], '') AS s
+  FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE text END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
 """,
 }
