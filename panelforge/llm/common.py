@@ -195,9 +195,9 @@ def extend(docs: DataFrame, text_col: str, keep: list[str] | None, added: str, w
     """
     kind = T._parse_datatype_string(added)
     names = [c for c in (docs.columns if keep is None else keep) if c not in kind.names]
-    source = docs.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text_col}`").cast("string").alias("__text__"), *[F.col(c).alias(f"__also_{c}") for c in also])
     n = len(names)
-    result = T.StructType(source.schema.fields[:n] + kind.fields)
+    source = docs.select(*[F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(names)], F.col(f"`{text_col}`").cast("string").alias("__text__"), *[F.col(f"`{c}`").alias(f"__also_{i}") for i, c in enumerate(also)])
+    result = T.StructType([T.StructField(c, f.dataType, f.nullable, f.metadata) for c, f in zip(names, source.schema)] + kind.fields)
     arrow = schema_to_arrow(result)
     ship(docs.sparkSession)
 
