@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.functions import schema as S
+from panelforge.operators.quantiles import exact_quantiles
+from panelforge.operators.sampling import smallest
 
 
 def national_daily(df: DataFrame) -> DataFrame:
@@ -31,7 +35,7 @@ def zero_rate_matrix(df: DataFrame, categories: list[str]) -> DataFrame:
 
 
 def median_by_category(df: DataFrame) -> DataFrame:
-    return df.where("sales > 0").groupBy("cat_id").agg(F.median("sales").alias("median_sales")).orderBy(F.desc("median_sales"), "cat_id")
+    return exact_quantiles(df.where("sales > 0"), "sales", [0.5], ["cat_id"]).withColumnRenamed("q0", "median_sales").orderBy(F.desc("median_sales"), "cat_id")
 
 
 def snap_effect(df: DataFrame) -> DataFrame:
@@ -46,7 +50,7 @@ def snap_effect(df: DataFrame) -> DataFrame:
 
 def quantile(df: DataFrame, column: str, q: float) -> DataFrame:
     """Exact, with linear interpolation."""
-    return df.agg(F.percentile(column, F.lit(q)).alias("q"))
+    return exact_quantiles(df, column, [q]).withColumnRenamed("q0", "q")
 
 
 def histogram(df: DataFrame, column: str = "sales", bins: int = 80) -> DataFrame:
@@ -63,8 +67,7 @@ def histogram(df: DataFrame, column: str = "sales", bins: int = 80) -> DataFrame
 def box_stats(df: DataFrame) -> DataFrame:
     """Quartiles and whiskers (the furthest values within 1.5 interquartile ranges) of positive sales by category."""
     values = df.where("sales > 0").select("cat_id", F.col("sales").cast("double").alias("x"))
-    q = values.groupBy("cat_id").agg(F.percentile("x", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
-    q = q.select("cat_id", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    q = exact_quantiles(values, "x", [0.25, 0.5, 0.75], ["cat_id"]).toDF("cat_id", "q1", "median", "q3")
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = values.join(q, "cat_id").where((F.col("x") >= F.col("q1") - reach) & (F.col("x") <= F.col("q3") + reach))
     whiskers = inside.groupBy("cat_id").agg(F.min("x").alias("low"), F.max("x").alias("high"))
@@ -77,10 +80,16 @@ def price_elasticity(df: DataFrame) -> DataFrame:
     return used.groupBy("cat_id").agg(F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("intercept"), F.regr_count("y", "x").alias("n"))
 
 
-def seeded_sample(df: DataFrame, n: int, keys: list[str], seed: int = S.SEED) -> DataFrame:
-    """Exactly min(n, rows) rows, the same for the same seed: those with the smallest md5 of seed and keys."""
-    order = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]).cast("binary"))
-    return df.orderBy(order, *keys).limit(n)
+def seeded_sample(df: DataFrame, n: int, keys: Sequence[str], seed: int = S.SEED) -> DataFrame:
+    """Exactly min(n, rows) rows, the same for the same seed: those with the smallest md5 of seed and keys. ``keys`` should
+    tell rows apart; which of rows that agree in all of them are taken is left open."""
+    return smallest(df, n, F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]).cast("binary")))
+
+
+def price_report(prices: DataFrame) -> DataFrame:
+    """Median, least, largest price and the number of stores, in one row."""
+    ends = prices.agg(F.min("sell_price").alias("low"), F.max("sell_price").alias("high"), F.count_distinct("store_id").alias("stores"))
+    return quantile(prices, "sell_price", 0.5).withColumnRenamed("q", "median").crossJoin(F.broadcast(ends))
 
 
 def summary(df: DataFrame, calendar: DataFrame, prices: DataFrame) -> DataFrame:
@@ -96,5 +105,8 @@ def summary(df: DataFrame, calendar: DataFrame, prices: DataFrame) -> DataFrame:
         F.avg("sales").alias("mean_sales"),
     )
     days = calendar.agg(F.count(F.lit(1)).alias("calendar_rows"))
-    price = prices.agg(F.count(F.lit(1)).alias("price_rows"), F.median("sell_price").alias("median_price"), F.max("sell_price").cast("double").alias("max_price"))
-    return panel.crossJoin(F.broadcast(days)).crossJoin(F.broadcast(price))
+    price = prices.agg(F.count(F.lit(1)).alias("price_rows"), F.max("sell_price").cast("double").alias("max_price"))
+    median = quantile(prices, "sell_price", 0.5).withColumnRenamed("q", "median_price")
+    for one_row in (days, price, median):
+        panel = panel.crossJoin(F.broadcast(one_row))
+    return panel

@@ -4,29 +4,29 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelforge.functions import schema as S
 from panelforge.functions.scalars import by_series, last_rows, safe_divide
-from panelforge.operators.clean import require_no_nulls
+from panelforge.operators.clean import NullsGiven, stage_without_nulls
+from panelforge.sources.staging import Staging
 
 PRICE_LAG, PRICE_ROWS = 7, 28
 
 
 @dataclass
 class Features:
-    """The input is kept in the executors' storage, as several passes read it, until ``release``."""
+    """``df`` reads tables in the shared folder, which stay until ``release``."""
 
     df: DataFrame
     names: list[str]
     codes: DataFrame
-    held: DataFrame
+    staging: Staging
 
     def release(self) -> None:
-        self.held.unpersist()
+        self.staging.release()
 
 
 def lag_features(lags=S.LAGS) -> dict[str, Column]:
@@ -77,10 +77,10 @@ def days_since_event() -> dict[str, Column]:
 
 def price_features(df: DataFrame, base: DataFrame | None = None) -> DataFrame:
     """Series means as a window on the one partitioning by series; the few, huge store and category groups as an
-    aggregate joined back, since a window would put each in one task. ``base``: the kept frame that ``df`` adds
-    columns to; without it ``df`` is kept, as it is read twice."""
+    aggregate joined back, since a window would put each in one task. ``base``: the staged frame that ``df`` adds
+    columns to; without it ``df`` is staged, as it is read twice."""
     if base is None:
-        base = df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        base = df = Staging(df.sparkSession).table(df, "priced")[0]
     price = F.col("sell_price")
     lagged = F.coalesce(F.lag("sell_price", PRICE_LAG).over(by_series()), price)
     recent = F.avg("sell_price").over(last_rows(PRICE_ROWS)).cast("float")
@@ -109,20 +109,15 @@ def fit_codes(df: DataFrame, columns=S.ENCODED_COLUMNS) -> DataFrame:
     return distinct.withColumn("code", code.cast("smallint"))
 
 
-#: Codes up to this many rows in all are broadcast, as Spark can't know the size of what it has yet to compute. Others are joined.
-BROADCAST_CODES = 200_000
-
-
-def encode(df: DataFrame, codes: DataFrame, columns=S.ENCODED_COLUMNS) -> DataFrame:
-    """``{column}_enc`` by left joins; -1 for a value that was not there when the codes were fitted."""
-    known = codes.limit(BROADCAST_CODES + 1).collect()
-    small = len(known) <= BROADCAST_CODES
-    if small:  # computed once, and without the panel's plan in each of the joins, which would cost more than the joins
-        codes = df.sparkSession.createDataFrame(known, codes.schema)
-    for c in columns:
-        if c in df.columns:
-            dim = codes.where(F.col("column") == c).select(F.col("value").alias(c), F.col("code").alias(f"{c}_enc"))
-            df = df.join(F.broadcast(dim) if small else dim, c, "left").withColumn(f"{c}_enc", F.coalesce(f"{c}_enc", F.lit(-1).cast("smallint")))
+def encode(df: DataFrame, codes: DataFrame, columns=S.ENCODED_COLUMNS, staging: Staging | None = None) -> DataFrame:
+    """``{column}_enc`` by left joins; -1 for a value that was not there when the codes were fitted. Codes are staged, so
+    they are made once, and Spark knows their size: it broadcasts them below its own limit and joins them otherwise."""
+    present = [c for c in columns if c in df.columns]
+    if present:
+        codes, _ = (staging or Staging(df.sparkSession)).table(codes, "codes")
+    for c in present:
+        dim = codes.where(F.col("column") == c).select(F.col("value").alias(c), F.col("code").alias(f"{c}_enc"))
+        df = df.join(dim, c, "left").withColumn(f"{c}_enc", F.coalesce(f"{c}_enc", F.lit(-1).cast("smallint")))
     return df
 
 
@@ -144,10 +139,9 @@ def null_safety(df: DataFrame) -> DataFrame:
     return df.withColumns(out)
 
 
-def require_input(df: DataFrame) -> None:
+def require_columns(df: DataFrame) -> None:
     if missing := sorted(set(S.REQUIRED["features"]) - set(df.columns)):
         raise ValueError(f"columns are missing: {missing}")
-    require_no_nulls(df, ValueError)
 
 
 def feature_names(columns: list[str]) -> list[str]:
@@ -155,11 +149,14 @@ def feature_names(columns: list[str]) -> list[str]:
 
 
 def build(df: DataFrame, config: S.FeatureConfig = S.FeatureConfig(), *, guard: bool = True) -> Features:
-    """The feature matrix of a clean panel. All series windows share one shuffle by id and one sort."""
+    """The feature matrix of a clean panel. All series windows share one shuffle by id and one sort. The input is staged
+    once, as the codes, the group means and the windows read it; the guard counts its nulls as it passes."""
+    staging, columns = Staging(df.sparkSession), df.columns
     if guard:
-        require_input(df)
-    columns = df.columns
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)  # read by the codes, the group means and the windows
+        require_columns(df)
+        df = stage_without_nulls(df, staging, "panel", NullsGiven)
+    else:
+        df, _ = staging.table(df, "panel")
     out = df.withColumns(lag_features(config.lags))
     if config.windows:
         out = out.withColumns(rolling_features(config.windows, config.stats, f"sales_lag_{config.horizon}"))
@@ -168,7 +165,7 @@ def build(df: DataFrame, config: S.FeatureConfig = S.FeatureConfig(), *, guard:
     out = out.withColumn("__n", since["__n"]).withColumn("days_since_event", since["days_since_event"]).drop("__n")
     out = price_features(out, df)
     codes = fit_codes(df, config.encoded)
-    out = null_safety(encode(out, codes, config.encoded))
+    out = null_safety(encode(out, codes, config.encoded, staging))
     made = [c for c in out.columns if c not in columns]
     out = out.select(*columns, *made)
-    return Features(out, feature_names(out.columns), codes, df)
+    return Features(out, feature_names(out.columns), codes, staging)

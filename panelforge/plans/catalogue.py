@@ -335,7 +335,7 @@ register("coercing_cast", lambda s, d: adapter.table(s, d, "part").select("p_par
 register("chunk_union", lambda s, d: _chunks(s, d), f"{BASE} SELECT id, d, sales, d_int FROM long WHERE d_int <= 56")
 register("chunk_union_all_days", lambda s, d: _all_chunks(s, d), f"{BASE} SELECT id, d, sales, d_int FROM long")
 register("repeated_price_keys", lambda s, d: enrich.repeated_keys(adapter.prices(s, d).withColumn("wm_yr_wk", (F.col("wm_yr_wk") % 7).cast("smallint")), enrich.PRICE_KEY), f"{BASE} SELECT store_id, item_id, CAST(wm_yr_wk % 7 AS SMALLINT) AS wm_yr_wk, count(*) AS count FROM prices GROUP BY ALL HAVING count(*) > 1")
-register("price_report", lambda s, d: adapter.prices(s, d).agg(F.median("sell_price").alias("median"), F.min("sell_price").alias("low"), F.max("sell_price").alias("high"), F.count_distinct("store_id").alias("stores")), f"{BASE} SELECT median(CAST(sell_price AS DOUBLE)) AS median, min(sell_price) AS low, max(sell_price) AS high, count(DISTINCT store_id) AS stores FROM prices")
+register("price_report", lambda s, d: explore.price_report(adapter.prices(s, d)), f"{BASE} SELECT median(CAST(sell_price AS DOUBLE)) AS median, min(sell_price) AS low, max(sell_price) AS high, count(DISTINCT store_id) AS stores FROM prices")
 register("apply_codes", lambda s, d: X.encode(merged(s, d).select("id", "d_int", "weekday"), X.fit_codes(merged(s, d).where("wday > 2"), ["weekday"]), ["weekday"]).select("id", "d_int", "weekday_enc"), f"""{BASE}, v AS (SELECT value, CAST(dense_rank() OVER (ORDER BY value) - 1 AS SMALLINT) AS code FROM (SELECT DISTINCT weekday AS value FROM merged WHERE wday > 2))
 SELECT id, d_int, coalesce(code, CAST(-1 AS SMALLINT)) AS weekday_enc FROM merged LEFT JOIN v ON weekday = value""")
 

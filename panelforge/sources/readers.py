@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,6 +77,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    where, fs = _path(spark, path)
+    fs.delete(where, True)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is directly in a folder."""
+    where, fs = _path(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(where)] if fs.exists(where) else []
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a Parquet folder was committed."""
     return exists(spark, f"{path}/_SUCCESS")
@@ -93,12 +105,18 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    where, fs = _path(spark, path)
-    stream = fs.create(where, True)
+    """Readers see the old text or the new one, never a part: it is written beside ``path`` and then renamed over it."""
+    beside, fs = _path(spark, f"{path}.{uuid.uuid4().hex}")
+    stream = fs.create(beside, True)
     try:
         stream.write(bytearray(text.encode()))
     finally:
         stream.close()
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    options = gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    files.rename(beside, _path(spark, path)[0], options)
 
 
 def file_report(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

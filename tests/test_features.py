@@ -100,7 +100,7 @@ def test_store_round_trip(spark, tmp_path, built):
     assert store.load_split("train").count() == 2 and store.load_split("valid").count() == 1 and store.load_split("test").count() == 1
     assert store.load_split("full").count() == 5 and store.exists()
     manifest = store.load_manifest()
-    assert len(manifest) == 13 and manifest["test_rows"] == 2 and manifest["n_features"] == 23
+    assert len(manifest) == 15 and manifest["test_rows"] == 2 and manifest["n_features"] == 23
     plan = store.load_split("test", ["id", "sales"])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(split" in plan
     assert store.load_codes().count() == built.codes.count()
