@@ -197,6 +197,15 @@ def clean(df: DataFrame, *, guard: bool = True) -> Cleaned:
     return Cleaned(out, report, n, staging)
 
 
+def null_ranking(df: DataFrame) -> DataFrame:
+    """(place, column, nulls) of the columns with nulls, most first, then by name."""
+    counts = df.agg(*[v.alias(c) for c, v in null_figures(df).items()])
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("long").alias("nulls")) for c in df.columns])
+    found = F.filter(rows, lambda r: r["nulls"] > 0)
+    first = F.array_sort(F.transform(found, lambda r: F.struct((-r["nulls"]).alias("less"), r["column"].alias("column"))))
+    return counts.select(F.posexplode(first).alias("at", "x")).select((F.col("at") + 1).alias("place"), "x.column", (-F.col("x.less")).alias("nulls"))
+
+
 class NullsLeft(RuntimeError):
     """``counts``: columns with nulls, most first."""
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
+import io
 import uuid
 from collections.abc import Callable
 
@@ -23,12 +25,12 @@ ORACLE_SQL: dict[str, str] = {}
 
 
 def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panel.merged(adapter.sales_long(spark, sf_dir), adapter.calendar(spark), adapter.prices(spark, sf_dir))
+    return panel.merged(adapter.sales_long(spark, sf_dir), adapter.calendar(spark, sf_dir), adapter.prices(spark, sf_dir))
 
 
 def dated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The panel with its calendar, for what needs no price."""
-    return enrich.join_calendar(adapter.sales_long(spark, sf_dir), adapter.calendar(spark))
+    return enrich.join_calendar(adapter.sales_long(spark, sf_dir), adapter.calendar(spark, sf_dir))
 
 
 # Both engines read these: faults put into the panel at fixed places, so that every cleaning rule has work.
@@ -75,7 +77,8 @@ BASE = f"""WITH sold AS (
 ), meta AS (
   SELECT DISTINCT {_IDS} FROM sold
 ), days AS (
-  SELECT CAST(i AS SMALLINT) AS d_int, CAST(DATE '{adapter.FIRST_DATE}' + CAST(i - 1 AS INTEGER) AS DATE) AS date FROM range(1, {adapter.DAYS + 1}) t(i)
+  SELECT CAST(date_diff('day', first, day) + 1 AS SMALLINT) AS d_int, CAST(day AS DATE) AS date
+  FROM (SELECT first, unnest(generate_series(first, last, INTERVAL 1 DAY)) AS day FROM (SELECT CAST(min(l_shipdate) AS DATE) AS first, CAST(max(l_shipdate) AS DATE) AS last FROM lineitem) WHERE first IS NOT NULL)
 ), cal AS (
   SELECT date, CAST(11101 + floor((d_int - 1) / 7) AS SMALLINT) AS wm_yr_wk, dayname(date) AS weekday,
          CAST((dayofweek(date) + 1) % 7 + 1 AS TINYINT) AS wday, CAST(month(date) AS TINYINT) AS month, CAST(year(date) AS SMALLINT) AS year,
@@ -141,25 +144,20 @@ def register(name: str, query: Query, sql: str | None) -> None:
 
 
 # Scans, projections, reshapes
-_MELT_DAYS = [f"d_{n}" for n in range(1, 57)]
+_ALL_DAYS = [f"d_{n}" for n in range(1, adapter.DAYS + 1)]
 register("scan_prune", lambda s, d: adapter.sales_meta(s, d).select(*S.ID_COLUMNS), f"{BASE} SELECT id, item_id, dept_id, cat_id, store_id, state_id FROM meta")
 register("day_range_scan", lambda s, d: adapter.sales_long(s, d).where(F.col("d_int").between(100, 127)).select("id", "d", "sales"), f"{BASE} SELECT id, d, sales FROM long WHERE d_int BETWEEN 100 AND 127")
-register("lean_projection", lambda s, d: reshape.lean(adapter.calendar(s)), f"{BASE} SELECT * FROM cal")
+register("lean_projection", lambda s, d: reshape.lean(adapter.calendar(s, d)), f"{BASE} SELECT * FROM cal")
 register("price_scan", lambda s, d: adapter.prices(s, d), f"{BASE} SELECT * FROM prices")
-register(
-    "melt_days",
-    lambda s, d: reshape.melt_days(reshape.widen_days(adapter.sales_long(s, d).where("d_int <= 56"), _MELT_DAYS)),
-    f"{BASE} SELECT id, item_id, dept_id, cat_id, store_id, state_id, d, sales, d_int FROM long WHERE d_int <= 56",
-)
-_ALL_DAYS = [f"d_{n}" for n in range(1, adapter.DAYS + 1)]
-register(
-    "melt_all_days",
-    lambda s, d: reshape.melt_days(reshape.widen_days(adapter.sales_long(s, d), _ALL_DAYS)),
-    f"{BASE} SELECT id, item_id, dept_id, cat_id, store_id, state_id, d, sales, d_int FROM long",
-)
+for _name in ("melt_days", "melt_all_days"):  # the second name is that of an earlier round
+    register(
+        _name,
+        lambda s, d: reshape.melt_days(reshape.widen_days(adapter.sales_long(s, d), _ALL_DAYS)),
+        f"{BASE} SELECT id, item_id, dept_id, cat_id, store_id, state_id, d, sales, d_int FROM long",
+    )
 register("pivot_zero_rate", lambda s, d: explore.zero_rate_matrix(adapter.sales_long(s, d), ["SIZED", "TIERED"]), f"""{BASE}, r AS (SELECT store_id, cat_id, avg(CASE WHEN sales = 0 THEN 1.0 ELSE 0.0 END) AS z FROM long GROUP BY ALL)
 SELECT store_id, max(z) FILTER (cat_id = 'SIZED') AS "SIZED", max(z) FILTER (cat_id = 'TIERED') AS "TIERED" FROM r GROUP BY store_id""")
-register("parse_day_index", lambda s, d: adapter.calendar(s).select("d", day_index("d").alias("parsed")), f"{BASE} SELECT d, CAST(replace(d, 'd_', '') AS SMALLINT) AS parsed FROM cal")
+register("parse_day_index", lambda s, d: adapter.calendar(s, d).select("d", day_index("d").alias("parsed")), f"{BASE} SELECT d, CAST(replace(d, 'd_', '') AS SMALLINT) AS parsed FROM cal")
 register("cast_plan_min_max", lambda s, d: reshape.cast_plan(adapter.table(s, d, "part")), """
 SELECT 'p_size' AS "column", CASE WHEN min(p_size) >= -128 AND max(p_size) <= 127 THEN 'tinyint' WHEN min(p_size) >= -32768 AND max(p_size) <= 32767 THEN 'smallint' ELSE 'int' END AS type, false AS categorical FROM part
 UNION ALL SELECT 'p_partkey', CASE WHEN min(p_partkey) >= -128 AND max(p_partkey) <= 127 THEN 'tinyint' WHEN min(p_partkey) >= -32768 AND max(p_partkey) <= 32767 THEN 'smallint' WHEN max(p_partkey) <= 2147483647 THEN 'int' ELSE 'bigint' END, false FROM part
@@ -170,13 +168,6 @@ UNION ALL SELECT 'p_type', 'string', count(DISTINCT p_type) / count(*) < 0.5 FRO
 
 
 
-def _chunks(s: SparkSession, d: str) -> DataFrame:
-    """The wide table melted in two day ranges, joined as a bag."""
-    wide = reshape.widen_days(adapter.sales_long(s, d).where("d_int <= 56"), _MELT_DAYS)
-    parts = [reshape.melt_days(wide, _MELT_DAYS[a:b]).select("id", "d", "sales", "d_int") for a, b in ((0, 30), (30, 56))]
-    return parts[0].unionByName(parts[1])
-
-
 def _all_chunks(s: SparkSession, d: str, size: int = 500) -> DataFrame:
     """The wide table of all days melted in ranges of ``size`` days, joined as a bag."""
     wide = reshape.widen_days(adapter.sales_long(s, d), _ALL_DAYS)
@@ -185,7 +176,7 @@ def _all_chunks(s: SparkSession, d: str, size: int = 500) -> DataFrame:
 
 
 # Joins
-register("join_calendar_left", lambda s, d: enrich.join_calendar(adapter.sales_long(s, d), adapter.calendar(s)).select("id", "d_int", "date", "wm_yr_wk", "event_name_1", "snap_CA"), f"{BASE} SELECT id, d_int, date, wm_yr_wk, event_name_1, snap_CA FROM merged")
+register("join_calendar_left", lambda s, d: enrich.join_calendar(adapter.sales_long(s, d), adapter.calendar(s, d)).select("id", "d_int", "date", "wm_yr_wk", "event_name_1", "snap_CA"), f"{BASE} SELECT id, d_int, date, wm_yr_wk, event_name_1, snap_CA FROM merged")
 register("join_prices_left", lambda s, d: merged(s, d).select("id", "d_int", "sales", "sell_price"), f"{BASE} SELECT id, d_int, sales, sell_price FROM merged")
 register("price_coverage_anti", lambda s, d: enrich.uncovered_prices(merged(s, d), adapter.prices(s, d)), f"{BASE} SELECT DISTINCT store_id, item_id, wm_yr_wk FROM merged WHERE NOT EXISTS (SELECT 1 FROM prices p WHERE p.store_id = merged.store_id AND p.item_id = merged.item_id AND p.wm_yr_wk = merged.wm_yr_wk)")
 
@@ -202,7 +193,7 @@ register("zero_rate_store_cat", lambda s, d: explore.zero_rate(adapter.sales_lon
 register("median_by_cat", lambda s, d: explore.median_by_category(adapter.sales_long(s, d)), f"{BASE} SELECT cat_id, median(CAST(sales AS DOUBLE)) AS median_sales FROM long WHERE sales > 0 GROUP BY cat_id")
 register("snap_effect", lambda s, d: explore.snap_effect(dated(s, d)), " UNION ALL ".join(
     f"SELECT * FROM ({BASE} SELECT state_id, avg(CAST(sales AS DOUBLE)) FILTER (snap_{x} = 1) AS snap_mean, avg(CAST(sales AS DOUBLE)) FILTER (snap_{x} = 0) AS other_mean FROM merged WHERE state_id = '{x}' GROUP BY state_id)" for x in S.STATES))
-register("summary_stats", lambda s, d: explore.summary(merged(s, d), adapter.calendar(s), adapter.prices(s, d)), f"""{BASE}
+register("summary_stats", lambda s, d: explore.summary(merged(s, d), adapter.calendar(s, d), adapter.prices(s, d)), f"""{BASE}
 SELECT count(*) AS rows, count(DISTINCT id) AS series, count(DISTINCT store_id) AS stores, count(DISTINCT state_id) AS states, min(date) AS first_date, max(date) AS last_date,
        avg(CASE WHEN sales = 0 THEN 1.0 ELSE 0.0 END) * 100 AS zero_pct, avg(CAST(sales AS DOUBLE)) AS mean_sales,
        (SELECT count(*) FROM cal) AS calendar_rows, (SELECT count(*) FROM prices) AS price_rows,
@@ -263,7 +254,7 @@ for _stat in S.STATS:
 _CALENDAR_SQL = """CAST(dayofyear(date) AS SMALLINT) AS day_of_year, CAST(quarter(date) AS TINYINT) AS quarter, CAST(wday IN (1, 2) AS TINYINT) AS is_weekend,
 CAST(day(date) <= 3 AS TINYINT) AS is_month_start, CAST(day(date) >= 28 AS TINYINT) AS is_month_end,
 CAST(month = 1 AND day(date) <= 7 AS TINYINT) AS is_year_start, CAST(month = 12 AND day(date) >= 25 AS TINYINT) AS is_year_end"""
-register("calendar_flags", lambda s, d: adapter.calendar(s).select("d_int", *[v.alias(c) for c, v in X.calendar_features().items()]), f"{BASE} SELECT d_int, {_CALENDAR_SQL} FROM cal")
+register("calendar_flags", lambda s, d: adapter.calendar(s, d).select("d_int", *[v.alias(c) for c, v in X.calendar_features().items()]), f"{BASE} SELECT d_int, {_CALENDAR_SQL} FROM cal")
 register("event_flags", lambda s, d: (lambda df: df.select("id", "d_int", *[v.alias(c) for c, v in X.event_flags(df).items()]))(tidy(s, d)), f"{TIDY} SELECT id, d_int, CAST(event_name_1 <> 'No_Event' AS TINYINT) AS has_event, CAST(event_name_2 <> 'No_Event' AS TINYINT) AS has_event_2 FROM tidy")
 _SNAP_SQL = "CAST(CASE state_id " + " ".join(f"WHEN '{x}' THEN snap_{x}" for x in S.STATES) + " ELSE 0 END AS TINYINT)"
 register("snap_day_flag", lambda s, d: (lambda df: df.select("id", "d_int", X.snap_flag(df)["is_snap_day"].alias("is_snap_day")))(merged(s, d)), f"{BASE} SELECT id, d_int, {_SNAP_SQL} AS is_snap_day FROM merged")
@@ -330,10 +321,10 @@ register("snap_effect_long", lambda s, d: reshape.unpivot(explore.snap_effect(da
   FROM (SELECT state_id, sales, CASE state_id {" ".join(f"WHEN '{x}' THEN snap_{x}" for x in S.STATES)} END AS flag FROM merged WHERE state_id IN ('CA', 'TX', 'WI')) GROUP BY state_id)
 SELECT state_id, 'snap_mean' AS measure, snap_mean AS sales FROM m UNION ALL SELECT state_id, 'other_mean', other_mean FROM m""")
 register("distinct_states", lambda s, d: adapter.sales_meta(s, d).select("state_id").distinct(), f"{BASE} SELECT DISTINCT state_id FROM meta")
-register("first_rows", lambda s, d: adapter.calendar(s).orderBy("d_int").limit(3), f"{BASE} SELECT * FROM cal ORDER BY d_int LIMIT 3")
+register("first_rows", lambda s, d: adapter.calendar(s, d).orderBy("d_int").limit(3), f"{BASE} SELECT * FROM cal ORDER BY d_int LIMIT 3")
 register("coercing_cast", lambda s, d: adapter.table(s, d, "part").select("p_partkey", number("p_type", "smallint").alias("as_number"), number("p_size", "tinyint").alias("size")), "SELECT p_partkey, TRY_CAST(p_type AS SMALLINT) AS as_number, TRY_CAST(p_size AS TINYINT) AS size FROM part")
-register("chunk_union", lambda s, d: _chunks(s, d), f"{BASE} SELECT id, d, sales, d_int FROM long WHERE d_int <= 56")
-register("chunk_union_all_days", lambda s, d: _all_chunks(s, d), f"{BASE} SELECT id, d, sales, d_int FROM long")
+for _name in ("chunk_union", "chunk_union_all_days"):  # as above
+    register(_name, lambda s, d: _all_chunks(s, d), f"{BASE} SELECT id, d, sales, d_int FROM long")
 register("repeated_price_keys", lambda s, d: enrich.repeated_keys(adapter.prices(s, d).withColumn("wm_yr_wk", (F.col("wm_yr_wk") % 7).cast("smallint")), enrich.PRICE_KEY), f"{BASE} SELECT store_id, item_id, CAST(wm_yr_wk % 7 AS SMALLINT) AS wm_yr_wk, count(*) AS count FROM prices GROUP BY ALL HAVING count(*) > 1")
 register("price_report", lambda s, d: explore.price_report(adapter.prices(s, d)), f"{BASE} SELECT median(CAST(sell_price AS DOUBLE)) AS median, min(sell_price) AS low, max(sell_price) AS high, count(DISTINCT store_id) AS stores FROM prices")
 register("apply_codes", lambda s, d: X.encode(merged(s, d).select("id", "d_int", "weekday"), X.fit_codes(merged(s, d).where("wday > 2"), ["weekday"]), ["weekday"]).select("id", "d_int", "weekday_enc"), f"""{BASE}, v AS (SELECT value, CAST(dense_rank() OVER (ORDER BY value) - 1 AS SMALLINT) AS code FROM (SELECT DISTINCT weekday AS value FROM merged WHERE wday > 2))
@@ -356,7 +347,7 @@ register("feature_groups", _groups, "SELECT * FROM (VALUES " + ", ".join(f"('{g}
 
 def _raw_checks(s: SparkSession, d: str) -> DataFrame:
     meta = adapter.sales_meta(s, d)
-    report = validate.validate_raw(adapter.calendar(s), adapter.prices(s, d), meta, expected=validate.Expected(series=150, days=adapter.DAYS))
+    report = validate.validate_raw(adapter.calendar(s, d), adapter.prices(s, d), meta, expected=validate.Expected(series=150, days=adapter.DAYS))
     return report.to_frame(s).select("name", "passed")
 
 
@@ -400,7 +391,7 @@ def _wide(s: SparkSession, d: str) -> DataFrame:
 def _built(s: SparkSession, d: str) -> DataFrame:
     """The panel built from its three files, by the command line's function; a second call keeps what is there."""
     where = f"{readers.scratch_dir(s)}/panel-{uuid.uuid4().hex}"
-    for name, df in (("calendar", adapter.calendar(s)), ("prices", adapter.prices(s, d)), ("sales", _wide(s, d))):
+    for name, df in (("calendar", adapter.calendar(s, d)), ("prices", adapter.prices(s, d)), ("sales", _wide(s, d))):
         df.write.csv(f"{where}/{panel.FILES[name]}", header=True)
     for _ in range(2):
         output = panel.build_panel(s, where, f"{where}/panel", day_range=(1, adapter.DAYS))
@@ -423,7 +414,7 @@ def _manifest(s: SparkSession, d: str) -> DataFrame:
 
 
 _PANEL_COLUMNS = ["id", "item_id", "store_id", "d", "d_int", "sales", "date", "wm_yr_wk", "weekday", "event_name_1", "snap_TX", "sell_price"]
-register("csv_calendar", lambda s, d: readers.read_calendar(s, _written(s, "calendar", adapter.calendar(s))), f"{BASE} SELECT * FROM cal")
+register("csv_calendar", lambda s, d: readers.read_calendar(s, _written(s, "calendar", adapter.calendar(s, d))), f"{BASE} SELECT * FROM cal")
 register("csv_prices", lambda s, d: readers.read_prices(s, _written(s, "prices", adapter.prices(s, d))), f"{BASE} SELECT * FROM prices")
 register("csv_sales_meta", lambda s, d: readers.read_sales_meta(s, _written(s, "sales", _wide(s, d))), f"{BASE} SELECT id, item_id, dept_id, cat_id, store_id, state_id FROM meta")
 register("csv_day_range", lambda s, d: reshape.melt_days(readers.read_sales_wide(s, _written(s, "sales", _wide(s, d)), (1801, 1856))).select("id", "d", "sales", "d_int"), f"{BASE} SELECT id, d, sales, d_int FROM long WHERE d_int BETWEEN 1801 AND 1856")
@@ -438,6 +429,58 @@ UNION ALL SELECT 'null_count', count(*) FILTER (sales IS NULL OR sell_price IS N
 register("files_present", lambda s, d: (lambda p: readers.file_report(s, [p, p + "-absent"]).select((F.col("path") == p).alias("written"), "present", (F.col("mb") > 0).alias("sized")))(_written(s, "prices", adapter.prices(s, d))), "SELECT * FROM (VALUES (true, true, true), (false, false, NULL)) t(written, present, sized)")
 register("clean_guarded", lambda s, d: C.clean(faulty(s, d)).df.select("id", "d_int", "sales", "sell_price", "wm_yr_wk", "cat_id"), f"{CLEAN} SELECT id, d_int, sales, sell_price, wm_yr_wk, cat_id FROM clean")
 register("features_guarded", lambda s, d: X.build(tidy(s, d)).df.select("id", "d_int", "sales_lag_28", "price_lag_7d", "is_snap_day"), f"{PRICED}, f AS (SELECT id, d_int, CAST(coalesce(lag(sales, 28) OVER (PARTITION BY id ORDER BY d_int), 0) AS FLOAT) AS sales_lag_28, {_SNAP_SQL} AS is_snap_day FROM tidy) SELECT id, d_int, sales_lag_28, price_lag_7d, is_snap_day FROM f JOIN priced USING (id, d_int)")
-register("coercing_dates", lambda s, d: adapter.calendar(s).select("d_int", date(F.when(F.col("d_int") % 5 == 0, F.col("weekday")).otherwise(F.col("date").cast("string"))).alias("date")), f"{BASE} SELECT d_int, TRY_CAST(CASE WHEN d_int % 5 = 0 THEN weekday ELSE CAST(date AS VARCHAR) END AS DATE) AS date FROM cal")
+register("coercing_dates", lambda s, d: adapter.calendar(s, d).select("d_int", date(F.when(F.col("d_int") % 5 == 0, F.col("weekday")).otherwise(F.col("date").cast("string"))).alias("date")), f"{BASE} SELECT d_int, TRY_CAST(CASE WHEN d_int % 5 = 0 THEN weekday ELSE CAST(date AS VARCHAR) END AS DATE) AS date FROM cal")
 register("audit_shares", lambda s, d: (lambda made: made.audit.select("step", share_text("fixed", F.lit(made.rows)).alias("share")))(C.clean(faulty(s, d), guard=False)), f"""{FAULTY}, n AS (SELECT count(*) AS rows FROM faulty), a AS ({ORACLE_SQL["clean_audit"].removeprefix(FAULTY)})
 SELECT step, printf('%.2f%%', fixed * 100.0 / rows) AS share FROM a, n""")
+
+# Guards that refuse, reports that raise, names: what they say, as rows
+
+
+def _refusals(s: SparkSession, d: str) -> DataFrame:
+    """The columns and nulls that each guard names when it refuses."""
+    undated = faulty(s, d).withColumn("date", F.when((F.col("d_int") + F.length("id")) % 151 != 0, F.col("date")))
+    where = f"{readers.scratch_dir(s)}/refused-{uuid.uuid4().hex}"
+    guards = {"clean": lambda: C.clean(undated), "features": lambda: X.build(faulty(s, d)), "store": lambda: store.FeatureStore(s, where).save(faulty(s, d))}
+    rows = []
+    for name, guarded in guards.items():
+        try:
+            guarded()
+        except C.NullsLeft as refused:
+            rows += [(name, c, n, place) for place, (c, n) in enumerate(refused.counts.items(), 1)]
+    return s.createDataFrame(rows, "guard string, column string, nulls bigint, place int")
+
+
+_NULLABLE = ["sales", "date", "wm_yr_wk", "weekday", "wday", "month", "year", *S.EVENT_COLUMNS, *S.SNAP_COLUMNS, "sell_price", "cat_id"]
+_NULLS_SQL = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) FILTER ({c} IS NULL) AS nulls FROM faulty" for c in _NULLABLE)
+register("guard_refusals", _refusals, f"""{FAULTY}, n AS ({_NULLS_SQL}), r AS (SELECT *, CAST(row_number() OVER (ORDER BY nulls DESC, "column") AS INTEGER) AS place FROM n WHERE nulls > 0)
+SELECT 'clean' AS guard, 'date' AS "column", count(*) AS nulls, 1 AS place FROM faulty WHERE {_K} % 151 = 0
+UNION ALL SELECT g, "column", nulls, place FROM r, (VALUES ('features'), ('store')) t(g)""")
+register("null_ranking", lambda s, d: C.null_ranking(faulty(s, d)), f"""{FAULTY}, n AS ({_NULLS_SQL})
+SELECT CAST(row_number() OVER (ORDER BY nulls DESC, "column") AS INTEGER) AS place, "column", nulls FROM n WHERE nulls > 0""")
+
+
+def _raised(s: SparkSession, d: str) -> DataFrame:
+    """Whether the report of each suite raised, and how many of its checks failed."""
+    series = adapter.sales_meta(s, d).count()
+    expected = validate.Expected(series=series, days=adapter.DAYS)
+    reports = {
+        "raw": validate.validate_raw(adapter.calendar(s, d), adapter.prices(s, d), adapter.sales_meta(s, d), expected=expected),
+        "processed": validate.validate_processed(faulty(s, d), expected=expected),
+    }
+    rows = []
+    for name, report in reports.items():
+        try:
+            with contextlib.redirect_stdout(io.StringIO()):
+                report.print_report()
+            rows.append((name, report.n_failed, False))
+        except RuntimeError:
+            rows.append((name, report.n_failed, True))
+    return s.createDataFrame(rows, "suite string, failed int, raised boolean")
+
+
+register("report_raises", _raised, f"""{FAULTY}, f AS (
+  SELECT 'raw' AS suite, CAST((SELECT count(*) FILTER (date IS NULL OR wm_yr_wk IS NULL OR weekday IS NULL) > 0 FROM cal) AS INTEGER) + CAST((SELECT count(*) < 1969 FROM cal) AS INTEGER)
+         + CAST((SELECT count(*) FILTER (sell_price < 0) > 0 FROM prices) AS INTEGER) + CAST((SELECT count(DISTINCT state_id) FILTER (state_id IN ('CA', 'TX', 'WI')) < 3 FROM meta) AS INTEGER) AS failed
+  UNION ALL SELECT 'processed', CAST(count(*) FILTER (sales < 0) > 0 AS INTEGER) + CAST(count(*) FILTER (sales IS NULL OR weekday IS NULL OR wm_yr_wk IS NULL) > 0 AS INTEGER) FROM faulty
+) SELECT suite, CAST(failed AS INTEGER) AS failed, failed > 0 AS raised FROM f""")
+register("feature_names", lambda s, d: s.createDataFrame([(n,) for n in X.build(tidy(s, d), guard=False).names], "feature string"), "SELECT column_name AS feature FROM (DESCRIBE " + ORACLE_SQL["feature_matrix"].replace(f"{CLEAN}, tidy AS (SELECT * FROM clean)", TIDY) + ") WHERE column_name NOT IN ('id', 'd', 'sales', 'date')")

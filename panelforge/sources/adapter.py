@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# First day, number of days, and the invented events (month-day, name, type).
+# First day (of the given tables' shipments, and of week 11101), number of days, and the invented events (month-day, name, type).
 FIRST_DATE, DAYS = "1995-01-02", 2499
 EVENTS_1 = [("01-01", "NewYear", "National"), ("02-14", "Valentines", "Cultural"), ("07-04", "Independence", "National"), ("10-31", "Halloween", "Cultural"), ("12-25", "Christmas", "National")]
 EVENTS_2 = [("12-25", "Gift", "Cultural"), ("01-01", "Parade", "Cultural")]
@@ -17,8 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def calendar(spark: SparkSession) -> DataFrame:
-    days = spark.range(1, DAYS + 1).select(F.col("id").cast("smallint").alias("d_int"), F.date_add(F.lit(FIRST_DATE).cast("date"), (F.col("id") - 1).cast("int")).alias("date"))
+def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each day from the first to the last shipment, numbered from 1."""
+    shipped = F.to_date("l_shipdate")
+    ends = table(spark, sf_dir, "lineitem").agg(F.min(shipped).alias("first"), F.max(shipped).alias("last")).where("first is not null")
+    days = ends.select("first", F.explode(F.sequence("first", "last")).alias("date")).select((F.datediff("date", "first") + 1).cast("smallint").alias("d_int"), "date")
     md = F.date_format("date", "MM-dd")
 
     def event(table: list[tuple[str, str, str]], at: int):
@@ -74,7 +77,7 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sales_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ids, d, d_int, sales for every series and day; days without a sale are 0."""
     daily = sold(spark, sf_dir).groupBy("item_id", "store_id", "date").agg(F.sum("l_quantity").alias("q"))
-    spine = sales_meta(spark, sf_dir).crossJoin(calendar(spark).select("d", "d_int", "date"))
+    spine = sales_meta(spark, sf_dir).crossJoin(calendar(spark, sf_dir).select("d", "d_int", "date"))
     return spine.join(daily, ["item_id", "store_id", "date"], "left").select(
         "id", "item_id", "dept_id", "cat_id", "store_id", "state_id", "d", "d_int", F.coalesce("q", F.lit(0.0)).cast("float").alias("sales")
     )

@@ -38,7 +38,7 @@ def test_every_day_is_melted(spark, duck, name):
     test_against_sql(spark, duck, name)
 
 
-@pytest.mark.parametrize("name", ["csv_calendar", "csv_prices", "store_codes", "files_present", "clean_guarded", "coercing_dates", "audit_shares"])
+@pytest.mark.parametrize("name", ["csv_calendar", "csv_prices", "store_codes", "files_present", "clean_guarded", "coercing_dates", "audit_shares", "guard_refusals", "null_ranking", "report_raises", "feature_names", "boxplot_stats", "seeded_sample"])
 def test_files_store_and_guards(spark, duck, name):
     test_against_sql(spark, duck, name)
 
