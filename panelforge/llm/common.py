@@ -58,14 +58,15 @@ _written: list[str] = []
 _path_of: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back: lineage ends here, executors may be lost.
+def materialise(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back: lineage ends here, executors may be lost. ``by``:
+    columns with few values, a folder for each.
 
     The folder is removed by ``stage_table``, or when the driver's interpreter ends, as plans built on it may run until then.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/panelforge/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*by or []).parquet(path)
     if not _written:
         atexit.register(_remove_all, spark)
     _written.append(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -9,11 +10,10 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import BATCH_ROWS, arrow_schema, crc_of_id, materialise, one_blas_thread, ship, to_batch
+from panelforge.llm.common import BATCH_ROWS, arrow_schema, crc_of_id, drop_table, materialise, one_blas_thread, ship, to_batch
 
 #: The end token; words never hold white space.
 END = b"\n"
@@ -25,8 +25,10 @@ SPREAD = 32
 SIZE = 16
 #: Words whose counts are sent to every task: the most frequent ones, this many at most. Others are joined.
 FREQUENT = 200_000
-#: Parts of the training documents, each learned from once; the tasks' models are averaged after each.
-ROUNDS = 2
+#: Tokens of a shard of the training documents, about: what one task learns from before models are averaged.
+SHARD = 1 << 21
+#: Tokens of a document that stay together; longer ones are dealt to shards in pieces.
+PIECE = 1 << 16
 #: Tokens that a task holds and shuffles before it learns from them.
 HELD = 1 << 18
 #: Tokens of a batch that meet its shared draws at once.
@@ -219,9 +221,10 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 class Trainer:
     """Noise-contrastive estimation with AdaGrad: tell a token's group from ``noise`` draws of the groups' unigram
-    distribution (shared by a batch), and the token from ``noise`` draws within its group (shared by the group)."""
+    distribution (shared by a batch), and the token from ``noise`` draws within its group (shared by the group).
+    ``seen``: AdaGrad's sums, of rows for r, t and b, where training goes on."""
 
-    def __init__(self, model: LogBilinear, unigram: np.ndarray, rng: np.random.Generator, *, noise: int = 15, batch: int = 8192, shared: int = 128, inner: int = 4, rate: float = 0.1) -> None:
+    def __init__(self, model: LogBilinear, unigram: np.ndarray, rng: np.random.Generator, *, seen: dict[str, np.ndarray] | None = None, noise: int = 15, batch: int = 8192, shared: int = 128, inner: int = 4, rate: float = 0.1) -> None:
         self.m, self.rng, self.noise, self.batch, self.shared, self.inner, self.rate = model, rng, noise, batch, shared, inner, rate
         starts = model.starts
         self.upto = np.append(0.0, np.cumsum(unigram))
@@ -229,7 +232,7 @@ class Trainer:
         self.log_group, self.group_upto = np.log(mass).astype("f4"), np.cumsum(mass)
         self.log_inner = (np.log(unigram) - np.log(mass)[model.group_of]).astype("f4")
         self.several = np.diff(starts) > 1
-        self.seen = {k: np.full(len(getattr(model, k)), 1e-2, "f4") for k in ("r", "t", "b")} | {k: np.full_like(getattr(model, k), 1e-2) for k in ("g", "a", "c1", "c2")}
+        self.seen = nothing_seen(model) if seen is None else {k: x.copy() for k, x in seen.items()}
         self.counts = np.zeros(len(model.r), "f8")
 
     def _move(self, name: str, g: np.ndarray) -> None:
@@ -326,6 +329,15 @@ class Trainer:
             self._move(name, g * dense)
 
 
+def nothing_seen(model: LogBilinear) -> dict[str, np.ndarray]:
+    """AdaGrad's sums before the first step."""
+    return {k: np.full(len(getattr(model, k)), 1e-2, "f4") for k in ROWWISE} | {k: np.full_like(getattr(model, k), 1e-2) for k in DENSE}
+
+
+#: A model's parts: rows of classes, and the rest.
+ROWWISE, DENSE = ("r", "t", "b"), ("g", "a", "c1", "c2")
+
+
 def start(unigram: np.ndarray, *, size: int = SIZE, seed: int = 3) -> LogBilinear:
     """Scores of the unigram distribution, and small random vectors."""
     rng, classes = np.random.default_rng(seed), len(unigram)
@@ -345,17 +357,40 @@ def fit(sequences: list[np.ndarray], classes: int, unigram: np.ndarray, *, size:
     return trainer.m
 
 
-def _blocks(common: LogBilinear, trainer: Trainer):
-    """(block, weights, change) of a task's model: rows of classes weigh as often as they were seen, the rest as all tokens."""
+def _blocks(common: LogBilinear, seen: dict[str, np.ndarray], trainer: Trainer):
+    """(block, weights, change) of a task's model and of the logs of its AdaGrad sums: rows of classes weigh as often as
+    they were seen, the rest as all tokens."""
     m, n = trainer.m, len(common.r)
-    padded = lambda x: np.append(x, np.zeros(1, x.dtype)) if x.ndim == 1 else np.vstack([x, np.zeros((1, x.shape[1]), x.dtype)])
-    change = np.hstack([m.r - common.r, padded(m.t - common.t), padded(m.b - common.b)[:, None]])
+    logs = {k: np.log(trainer.seen[k] / seen[k]) for k in seen}
+    padded = lambda x: np.append(x, np.zeros(n - len(x), x.dtype)) if x.ndim == 1 else np.vstack([x, np.zeros((n - len(x), x.shape[1]), x.dtype)])
+    change = np.hstack([m.r - common.r, padded(m.t - common.t), *[padded(x)[:, None] for x in (m.b - common.b, *(logs[k] for k in ROWWISE))]])
     for k, at in enumerate(range(0, n, BLOCK)):
         yield k, trainer.counts[at : at + BLOCK], change[at : at + BLOCK]
-    rest = np.concatenate([(getattr(m, k) - getattr(common, k)).ravel() for k in ("g", "a", "c1", "c2")])
+    rest = np.concatenate([x.ravel() for x in (*(getattr(m, k) - getattr(common, k) for k in DENSE), *(logs[k] for k in DENSE))])
     yield -1, np.array([trainer.counts.sum()]), rest[None, :]
 
 
+def _apply(common: LogBilinear, seen: dict[str, np.ndarray], block: int, c: np.ndarray) -> None:
+    """Add a block's averaged change."""
+    classes, size = common.t.shape
+    if block < 0:
+        parts = [getattr(common, k) for k in DENSE]
+        edges = np.cumsum([0] + [x.size for x in parts] * 2)
+        for x, a, b in zip(parts, edges, edges[1:]):
+            x += c[0, a:b].reshape(x.shape)
+        for k, a, b in zip(DENSE, edges[len(parts) :], edges[len(parts) + 1 :]):
+            seen[k] *= np.exp(c[0, a:b]).reshape(seen[k].shape)
+        return
+    first = block * BLOCK
+    last = min(first + len(c), classes)
+    common.r[first : first + len(c)] += c[:, :size]
+    common.t[first:last] += c[: last - first, size : 2 * size]
+    common.b[first:last] += c[: last - first, 2 * size]
+    for at, k in enumerate(ROWWISE, 2 * size + 1):
+        rows = c if k == "r" else c[: last - first]
+        seen[k][first : first + len(rows)] *= np.exp(rows[:, at])
+
+
 def _pack(weights: np.ndarray, change: np.ndarray) -> tuple[bytes, bytes]:
     return weights.astype("<f8").tobytes(), np.clip(change, -60_000, 60_000).astype("<f2").tobytes()
 
@@ -370,70 +405,111 @@ def _merged(weights, changes) -> tuple[np.ndarray, np.ndarray]:
     return total, summed / np.maximum(total, 1e-9)[:, None]
 
 
-def fit_all(docs: DataFrame, class_of: dict[bytes, int], unigram: np.ndarray, *, rounds: int = ROUNDS, seed: int = 3) -> LogBilinear:
-    """The model of all of ``docs`` (text). Each round takes one part of the documents: every task learns from its share
-    of it, starting at the common model, and the tasks' changes are averaged, FAN at a time, into the next common
-    model: the driver gets one model a round, whatever the number of tasks."""
+def shards(docs: DataFrame, class_of: dict[bytes, int], rounds: int, width: int) -> DataFrame:
+    """(round, shard, ids): the classes of all of ``docs`` (doc_id, text), as int32, in pieces of at most PIECE tokens.
+
+    A piece's round and shard follow from the hash of id and text and its number, never from how the table is cut: the
+    same rows give the same shards, in the same order. Copies with ids of their own are spread; rows without an id
+    are spread by their place."""
+    schema = "round int, shard int, h bigint, ids binary"
+    arrow = arrow_schema(schema)
+    spark = docs.sparkSession
+    ship(spark)
+    text = F.col("text").cast("string")
+    salt = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    sent = spark.sparkContext.broadcast(class_of)
+
+    def run(batches):
+        class_of = sent.value
+        known, classes = pa.array(list(class_of), pa.binary()), np.array([*class_of.values(), 0], "<i4")
+        end = np.array([class_of[END]], "<i4")
+        for batch in batches:
+            for first in range(0, batch.num_rows, BATCH_ROWS):
+                part = batch.slice(first, BATCH_ROWS)
+                tokens, n = split_tokens(part.column(1))
+                out: dict[str, list] = {f.name: [] for f in arrow}
+                for key, s in zip(part.column(0).to_pylist(), np.split(classes[_places(tokens, known)], np.cumsum(n)[:-1])):
+                    s = np.append(s, end)
+                    for at in range(0, len(s), PIECE):
+                        h = xxhash.xxh64_intdigest(f"{key}:{at}".encode()) >> 1
+                        for name, value in zip(out, (h % rounds, h // rounds % width, h, s[at : at + PIECE].tobytes())):
+                            out[name].append(value)
+                yield to_batch(out, arrow)
+
+    dealt = docs.select(F.xxhash64("doc_id", salt, text).alias("h"), text.alias("text")).mapInArrow(run, schema)
+    dealt = dealt.repartition(rounds * width, "round", "shard").sortWithinPartitions("round", "shard", "h", "ids")
+    out = materialise(dealt.drop("h"), "shards", by=["round"])
+    sent.unpersist()
+    return out
+
+
+def fit_all(docs: DataFrame, class_of: dict[bytes, int], unigram: np.ndarray, tokens: int, *, shard_tokens: int = SHARD, seed: int = 3) -> LogBilinear:
+    """The model of all of ``docs`` (doc_id, text), which hold ``tokens`` tokens.
+
+    Documents are dealt into shards of about ``shard_tokens``, and these to rounds, as many as shards a round: the number
+    of both grows with the root of the corpus, so a larger one is learned from in longer walks as well as in more of
+    them. In a round each shard is learned from once, starting at the common model and its AdaGrad sums; the changes of
+    both are averaged, FAN at a time, into the next common ones. Shards, their order and their draws depend on the rows
+    alone, so the model does not depend on partitions or on which task learns what. The driver gets one model a round.
+    """
     spark = docs.sparkSession
+    count = max(1, -(-tokens // shard_tokens))
+    rounds = math.ceil(math.sqrt(count))
+    width = -(-count // rounds)
     schema = "block int, task int, weights binary, change binary"
     arrow = arrow_schema(schema)
-    ship(spark)
-    texts = docs.select(F.col("text").cast("string").alias("text"))
+    dealt = shards(docs, class_of, rounds, width)
     common = start(unigram, seed=seed)
-    tasks = max(1, texts.rdd.getNumPartitions())
+    seen = nothing_seen(common)
     for at in range(rounds):
-        sent = spark.sparkContext.broadcast((common, class_of, unigram))
+        sent = spark.sparkContext.broadcast((common, seen, unigram))
 
         def run(batches, sent=sent, at=at):
             one_blas_thread()
-            common, class_of, unigram = sent.value
-            task = TaskContext.get().partitionId()
-            trainer = Trainer(common.copy(), unigram, np.random.default_rng([seed, at, task]))
-            known, classes = pa.array(list(class_of), pa.binary()), np.array([*class_of.values(), 0])
-            held, waiting = 0, []
-            for batch in batches:
-                for first in range(0, batch.num_rows, BATCH_ROWS):
-                    tokens, n = split_tokens(batch.column(0).slice(first, BATCH_ROWS))
-                    for s in np.split(classes[_places(tokens, known)], np.cumsum(n)[:-1]):
-                        waiting.append(np.append(s, class_of[END]))
-                        held += len(s) + 1
-                        if held >= HELD:
-                            trainer.learn(waiting)
-                            held, waiting = 0, []
-            if waiting:
-                trainer.learn(waiting)
-            if trainer.counts.any():
-                for block, weights, change in _blocks(common, trainer):
+            common, seen, unigram = sent.value
+            shard, trainer, held, waiting = None, None, 0, []
+
+            def learned():
+                if waiting:
+                    trainer.learn(waiting)
+                    waiting.clear()
+                for block, weights, change in _blocks(common, seen, trainer):
                     w, c = _pack(weights, change)
-                    yield to_batch({"block": [block], "task": [task], "weights": [w], "change": [c]}, arrow)
+                    yield to_batch({"block": [block], "task": [shard], "weights": [w], "change": [c]}, arrow)
+
+            for batch in batches:
+                for now, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    if now != shard:  # rows of a shard follow each other
+                        if trainer is not None:
+                            yield from learned()
+                        shard, held, trainer = now, 0, Trainer(common.copy(), unigram, np.random.default_rng([seed, at, now]), seen=seen)
+                    waiting.append(np.frombuffer(ids, "<i4").astype(np.int64))
+                    held += len(waiting[-1])
+                    if held >= HELD:
+                        trainer.learn(waiting)
+                        waiting.clear()
+                        held = 0
+            if trainer is not None:
+                yield from learned()
 
         def average(group: pd.DataFrame) -> pd.DataFrame:
+            group = group.sort_values("task")  # sums in the same order, so to the same bits
             w, c = _pack(*_merged(group["weights"], group["change"]))
             return pd.DataFrame({"block": [group["block"].iloc[0]], "task": [group["slot"].iloc[0]], "weights": [w], "change": [c]})
 
-        made = texts.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == at).mapInArrow(run, schema)
-        left = tasks
+        made = dealt.where(F.col("round") == at).select("shard", "ids").mapInArrow(run, schema)
+        left = width
         while True:
             made = made.withColumn("slot", (F.col("task") / FAN).cast("int")).groupBy("block", "slot").applyInPandas(average, schema)
             left = -(-left // FAN)
             if left == 1:
                 break
-        common = common.copy()
-        classes, size = common.t.shape
+        common, seen = common.copy(), {k: x.copy() for k, x in seen.items()}
         for row in made.toLocalIterator():
-            w = np.frombuffer(row.weights, "<f8")
-            c = np.frombuffer(row.change, "<f2").reshape(len(w), -1).astype("f4")
-            if row.block < 0:
-                edges = np.cumsum([0] + [getattr(common, k).size for k in ("g", "a", "c1", "c2")])
-                for k, a, b in zip(("g", "a", "c1", "c2"), edges, edges[1:]):
-                    getattr(common, k)[...] += c[0, a:b].reshape(getattr(common, k).shape)
-                continue
-            first = row.block * BLOCK
-            last = min(first + len(w), classes)
-            common.r[first : first + len(w)] += c[:, :size]
-            common.t[first:last] += c[: last - first, size : 2 * size]
-            common.b[first:last] += c[: last - first, 2 * size]
+            c = np.frombuffer(row.change, "<f2").reshape(len(row.weights) // 8, -1).astype("f4")
+            _apply(common, seen, row.block, c)
         sent.unpersist()
+    drop_table(dealt)
     return common
 
 
@@ -484,7 +560,7 @@ def train(docs: DataFrame, counts: DataFrame, *, classes: int = CLASSES, frequen
     for w, k in class_of.items():
         unigram[k] += held[w]
     unigram /= unigram.sum()
-    model = fit_all(docs, class_of, unigram)
+    model = fit_all(docs, class_of, unigram, total)
     words = {w: (c, class_of.get(w, 0)) for w, c in held.items()}
     return Scorer(words, model, total, vocabulary, float(total - known), vocabulary - seen_classes)
 
@@ -588,6 +664,7 @@ def score(docs: DataFrame, *, classes: int = CLASSES, frequent: int = FREQUENT)
     scorer = train(train_docs, counts, classes=classes, frequent=frequent)
     sent = docs.sparkSession.sparkContext.broadcast(scorer)
     parts = materialise(_parts(docs, sent), "parts")
+    sent.unpersist()
     own, rare = parts.where("own"), parts.where("not own").select("key", "token", "times")
     summed = (
         rare.join(counts, "token", "left")

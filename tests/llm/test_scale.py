@@ -6,6 +6,7 @@ import time
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from panelforge.llm import common, components, decontaminate, langid, lm, minhash, toxicity
 
@@ -320,3 +321,27 @@ def test_toxicity_learns_without_texts_on_the_driver(spark, monkeypatch):
     plainly = toxicity.learn_lexicon(held)
     assert lexicon == plainly and lexicon.exceptions and lexicon.key() == plainly.key() and any("snarkig" in t for t in lexicon.terms)
     assert not [p for p in common._written if "/folded-" in p or "/families-" in p]
+
+
+def test_language_model_does_not_depend_on_partitions(spark):
+    """The same rows in 1, 3 and 40 partitions: several rounds of several shards each, and one model."""
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(int(i), " ".join(words[int(j)] for j in rng.zipf(1.3, size=60) % 300)) for i in range(1200)] + [(5000, " ".join(words) * 40), (5001, None), (5002, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    class_of = {lm.END: 1} | {w.encode(): k + 2 for k, w in enumerate(words)}
+    unigram = np.full(302, 1 / 302)
+    models = [lm.fit_all(docs.repartition(n), class_of, unigram, 84_000, shard_tokens=8_000) for n in (1, 3, 40)]
+    for other in models[1:]:
+        for part in (*lm.ROWWISE, *lm.DENSE):
+            assert np.allclose(getattr(models[0], part), getattr(other, part), atol=1e-4), part
+    assert not np.allclose(models[0].t, lm.start(unigram).t)
+
+
+def test_shards_hold_every_token_and_spread_copies(spark, monkeypatch):
+    monkeypatch.setattr(lm, "PIECE", 50)
+    rows = [(i, "a b c d e f g h i") for i in range(800)] + [(None, "x " * 9)] * 800 + [(9000, "y " * 4000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    found = lm.shards(docs, {lm.END: 1, b"y": 2}, 4, 4).groupBy("round", "shard").agg(F.sum(F.length("ids") / 4).alias("n")).collect()
+    assert sum(r.n for r in found) == 800 * 10 * 2 + 4001
+    assert len(found) == 16 and max(r.n for r in found) < 2 * 20001 / 16
