@@ -169,8 +169,10 @@ def near_duplicates(
     3. The sets of a leader's classes are compared exactly, all with all, if they fit into one block. In a larger group
        all are first compared with the leader, then with a few pivots, each the smallest class outside of the
        group's largest component so far, while more are outside than one block holds (work that grows with the group,
-       not with its square). Pairs within a component need no
-       comparison any more; the classes outside of the largest are compared with all others, block by block.
+       not with its square). Pairs within a component need no comparison any more. The classes outside of the largest
+       meet only those of the group that share one of their rarest shingles (``prefixes``), before so few others that
+       they can still be linked: pages of one template, whose own words are their rarest, share none, or too late. Each
+       such meeting is tied to its smallest class and compared like a bucket, block by block where it is large.
     4. Components are joined over these links and brought back to the documents, whose joins deal out large classes.
 
     Null, empty and blank texts: no shingles, linked with nothing. Whole texts are compared, however long. Rows with one
@@ -181,17 +183,19 @@ def near_duplicates(
     signed = materialise(signatures(docs, shingle_words=shingle_words, banding=banding), "signatures")
     known = signed.where("doc_id is not null and digest is not null")
     reps = known.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "keys")).alias("r")).select("r.*")
-    tables = reps.select("doc_id", "n_shingles", F.explode("keys").alias("key"))
+    tables = reps.select("doc_id", F.explode("keys").alias("key"))
     leaders = tables.groupBy("key").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last")).where("leader <> last")
-    ties = materialise(tables.join(leaders, "key").groupBy("leader", "doc_id").agg(F.max("n_shingles").alias("n")), "ties")
+    tied = tables.join(leaders, "key").select("leader", "doc_id").distinct()
+    ties = materialise(tied.join(reps.select("doc_id", F.col("n_shingles").alias("n")), "doc_id").groupBy("leader", "doc_id").agg(F.max("n").alias("n")), "ties")
     sets = materialise(_shingle_sets(docs, ties.select("doc_id").distinct(), shingle_words), "sets")
 
     sizes = ties.groupBy("leader").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
     blocks = _blocks(F.col("sets"), F.col("shingles"), block_sets, block_shingles)
     sizes = sizes.select("leader", blocks.alias("blocks"))
-    single = ties.join(sizes.where("blocks = 1"), "leader").select("leader", "doc_id", F.lit(0).alias("low"), F.lit(0).alias("high"))
+    sized = materialise(spread_join(ties, sizes, ["leader"], ["doc_id"], "inner"), "sized")
+    single = sized.where("blocks = 1").select("leader", "doc_id", F.lit(0).alias("low"), F.lit(0).alias("high"))
     links = materialise(_verified(_with_sets(single, sets, ["leader", "low", "high"]), percent), "links")
-    large = materialise(spread_join(ties, sizes.where("blocks > 1"), ["leader"], ["doc_id"], "inner").select("leader", "doc_id", "n"), "large")
+    large = sized.where("blocks > 1").select("leader", "doc_id", "n")
     if not large.isEmpty():
         links = links.unionByName(_large_links(large, sets, percent, block_sets, block_shingles))
 
@@ -273,26 +277,112 @@ def _star(pairs: DataFrame, sets: DataFrame, percent: int, block_sets: int, bloc
 
 
 def _rest(outside: DataFrame, sets: DataFrame, percent: int, block_sets: int, block_shingles: int) -> DataFrame:
-    """Links of the classes outside of their group's main component with all of the group: every block of them meets
-    every block of the group. ``outside``: (leader, doc_id, n, c, main)."""
-    outer = F.col("c") != F.col("main")
-    sizes = outside.groupBy("leader").agg(
-        F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"), F.count_if(outer).alias("outer_sets"), F.sum(F.when(outer, F.col("n")).otherwise(0)).alias("outer_shingles")
+    """Links of the classes outside of their group's main component with all of the group that can be linked to them.
+    ``outside``: (leader, doc_id, n, c, main)."""
+    mine = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    members = outside.select("leader", "doc_id", "n", (F.col("c") != F.col("main")).alias("outer"))
+    open_groups = members.where("outer").select("leader").distinct()
+    members = materialise(spread_join(members, open_groups, ["leader"], ["doc_id"], "inner"), "members")
+    keys = prefixes(members, sets, percent, block_sets, block_shingles)
+    ends = (F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.max("outer").alias("any"))
+    together = keys.groupBy("leader", "key").agg(F.min("size").alias("least"), *ends).where("first <> last and any").select("leader", "key", "least")
+    # two sets whose first shared shingle is this one share none before it, and a linked one has at least so many of them
+    other = F.greatest(F.col("least"), F.ceil(F.col("size") * percent / 100))
+    enough = F.col("size") - F.col("at") >= F.ceil((F.col("size") + other) * percent / (100 + percent))
+    keys = materialise(spread_join(keys, together, ["leader", "key"], ["doc_id"], "inner").where(enough).drop("least"), "meeting")
+    meetings = keys.groupBy("leader", "key").agg(*ends).where("first <> last and any").select("leader", "key", "first")
+    met = spread_join(keys, meetings, ["leader", "key"], ["doc_id"], "inner")
+    met = met.groupBy(F.xxhash64("leader", "first").alias("leader"), "doc_id").agg(F.max("n").alias("n"), F.max("outer").alias("outer"))
+    met = materialise(met, "met")
+    sizes = met.groupBy("leader").agg(
+        F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"), F.count_if("outer").alias("outer_sets"), F.sum(F.when(F.col("outer"), F.col("n")).otherwise(0)).alias("outer_shingles")
     )
     sizes = sizes.where("outer_sets > 0").select(
         "leader",
         _blocks(F.col("outer_sets"), F.col("outer_shingles"), block_sets, block_shingles).alias("lows"),
         _blocks(F.col("sets"), F.col("shingles"), block_sets, block_shingles).alias("highs"),
     )
-    placed = spread_join(outside, sizes, ["leader"], ["doc_id"], "inner")
-    mine = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    low = placed.where(outer).select("leader", "doc_id", mine("lows").alias("low"), every("highs").alias("high"))
+    placed = spread_join(met, sizes, ["leader"], ["doc_id"], "inner")
+    low = placed.where("outer").select("leader", "doc_id", mine("lows").alias("low"), every("highs").alias("high"))
     high = placed.select("leader", "doc_id", every("lows").alias("low"), mine("highs").alias("high"))
     dealt = low.unionByName(high).distinct()
     return materialise(_verified(_with_sets(dealt, sets, ["leader", "low", "high"]), percent), "links")
 
 
+#: Members of a group whose shingles tell which ones are frequent in it.
+SAMPLE = 64
+
+
+def prefix(shingles: np.ndarray, common: np.ndarray, ranks: np.ndarray, percent: int) -> np.ndarray:
+    """The rarest shingles of a set, one more than two linked sets can have without the other: if both sets take theirs in
+    one order, linked ones share one. The order: by rank (0 for shingles that are not in ``common``, which is
+    sorted), then by value."""
+    n = len(shingles)
+    at = np.searchsorted(common, shingles)
+    at[at == len(common)] = 0
+    rank = np.where(common[at] == shingles, ranks[at], 0) if len(common) else np.zeros(n, dtype=np.int64)
+    keep = n - -(-n * percent // 100) + 1
+    return shingles[np.lexsort((shingles, rank))[:keep]]
+
+
+def prefixes(members: DataFrame, sets: DataFrame, percent: int, block_sets: int, block_shingles: int) -> DataFrame:
+    """(leader, doc_id, n, outer, size, key, at): a row for each of the rarest shingles of each of ``members`` (leader,
+    doc_id, n, outer), with its place in the order and the size of its set.
+
+    How frequent a shingle is in a group is counted in SAMPLE of its sets, those with the smallest hashes, which go with
+    every part that the group is dealt into. All members use the same order, so none is missed, whatever was drawn."""
+    sizes = members.groupBy("leader").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
+    sizes = sizes.select("leader", _blocks(F.col("sets"), F.col("shingles"), block_sets, block_shingles).alias("parts"))
+    drawn = members.groupBy("leader").agg(*[F.min(F.struct(F.xxhash64("doc_id", F.lit(k)), "doc_id")).alias(f"d{k}") for k in range(SAMPLE)])
+    drawn = drawn.select("leader", F.explode(F.array_distinct(F.array(*[F.col(f"d{k}")["doc_id"] for k in range(SAMPLE)]))).alias("doc_id"))
+    arrow = arrow_schema("leader bigint, common binary, ranks binary")
+
+    def count(batches):
+        leader, held = None, []
+
+        def close() -> dict:
+            if leader is None:
+                return {"leader": [], "common": [], "ranks": []}
+            shingles, times = np.unique(np.concatenate(held), return_counts=True)
+            often = times > 1
+            return {"leader": [leader], "common": [shingles[often].astype("<u8").tobytes()], "ranks": [times[often].astype("<i8").tobytes()]}
+
+        for batch in batches:
+            for now, mine in zip(*(batch.column(batch.schema.names.index(c)).to_pylist() for c in ("leader", "shingles"))):
+                if now != leader:
+                    yield to_batch(close(), arrow)
+                    leader, held = now, []
+                held.append(np.frombuffer(mine, dtype="<u8"))
+        yield to_batch(close(), arrow)
+
+    counted = _with_sets(drawn, sets, ["leader"]).select("leader", "shingles").mapInArrow(count, "leader bigint, common binary, ranks binary")
+    heads = counted.join(sizes, "leader").select("leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("bigint").alias("n"), F.lit(None).cast("boolean").alias("outer"), F.col("common").alias("shingles"), "ranks")
+    dealt = spread_join(members, sizes, ["leader"], ["doc_id"], "inner").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
+    rows = dealt.join(sets, "doc_id").select("leader", "part", F.lit(1).alias("role"), "doc_id", "n", "outer", "shingles", F.lit(None).cast("binary").alias("ranks"))
+    grouped = heads.unionByName(rows).repartition("leader", "part").sortWithinPartitions("leader", "part", "role", "doc_id")
+    schema = "leader bigint, doc_id bigint, n bigint, outer boolean, size bigint, key bigint, at bigint"
+    keyed = arrow_schema(schema)
+
+    def cut(batches):
+        common, ranks = np.zeros(0, "<u8"), np.zeros(0, "<i8")
+        for batch in batches:
+            out: dict[str, list] = {f.name: [] for f in keyed}
+            for leader, role, doc_id, n, outer, shingles, more in zip(*(batch.column(batch.schema.names.index(c)).to_pylist() for c in ("leader", "role", "doc_id", "n", "outer", "shingles", "ranks"))):
+                mine = np.frombuffer(shingles, dtype="<u8")
+                if role == 0:
+                    common, ranks = mine, np.frombuffer(more, dtype="<i8")
+                    continue
+                found = prefix(mine, common, ranks, percent).view(np.int64).tolist()
+                for name, value in (("leader", leader), ("doc_id", doc_id), ("n", n), ("outer", outer), ("size", len(mine))):
+                    out[name] += [value] * len(found)
+                out["key"] += found
+                out["at"] += range(len(found))
+            yield to_batch(out, keyed)
+
+    return materialise(grouped.mapInArrow(cut, schema), "prefixes")
+
+
 def _shingle_sets(docs: DataFrame, ids: DataFrame, shingle_words: int) -> DataFrame:
     """(doc_id, shingles) of the documents named in ``ids``: sorted distinct hashes as bytes, a row for each distinct set
     of a doc_id."""
