@@ -25,7 +25,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked at five-word similarity 0.8 or more the smallest doc_id stays, with all its rows. Documents
     without words or id are linked with nothing and stay; an empty table gives no row."""
-    found = minhash.near_duplicates(docs.select("doc_id", "text"), percent=80, banding=minhash.Banding(rows=9))
+    found = minhash.near_duplicates(docs.select("doc_id", "text"), percent=80, banding=minhash.Banding(rows=10))
     return docs.join(found.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
 
 
