@@ -15,8 +15,19 @@ MALE = ("Mr", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "Don", "Sir", "гос
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Doña", "госпожа", "Госпожа")
 NEUTRAL = ("Dr", "Prof")
 
+# Country calling codes of one and two digits; all others have three.
+CALLING = (
+    "1", "7", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "51", "52", "53", "54", "55", "56",
+    "57", "58", "60", "61", "62", "63", "64", "65", "66", "81", "82", "84", "86", "90", "91", "92", "93", "94", "95", "98",
+)
+
 _TITLES = "|".join((*MALE, *FEMALE, *NEUTRAL))
+#: Titles in capitals come before names in capitals only, of two words at most: what follows may be shouted text. Those
+#: that are more often something else in capitals are none.
+_SHOUTED = "|".join(sorted({t.upper() for t in (*MALE, *FEMALE, *NEUTRAL)} - {"MS", "DON"}))
 _NAME = r"\p{Lu}[\p{L}'’-]+"
+_SHOUTED_NAME = r"\p{Lu}[\p{Lu}'’-]+(?!\p{Ll})"
+_HEX = "[0-9A-Fa-f]{1,4}"
 #: Kind and pattern; the first kind whose pattern matches the whole mention is its kind.
 KINDS: tuple[tuple[str, str], ...] = (
     ("email", r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}_%+-][\p{L}\p{N}._%+-]{0,63}@(?:[\p{L}\p{N}-]{1,63}\.){1,8}\p{L}{2,24}"),
@@ -25,11 +36,13 @@ KINDS: tuple[tuple[str, str], ...] = (
     ("ssn", r"(?<![\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{N}-])"),
     ("phone", r"(?<![\p{L}\p{N}])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\p{N})|(?<![\p{L}\p{N}+])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\p{N})|(?<![\p{L}\p{N}+.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\p{N}-])"),
     ("card", r"(?<![\p{L}\p{N}.-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?![\p{L}\p{N}])"),
-    ("name", rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLES})\.? {_NAME}(?: {_NAME}){{0,2}}"),
+    ("ip6", rf"(?<![\p{{L}}\p{{N}}:.])(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}(?::{_HEX}){{0,5}})?::{_HEX}(?::{_HEX}){{0,5}}|{_HEX}(?::{_HEX}){{0,6}}::)(?![\p{{L}}\p{{N}}:])"),
+    ("name", rf"(?<![\p{{L}}\p{{N}}])(?:(?:{_TITLES})\.? {_NAME}(?: {_NAME}){{0,2}}|(?:{_SHOUTED})\.? {_SHOUTED_NAME}(?: {_SHOUTED_NAME})?)"),
 )
 ANY = "|".join(f"(?:{p})" for _, p in KINDS)
-#: Every match of ANY holds an @, a digit, or a title before a capital; most texts hold none and are told so cheaply.
-POSSIBLE = rf"[@0-9]|(?=[MHSDFPГг])(?:{_TITLES})\.? \p{{Lu}}"
+#: Every match of ANY holds an @, a digit, two colons, or a title before a capital; most texts hold none and are told so
+#: cheaply.
+POSSIBLE = rf"[@0-9]|::|(?=[MHSDFPГг])(?:{_TITLES}|{_SHOUTED})\.? \p{{Lu}}"
 
 # The letters that stand for hexadecimal digits in surrogates, by script, and the syllables of names.
 _LATIN, _CYRILLIC, _GREEK = "abdeghiklmnoprst", "абвгдежзиклмнопр", "αβγδεζηθικλμνξοπ"
@@ -45,7 +58,7 @@ TRIES, GROWTH, MAX_TRIES = 3, 2, 24
 
 #: A capitalised word, for mentions without a title of names found in the same text; a genitive's ending stays.
 _WORD = rf"(?<![\p{{L}}\p{{N}}]){_NAME}"
-_TITLED = rf"^(?:{_TITLES})\.? "
+_TITLED = rf"^(?:{_TITLES}|{_SHOUTED})\.? "
 _GENITIVE = r"['’]s$"
 
 
@@ -99,6 +112,13 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda a, x: a + x)
 
 
+def _mod97(text: Column) -> Column:
+    """The remainder of an account number's digits, letters counting from 10, that ISO 7064 checks."""
+    value = lambda c: F.coalesce(c.try_cast("int"), F.ascii(c) - 55)
+    step = lambda acc, c: (acc * F.when(c.rlike("[0-9]"), 10).otherwise(100) + value(c)) % 97
+    return F.aggregate(F.split(F.upper(text), ""), F.lit(0), step)
+
+
 def _syllables(h: Column, script: Column, ending: Column, n: Column) -> Column:
     latin, cyrillic = F.array(*map(F.lit, _SYLLABLES)), F.array(*map(F.lit, _SYLLABLES_CYRILLIC))
     at = lambda i: F.conv(F.substr(h, i + 1, F.lit(1)), 16, 10).cast("int") + 1
@@ -128,24 +148,32 @@ def _surrogate(key: str, attempt: int) -> Column:
     # beyond the digits of one hash those of a second follow; numbers are matched up to 40 digits long
     digits = F.concat(digits, _digits(F.sha2(F.concat(h, F.lit("+")).cast("binary"), 256), 0))
     plain = F.substr(digits, F.lit(1), n)
-    phone = F.concat(F.substring(norm, 1, 1), (F.substring(digits, 1, 1).cast("int") % 8 + 2).cast("string"), F.substr(digits, F.lit(2), n - 2))
+    # a country's code stays, or the first digit where none is written
+    kept = F.when(norm.startswith("+"), F.regexp_extract(norm, rf"^\+(?:{'|'.join(CALLING)}|\d{{1,3}})", 0)).otherwise(F.substring(norm, 1, 1))
+    phone = F.concat(kept, (F.substring(digits, 1, 1).cast("int") % 8 + 2).cast("string"), F.substr(digits, F.lit(2), n - F.length(kept) - 1))
     body = F.concat(F.substring(norm, 1, 1), F.substr(digits, F.lit(1), n - 2))
     check = (10 - _luhn(F.concat(body, F.lit("0"))) % 10) % 10
     valid = _luhn(norm) % 10 == 0
     card = F.when(valid, F.concat(body, check.cast("string"))).otherwise(F.concat(body, F.when(F.substring(digits, 40, 1).cast("int") == check, (check + 1) % 10).otherwise(F.substring(digits, 40, 1).cast("int")).cast("string")))
     ssn = F.concat(F.lit("9"), F.substr(digits, F.lit(1), n - 1))
-    iban = F.concat(F.substring(norm, 1, 2), _reshaped(F.substr(norm, F.lit(3), F.length(norm)), h), F.substr(digits, F.lit(1), F.lit(more)))
-    name = _syllables(h, F.col("script"), F.col("gender"), F.lit(2 + min(attempt, 20)))
+    account = F.concat(_reshaped(F.substr(norm, F.lit(5), F.length(norm)), h), F.substr(digits, F.lit(1), F.lit(more)))
+    pair = 98 - _mod97(F.concat(account, F.substring(norm, 1, 2), F.lit("00")))
+    pair = F.when(_mod97(F.concat(F.substr(norm, F.lit(5), F.length(norm)), F.substring(norm, 1, 4))) == 1, pair).otherwise(F.when(pair == 98, 2).otherwise(pair + 1))
+    iban = F.concat(F.substring(norm, 1, 2), F.lpad(pair.cast("string"), 2, "0"), account)
+    ip6 = F.concat_ws(":", F.lit("2001:db8"), *[F.substring(h, k, 4) for k in (1, 5, 9, 13, 17, 21)])
+    one_name = lambda part, i: _syllables(F.when(i == 0, h).otherwise(F.sha2(F.concat(h, i.cast("string")).cast("binary"), 256)), F.col("script"), F.col("gender"), F.lit(2 + min(attempt, 20)))
+    name = F.array_join(F.transform(F.split(norm, "-"), one_name), "-")  # as many parts as the name has
     return (
         F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "phone", phone).when(kind == "card", card)
-        .when(kind == "ssn", ssn).when(kind == "iban", iban).when(kind.isin("given", "surname"), name).otherwise(plain)
+        .when(kind == "ssn", ssn).when(kind == "iban", iban).when(kind == "ip6", ip6).when(kind.isin("given", "surname"), name).otherwise(plain)
     )
 
 
 def _norm() -> Column:
-    """What makes two mentions of a kind the same entity: letters in lower case, or the digits alone."""
+    """What makes two mentions of a kind the same entity: letters in lower case, or the digits alone, a phone number's plus
+    with them."""
     form, kind = F.col("form"), F.col("kind")
-    return F.when(kind == "email", F.lower(form)).when(kind == "ip", form).when(kind == "iban", F.regexp_replace(form, " ", "")).otherwise(F.regexp_replace(form, r"[^0-9]", ""))
+    return F.when(kind == "email", F.lower(form)).when(kind == "ip", form).when(kind == "ip6", F.lower(form)).when(kind == "iban", F.regexp_replace(form, " ", "")).when(kind == "phone", F.regexp_replace(form, r"[^+0-9]", "")).otherwise(F.regexp_replace(form, r"[^0-9]", ""))
 
 
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
@@ -175,13 +203,14 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
 def replace_entities(docs: DataFrame, *, key: str = "panelforge", text_col: str = "text") -> DataFrame:
     """``docs`` with ``text_col`` rewritten and ``n_entities`` added; all other columns stay.
 
-    Mentions are matched in the whole text, leftmost first: e-mail and IPv4 addresses, IBANs, SSNs, phone and card
-    numbers, names after a title, and further mentions, without one, of the words of these names in the same text
-    (spelled the same). Not found: IPv6 addresses, names without any titled mention in their text, titles in capitals.
+    Mentions are matched in the whole text, leftmost first: e-mail, IPv4 and IPv6 addresses, IBANs, SSNs, phone and card
+    numbers, names after a title (in capitals, MS and DON aside: title and up to two words), and further mentions, without one, of the
+    words of these names in the same text, in capitals too. Not found: names without any titled mention in their text.
+    An IPv6 address is told from others by its spelling and becomes one of the documentation range.
 
     Equal entities get equal surrogates in all documents, however they are written (case of an address, separators of
-    a number, a name's words one by one); distinct ones get distinct ones. Format, case, script and whether a card number
-    passes its check are kept. A given name is one entity for each gender its titles tell: after a neutral title, or
+    a number, a name's words one by one); distinct ones get distinct ones. Format, case, script, a name's hyphens, a phone
+    number's country code and whether a card number or an IBAN passes its check are kept. A given name is one entity for each gender its titles tell: after a neutral title, or
     none, it takes the gender of its first gendered mention in the text, else is neutral.
 
     Texts without a match pass through untouched and unshuffled; the others, long ones too, are written to the shared
@@ -230,16 +259,17 @@ def _parts(mentions: DataFrame) -> DataFrame:
     words = mentions.where("kind = 'name'").withColumn("lead", title).select("row", "pos", "lead", F.split(F.expr("substr(form, length(lead) + 1)"), " ").alias("words"))
     words = words.select("row", "pos", "lead", F.size("words").alias("n"), F.posexplode("words").alias("at", "whole"))
     bare = F.regexp_replace(F.trim("lead"), r"\.$", "")
-    gender = F.when(bare.isin(*MALE), "m").when(bare.isin(*FEMALE), "f").otherwise("n")
+    among = lambda titles: F.upper(bare).isin(*[t.upper() for t in titles])
+    gender = F.when(among(MALE), "m").when(among(FEMALE), "f").otherwise("n")
     last = F.col("at") == F.col("n") - 1
     words = words.select("row", "pos", "at", "lead", *_split_genitive(), F.when(last, "surname").otherwise("given").alias("kind"), F.when(last, "s").otherwise(gender).alias("gender"))
     words = words.withColumn("norm", F.lower("form"))
     # of each text: the gender that a given name's first gendered mention tells, and what each spelling stands for
     told = words.where("gender in ('m', 'f')").groupBy("row", "norm").agg(F.min_by("gender", F.struct("pos", "at")).alias("told"))
     words = words.join(told, ["row", "norm"], "left").withColumn("gender", F.when(F.col("gender") == "n", F.coalesce("told", F.lit("n"))).otherwise(F.col("gender"))).drop("told")
-    spelled = words.groupBy("row", "form").agg(F.min_by(F.struct("kind", "norm", "gender"), F.struct("pos", "at")).alias("e")).select("row", "form", "e.*")
+    spelled = words.groupBy("row", F.col("norm").alias("same")).agg(F.min_by(F.struct("kind", "norm", "gender"), F.struct("pos", "at")).alias("e")).select("row", "same", "e.*")
     bare = mentions.where("kind = 'word'").select("row", "pos", F.lit(0).alias("at"), F.lit("").alias("lead"), F.col("form").alias("whole")).select("row", "pos", "at", "lead", *_split_genitive())
-    untitled = bare.join(spelled, ["row", "form"])
+    untitled = bare.withColumn("same", F.lower("form")).join(spelled, ["row", "same"])
     columns = ["row", "pos", "at", "lead", "form", "tail", "kind", "norm", "gender"]
     named = words.select(*columns).unionByName(untitled.select(*columns))
     return others.unionByName(named.withColumn("script", F.when(F.col("form").rlike(r"\p{IsCyrillic}"), "c").otherwise("l")))
@@ -256,7 +286,7 @@ def _written() -> Column:
     shouted = (F.length(form) > 1) & (form == F.upper(form))
     name = F.concat(F.when(shouted, F.upper(surrogate)).otherwise(surrogate), "tail")
     return (
-        F.when(kind.isin("phone", "card", "ssn"), _filled(form, surrogate, lambda c: c.rlike(r"\d")))
+        F.when(kind.isin("phone", "card", "ssn"), _filled(form, F.regexp_replace(surrogate, r"\+", ""), lambda c: c.rlike(r"\d")))
         .when(kind == "iban", _filled(form, surrogate, lambda c: c != " "))
         .when(kind.isin("given", "surname"), name)
         .otherwise(surrogate)

@@ -36,6 +36,54 @@ def test_untitled_mentions_in_the_same_text_follow(spark):
     assert out[0].n_entities == 4 and out[1].text == texts[1] and out[1].n_entities == 0
 
 
+def mod97(iban):
+    iban = iban.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+
+def test_ibans_keep_whether_they_pass_their_check(spark):
+    valid = ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "FR14 2004 1010 0505 0001 3M02 606"]
+    texts = valid + ["DE88370400440532013000"]
+    out = replaced(spark, texts)
+    new = [out[i].text for i in range(len(texts))]
+    assert [mod97(x) == 1 for x in new] == [mod97(x) == 1 for x in texts] == [True, True, True, False]
+    shape = lambda x: re.sub("[A-Z]", "A", re.sub(r"\d", "9", x))
+    assert [shape(x) for x in new] == [shape(x) for x in texts] and [x[:2] for x in new] == [x[:2] for x in texts]
+    assert not set(new) & set(texts)
+
+
+def test_country_codes_stay(spark):
+    texts = ["+49 30 901820", "+1 (555) 234-5678", "+354 581 2345", "(030) 901-8204"]
+    out = replaced(spark, texts)
+    new = [out[i].text for i in range(4)]
+    assert [re.sub(r"\d", "9", x) for x in new] == [re.sub(r"\d", "9", x) for x in texts] and not set(new) & set(texts)
+    assert new[0].startswith("+49 ") and new[1].startswith("+1 (") and new[2].startswith("+354 ")
+
+
+def test_titles_in_capitals_and_shouted_mentions_follow(spark):
+    texts = ["Mr. John Smith or MR JOHN SMITH, later SMITH and Smith.", "MS WORD IS FINE. MS Word too", "FRAU DR here, MRS. JONES'S plan"]
+    out = replaced(spark, texts)
+    john, smith = re.match(r"Mr\. (\w+) (\w+) or", out[0].text).groups()
+    assert out[0].text == f"Mr. {john} {smith} or MR {john.upper()} {smith.upper()}, later {smith.upper()} and {smith}."
+    assert out[1].text.startswith("MS WORD IS FINE. ")
+    assert re.fullmatch(r"FRAU DR here, MRS\. [A-Z]+'S plan", out[2].text) and "JONES" not in out[2].text
+
+
+def test_hyphens_stay_in_names(spark):
+    out = replaced(spark, ["Frau Anna-Lena Müller-Lüdenscheidt und Frau Anna Müller", "господин Петров-Водкин"])
+    given, surname, _, _ = re.fullmatch(r"Frau (\w+-\w+) (\w+-\w+) und Frau (\w+) (\w+)", out[0].text).groups()
+    assert all(p[0].isupper() for p in (*given.split("-"), *surname.split("-")))
+    assert re.fullmatch(r"господин [А-я]+-[А-я]+", out[1].text) and "Водкин" not in out[1].text
+
+
+def test_ip6_addresses(spark):
+    texts = ["at ::1 now", "fe80::1ff:fe23:4567:890a and FE80::1ff:fe23:4567:890a", "2001:0db8:85a3:0000:0000:8a2e:0370:7334", "12:30:45 std::vector a :: b"]
+    out = replaced(spark, texts)
+    assert all(re.fullmatch(r"(at )?2001:db8(:[0-9a-f]{4}){6}( now)?", out[i].text) for i in (0, 2))
+    a, b = out[1].text.split(" and ")
+    assert a == b != texts[1].split(" and ")[0] and out[3].text == texts[3]
+
+
 MENTION = re.compile(r"[a-z]+\d*@[a-z]+\.com|\d{3}-\d{2}-\d{4}|\d+\.\d+\.\d+\.\d+|\(\d{3}\) \d{3}-\d{4}")
 
 
