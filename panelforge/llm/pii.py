@@ -26,7 +26,7 @@ _TITLES = "|".join((*MALE, *FEMALE, *NEUTRAL))
 #: that are more often something else in capitals are none.
 _SHOUTED = "|".join(sorted({t.upper() for t in (*MALE, *FEMALE, *NEUTRAL)} - {"MS", "DON"}))
 _NAME = r"\p{Lu}[\p{L}'’-]+"
-_SHOUTED_NAME = r"\p{Lu}[\p{Lu}'’-]+(?!\p{Ll})"
+_SHOUTED_NAME = rf"(?!(?:{_SHOUTED})(?!\p{{L}}))\p{{Lu}}[\p{{Lu}}'’-]+(?!\p{{Ll}})"
 _HEX = "[0-9A-Fa-f]{1,4}"
 #: Kind and pattern; the first kind whose pattern matches the whole mention is its kind.
 KINDS: tuple[tuple[str, str], ...] = (
@@ -59,7 +59,7 @@ TRIES, GROWTH, MAX_TRIES = 3, 2, 24
 #: A capitalised word, for mentions without a title of names found in the same text; a genitive's ending stays.
 _WORD = rf"(?<![\p{{L}}\p{{N}}]){_NAME}"
 _TITLED = rf"^(?:{_TITLES}|{_SHOUTED})\.? "
-_GENITIVE = r"['’]s$"
+_GENITIVE = r"['’][sS]$"
 
 
 def _kind(mention: Column) -> Column:
