@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Set
 from dataclasses import dataclass, field
 
 import xxhash
@@ -32,8 +32,11 @@ _LETTERS = bytes(c if 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(25
 MAX_TRAIN_DOCS = 8000
 #: Bytes of text that it is learned from, at most; whole texts only.
 MAX_TRAIN_BYTES = 128_000_000
-#: A term must occur in this share of the toxic families, and in so many toxic texts for each other one.
-SUPPORT, ODDS = 0.008, 19
+#: A term must occur in so many toxic texts for each other one, and in so many families of toxic texts that of the terms
+#: which do this share, at most, would do so if the labels were dealt at random.
+ODDS, CHANCE = 19, 0.05
+#: Families that a term needs at least.
+LEAST = 3
 #: Lengths in bytes of the word beginnings that may become terms.
 PREFIXES = (4, 8)
 #: Training texts whose terms a task holds at once.
@@ -112,33 +115,54 @@ class Lexicon:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.slope * evidence + self.offset))))
 
 
-def learn_lexicon(rows: list[tuple[str | None, int]], prefixes: tuple[int, int] = PREFIXES, *, support_share: float = SUPPORT, odds: float = ODDS) -> Lexicon:
+def learn_lexicon(rows: list[tuple[str | None, int]], prefixes: tuple[int, int] = PREFIXES, *, odds: float = ODDS, chance: float = CHANCE) -> Lexicon:
     """A lexicon from (text, 0 or 1) rows in memory; ``train`` learns the same from a table, without holding its texts.
 
-    Terms are words and word beginnings that occur in enough toxic texts (``support_share`` of their families, three at
-    least) and in hardly any other (one for ``odds`` toxic ones, at most). Near copies count
-    once: support is the number of families, told apart by the smallest hash of their words. A bigram around a term
-    that occurs mostly in texts that are not toxic becomes an exception phrase. No toxic row: an empty lexicon, whose
-    score is below one half for all texts.
+    Terms are words and word beginnings that occur in enough toxic texts and in hardly any other (one for ``odds`` toxic
+    ones, at most). Near copies count once: support is the number of families, told apart by the smallest hash of their
+    words. How many are enough is told by the same count with the labels dealt anew, by a hash of the text: so many
+    that of the terms that pass no more than ``chance`` would pass by chance. A word of few texts is so a term where
+    rare words are rare, and none where there are many. A bigram around a term that occurs mostly in texts that are not
+    toxic becomes an exception phrase. No toxic row: an empty lexicon, whose score is below one half for all texts.
     """
     folded = [(fold(t), int(bool(y))) for t, y in rows]
     toxic = sum(y for _, y in folded)
     if not toxic:
         return Lexicon()
-    families: dict[str, set[int]] = defaultdict(set)
-    for term, family in _families((t for t, y in folded if y), prefixes):
-        families[term].add(family)
-    need = _need(len(families.pop("", ())), support_share)
-    support = {t for t, f in families.items() if len(f) >= need}
-    del families
-    hits, misses = _holding(folded, support, prefixes)
-    kept = [(t, n, misses[t]) for t, n in hits.items() if n >= odds * misses[t]]
-    lexicon = Lexicon(terms=_choose(kept, toxic, len(folded) - toxic, prefixes[0]))
+    dealt = [(t, _dealt(t, toxic / len(folded))) for t, _ in folded]
+    found = []
+    for labelled in (folded, dealt):
+        seen: dict[str, set[int]] = defaultdict(set)
+        for term, family in _families((t for t, y in labelled if y), prefixes):
+            seen[term].add(family)
+        support = {t: len(f) for t, f in seen.items() if len(f) >= LEAST}
+        hits, misses = _holding(labelled, support.keys(), prefixes)
+        found.append([(t, n, misses[t], support[t]) for t, n in hits.items() if n >= odds * misses[t]])
+    need = _need(*(Counter(f for *_, f in terms) for terms in found), chance)
+    lexicon = Lexicon(terms=_choose(((t, h, m) for t, h, m, f in found[0] if f >= need), toxic, len(folded) - toxic, prefixes[0]))
     lexicon.exceptions = sorted(f" {p} " for p, c in _phrases(folded, lexicon, lexicon.automaton()).items() if c[0] >= 3 and c[0] >= 4 * c[1])
     _calibrate(_points(folded, lexicon, lexicon.automaton()), lexicon)
     return lexicon
 
 
+def _dealt(text: str, share: float) -> int:
+    """A label of the folded text by chance, 1 for ``share`` of all texts."""
+    return int(xxhash.xxh64_intdigest(text.encode("latin-1"), seed=9) < share * 2**64)
+
+
+def _need(found: Counter[int], by_chance: Counter[int], chance: float) -> int:
+    """The least number of families from which on ``by_chance`` holds at most ``chance`` as many terms as ``found``; both count
+    terms by their families."""
+    real = random = 0
+    need = LEAST if not found else max(found) + 1
+    for n in sorted({*found, *by_chance}, reverse=True):
+        real, random = real + found[n], random + by_chance[n]
+        if random > chance * real:
+            break
+        need = n
+    return max(LEAST, need)
+
+
 def _terms_of(words: set[str], prefixes: tuple[int, int]) -> set[str]:
     # lengths count bytes of UTF-8; a beginning must not end inside a character
     low, high = prefixes
@@ -147,21 +171,16 @@ def _terms_of(words: set[str], prefixes: tuple[int, int]) -> set[str]:
 
 
 def _families(toxic: Iterable[str], prefixes: tuple[int, int]) -> Iterator[tuple[str, int]]:
-    """(term, family) for each term of each text that has words, and once more with "" for the term."""
+    """(term, family) for each term of each text that has words."""
     for text in toxic:
         words = set(text.split())
         if words:
             family = min(xxhash.xxh32_intdigest(w.encode("latin-1")) for w in words)
-            yield "", family
             for term in _terms_of(words, prefixes):
                 yield term, family
 
 
-def _need(families: int, support_share: float) -> int:
-    return max(3, math.ceil(support_share * families))
-
-
-def _holding(folded: Iterable[tuple[str, int]], support: set[str], prefixes: tuple[int, int]) -> tuple[Counter[str], Counter[str]]:
+def _holding(folded: Iterable[tuple[str, int]], support: Set[str], prefixes: tuple[int, int]) -> tuple[Counter[str], Counter[str]]:
     """How many toxic texts, and how many others, hold each term of ``support``."""
     hits: Counter[str] = Counter()
     misses: Counter[str] = Counter()
@@ -228,8 +247,9 @@ def _calibrate(points: Counter[tuple[float, int]], lexicon: Lexicon) -> None:
     lexicon.slope, lexicon.offset = max(a, 0.1), min(b, -0.5)
 
 
-def train(docs: DataFrame, labels: DataFrame, *, max_docs: int = MAX_TRAIN_DOCS, max_bytes: int = MAX_TRAIN_BYTES) -> Lexicon:
-    """The lexicon from documents that ``labels`` marks and whose crc32(doc_id as text) mod 5 is not 0.
+def train(docs: DataFrame, labels: DataFrame, *, max_docs: int = MAX_TRAIN_DOCS, max_bytes: int = MAX_TRAIN_BYTES, odds: float = ODDS, chance: float = CHANCE) -> Lexicon:
+    """The lexicon from documents that ``labels`` marks and whose crc32(doc_id as text) mod 5 is not 0; ``odds`` and ``chance``
+    as in ``learn_lexicon``.
 
     Fitted on ``max_docs`` labelled ids, chosen by hash (so few that they can be broadcast), and on as many of their
     distinct texts within ``max_bytes``, however often an id is repeated. A null label or id teaches nothing; several
@@ -243,34 +263,23 @@ def train(docs: DataFrame, labels: DataFrame, *, max_docs: int = MAX_TRAIN_DOCS,
     if rows is None:
         return Lexicon()
     with scratch(docs.sparkSession):
-        return _learn_from(rows.select("text", "label"))
+        return _learn_from(rows.select("text", "label"), odds, chance)
 
 
-def _learn_from(rows: DataFrame) -> Lexicon:
+def _learn_from(rows: DataFrame, odds: float, chance: float) -> Lexicon:
     """What ``learn_lexicon`` learns from the rows (text, label), which tasks read and count."""
     folded = materialise(map_batches(rows, lambda b: {"folded": [fold(t) for t in b["text"]], "y": [int(bool(y)) for y in b["label"]]}, "folded string, y int"), "folded")
     sizes = {r.y: r["count"] for r in folded.groupBy("y").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic:
         return Lexicon()
-
-    def families(batch: dict) -> dict:
-        pairs = list(set(_families(batch["folded"], PREFIXES)))
-        return {"term": [t for t, _ in pairs], "family": [f for _, f in pairs]}
-
-    pairs = map_batches(folded.where("y = 1"), families, "term string, family bigint", most=LEARN_ROWS)
-    counts = materialise(pairs.distinct().groupBy("term").count(), "families")
-    need = _need(sum(r["count"] for r in counts.where("term = ''").collect()), SUPPORT)
-    support = {r.term for r in counts.where(f"term <> '' and count >= {need}").select("term").collect()}
-
-    def holding(batch: dict) -> dict:
-        hits, misses = _holding(zip(batch["folded"], batch["y"], strict=True), support, PREFIXES)
-        terms = list(hits.keys() | misses.keys())
-        return {"term": terms, "hits": [hits[t] for t in terms], "misses": [misses[t] for t in terms]}
-
-    sums = map_batches(folded, holding, "term string, hits bigint, misses bigint").groupBy("term").agg(F.sum("hits").alias("hits"), F.sum("misses").alias("misses"))
-    kept = [(r.term, r.hits, r.misses) for r in sums.where(F.col("hits") >= ODDS * F.col("misses")).collect()]
-    bare = Lexicon(terms=_choose(((t, h, m) for t, h, m in kept if h), toxic, clean, PREFIXES[0]))
+    found = _passing(folded, odds)
+    dealt = map_batches(folded, lambda b: {"folded": b["folded"], "y": [_dealt(t, toxic / (toxic + clean)) for t in b["folded"]]}, "folded string, y int")
+    by_chance = _passing(dealt, odds)
+    tally = lambda terms: Counter({r.families: r["count"] for r in terms.groupBy("families").count().collect()})
+    need = _need(tally(found), tally(by_chance), chance)
+    kept = [(r.term, r.hits, r.misses) for r in found.where(F.col("families") >= need).collect()]
+    bare = Lexicon(terms=_choose(kept, toxic, clean, PREFIXES[0]))
 
     def phrases(batch: dict) -> dict:
         found = _phrases(zip(batch["folded"], batch["y"], strict=True), bare, worker_slot(("lexicon", bare.key()), bare.automaton))
@@ -289,6 +298,31 @@ def _learn_from(rows: DataFrame) -> Lexicon:
     return lexicon
 
 
+def _passing(folded: DataFrame, odds: float) -> DataFrame:
+    """(term, hits, misses, families) of the terms of ``folded`` (folded, y) in LEAST families of toxic texts and in hardly any
+    other text. Texts are counted where they are; terms of too few families are left out by a join, so the driver
+    gets none of them."""
+
+    def families(batch: dict) -> dict:
+        pairs = list(set(_families((t for t, y in zip(batch["folded"], batch["y"], strict=True) if y), PREFIXES)))
+        return {"term": [t for t, _ in pairs], "family": [f for _, f in pairs]}
+
+    pairs = map_batches(folded, families, "term string, family bigint", most=LEARN_ROWS)
+    support = pairs.distinct().groupBy("term").agg(F.count(F.lit(1)).alias("families")).where(F.col("families") >= LEAST)
+
+    def holding(batch: dict) -> dict:
+        hits: Counter[str] = Counter()
+        misses: Counter[str] = Counter()
+        for text, y in zip(batch["folded"], batch["y"], strict=True):
+            (hits if y else misses).update(_terms_of(set(text.split()), PREFIXES))
+        terms = list(hits.keys() | misses.keys())
+        return {"term": terms, "hits": [hits[t] for t in terms], "misses": [misses[t] for t in terms]}
+
+    counts = map_batches(folded, holding, "term string, hits bigint, misses bigint", most=LEARN_ROWS)
+    sums = counts.groupBy("term").agg(F.sum("hits").alias("hits"), F.sum("misses").alias("misses")).where(F.col("hits") >= odds * F.col("misses"))
+    return materialise(sums.join(support, "term"), "terms")
+
+
 def score_toxicity(docs: DataFrame, lexicon: Lexicon, *, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with ``score`` (0 to 1), ``predicted`` (1 from 0.5 on) and ``n_terms`` (words of the lexicon in the text).
 

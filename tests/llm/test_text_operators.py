@@ -255,3 +255,24 @@ def test_lm_learns_from_every_training_document(spark):
 
 def test_lm_empty_table(spark):
     assert lm.score(docs(spark, ["a"]).where("false")).select(F.count("*")).first()[0] == 0
+
+
+def test_how_many_families_are_enough_follows_from_chance():
+    from collections import Counter
+
+    assert toxicity._need(Counter({3: 1, 40: 5}), Counter(), 0.05) == 3
+    assert toxicity._need(Counter({3: 100, 6: 20, 40: 5}), Counter({3: 90, 4: 6}), 0.05) == 6
+    assert toxicity._need(Counter({3: 10}), Counter({3: 10}), 0.05) == 4  # no term passes
+    assert toxicity._need(Counter(), Counter(), 0.05) == 3
+
+
+def test_a_word_of_few_toxic_texts_is_a_term_only_where_such_words_are_rare():
+    def terms(vocabulary):
+        rng = random.Random(5)
+        words = ["".join(rng.choice("bcdfghjklmnprstvwz") + rng.choice("aeiou") for _ in range(4)) for _ in range(vocabulary)]
+        prose = lambda: " ".join(rng.choice(words) for _ in range(60))
+        rows = [(prose() + (" grumblorf" if i < 8 else " vilestone"), 1) for i in range(500)] + [(prose(), 0) for _ in range(500)]
+        return set(toxicity.learn_lexicon(rows).terms)
+
+    assert terms(2_000) == {" grumblorf ", " vilestone "}
+    assert " vilestone " in terms(60_000)
