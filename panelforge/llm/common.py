@@ -138,13 +138,18 @@ _limited: set[str] = set()
 _slot: dict = {}
 
 
+def give_back() -> None:
+    """In a Python worker: what is free goes back to the system, as a reused worker would hold it for the next stage."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def worker_slot(key, make):
     """``make()``, kept in the Python worker until another key is asked for: a reused worker holds one large thing."""
     if key not in _slot:
         _slot.clear()
-        gc.collect()
-        with contextlib.suppress(OSError, AttributeError):
-            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        give_back()
         _slot[key] = make()
     return _slot[key]
 

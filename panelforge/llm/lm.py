@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import BATCH_ROWS, arrow_schema, crc_of_id, drop_table, materialise, one_blas_thread, ship, to_batch
+from panelforge.llm.common import BATCH_ROWS, arrow_schema, crc_of_id, drop_table, give_back, materialise, one_blas_thread, ship, to_batch
 
 #: The end token; words never hold white space.
 END = b"\n"
@@ -435,6 +435,7 @@ def shards(docs: DataFrame, class_of: dict[bytes, int], rounds: int, width: int)
                         for name, value in zip(out, (h % rounds, h // rounds % width, h, s[at : at + PIECE].tobytes())):
                             out[name].append(value)
                 yield to_batch(out, arrow)
+        give_back()
 
     dealt = docs.select(F.xxhash64("doc_id", salt, text).alias("h"), text.alias("text")).mapInArrow(run, schema)
     dealt = dealt.repartition(rounds * width, "round", "shard").sortWithinPartitions("round", "shard", "h", "ids")
@@ -491,6 +492,8 @@ def fit_all(docs: DataFrame, class_of: dict[bytes, int], unigram: np.ndarray, to
                         held = 0
             if trainer is not None:
                 yield from learned()
+            trainer = None
+            give_back()
 
         def average(group: pd.DataFrame) -> pd.DataFrame:
             group = group.sort_values("task")  # sums in the same order, so to the same bits
@@ -577,6 +580,7 @@ def _parts(docs: DataFrame, scorer_broadcast) -> DataFrame:
 
     def run(batches):
         one_blas_thread()
+        give_back()
         s: Scorer = scorer_broadcast.value
         words = list(s.words)
         known_words = pa.array(words, pa.binary())
@@ -642,6 +646,8 @@ def _parts(docs: DataFrame, scorer_broadcast) -> DataFrame:
         if waiting:
             scored()
         yield to_batch(out, arrow)
+        out = {}
+        give_back()
 
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, ROWS)
 
