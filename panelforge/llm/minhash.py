@@ -99,7 +99,7 @@ def signatures(docs: DataFrame, *, shingle_words: int = 5, banding: Banding = Ba
 
 
 #: A group within these bounds is compared all with all by one task; of larger ones a task gets two such blocks.
-BLOCK_SETS = 768
+BLOCK_SETS = 256
 BLOCK_SHINGLES = 600_000
 
 
