@@ -189,6 +189,7 @@ def map_batches(df: DataFrame, function, schema: str, *, most: int = BATCH_ROWS)
             for start in range(0, batch.num_rows, most):
                 part = batch.slice(start, most)
                 yield to_batch(function({n: c.to_pylist() for n, c in zip(part.schema.names, part.columns)}), arrow)
+        give_back()
 
     return df.mapInArrow(run, kind)
 
@@ -216,6 +217,7 @@ def extend(docs: DataFrame, text_col: str, keep: list[str] | None, added: str, w
                 arrays = [c if c.type == f.type else c.cast(f.type) for c, f in zip(part.columns[:n], list(arrow)[:n])]
                 arrays += [pa.array(made[f.name], type=f.type) for f in list(arrow)[n:]]
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+        give_back()
 
     return source.mapInArrow(run, result)
 

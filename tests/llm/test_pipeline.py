@@ -88,7 +88,7 @@ def test_toxicity_stage_learned_the_word(spark, tables):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
-@pytest.mark.parametrize("name", ["op1_chat_formatting", "op2_exact_topk", "op8_minhash_dedup", "op10_decontamination"])
+@pytest.mark.parametrize("name", ["op1_chat_formatting", "op2_exact_topk", "op8_minhash_dedup", "op10_decontamination", "op11_source_mix", "op12_centroid_clusters", "op13_fill_in_middle"])
 def test_queries_against_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
@@ -106,5 +106,5 @@ def test_queries_against_sql(spark, name):
 
 def test_all_queries_are_registered():
     names = set(entry.queries())
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op")} == set(range(1, 11)) and "pipeline" in names
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op")} == set(range(1, 14)) and "pipeline" in names
     assert set(entry.oracle_sql()) <= names
