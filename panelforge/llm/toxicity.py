@@ -40,7 +40,7 @@ LEAST = 3
 #: Lengths in bytes of the word beginnings that may become terms.
 PREFIXES = (4, 8)
 #: Training texts whose terms a task holds at once.
-LEARN_ROWS = 200
+LEARN_ROWS = 50
 
 
 def fold(text: str | None) -> str:
@@ -274,11 +274,10 @@ def _learn_from(rows: DataFrame, odds: float, chance: float) -> Lexicon:
     if not toxic:
         return Lexicon()
     found = _passing(folded, odds)
-    dealt = map_batches(folded, lambda b: {"folded": b["folded"], "y": [_dealt(t, toxic / (toxic + clean)) for t in b["folded"]]}, "folded string, y int")
+    dealt = materialise(map_batches(folded, lambda b: {"folded": b["folded"], "y": [_dealt(t, toxic / (toxic + clean)) for t in b["folded"]]}, "folded string, y int"), "dealt")
     by_chance = _passing(dealt, odds)
-    tally = lambda terms: Counter({r.families: r["count"] for r in terms.groupBy("families").count().collect()})
-    need = _need(tally(found), tally(by_chance), chance)
-    kept = [(r.term, r.hits, r.misses) for r in found.where(F.col("families") >= need).collect()]
+    need = _need(*(Counter(f for *_, f in terms) for terms in (found, by_chance)), chance)
+    kept = [(t, h, m) for t, h, m, f in found if f >= need]
     bare = Lexicon(terms=_choose(kept, toxic, clean, PREFIXES[0]))
 
     def phrases(batch: dict) -> dict:
@@ -298,29 +297,25 @@ def _learn_from(rows: DataFrame, odds: float, chance: float) -> Lexicon:
     return lexicon
 
 
-def _passing(folded: DataFrame, odds: float) -> DataFrame:
-    """(term, hits, misses, families) of the terms of ``folded`` (folded, y) in LEAST families of toxic texts and in hardly any
-    other text. Texts are counted where they are; terms of too few families are left out by a join, so the driver
-    gets none of them."""
+def _passing(folded: DataFrame, odds: float) -> list[tuple[str, int, int, int]]:
+    """(term, toxic texts, other texts, families) of the terms of ``folded`` (folded, y) in LEAST families of toxic texts and in
+    hardly any other text. Texts are counted where they are; the driver gets terms of enough families, and their counts."""
 
     def families(batch: dict) -> dict:
         pairs = list(set(_families((t for t, y in zip(batch["folded"], batch["y"], strict=True) if y), PREFIXES)))
         return {"term": [t for t, _ in pairs], "family": [f for _, f in pairs]}
 
-    pairs = map_batches(folded, families, "term string, family bigint", most=LEARN_ROWS)
-    support = pairs.distinct().groupBy("term").agg(F.count(F.lit(1)).alias("families")).where(F.col("families") >= LEAST)
+    pairs = map_batches(folded.where("y = 1"), families, "term string, family bigint", most=LEARN_ROWS)
+    support = {r.term: r.n for r in pairs.distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST).collect()}
+    terms = set(support)
 
     def holding(batch: dict) -> dict:
-        hits: Counter[str] = Counter()
-        misses: Counter[str] = Counter()
-        for text, y in zip(batch["folded"], batch["y"], strict=True):
-            (hits if y else misses).update(_terms_of(set(text.split()), PREFIXES))
-        terms = list(hits.keys() | misses.keys())
-        return {"term": terms, "hits": [hits[t] for t in terms], "misses": [misses[t] for t in terms]}
-
-    counts = map_batches(folded, holding, "term string, hits bigint, misses bigint", most=LEARN_ROWS)
-    sums = counts.groupBy("term").agg(F.sum("hits").alias("hits"), F.sum("misses").alias("misses")).where(F.col("hits") >= odds * F.col("misses"))
-    return materialise(sums.join(support, "term"), "terms")
+        hits, misses = _holding(zip(batch["folded"], batch["y"], strict=True), terms, PREFIXES)
+        found = list(hits.keys() | misses.keys())
+        return {"term": found, "hits": [hits[t] for t in found], "misses": [misses[t] for t in found]}
+
+    sums = map_batches(folded, holding, "term string, hits bigint, misses bigint", most=LEARN_ROWS).groupBy("term").agg(F.sum("hits").alias("hits"), F.sum("misses").alias("misses"))
+    return [(r.term, r.hits, r.misses, support[r.term]) for r in sums.where(F.col("hits") >= odds * F.col("misses")).collect()]
 
 
 def score_toxicity(docs: DataFrame, lexicon: Lexicon, *, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
