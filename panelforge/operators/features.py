@@ -15,6 +15,18 @@ from panelforge.sources.staging import Staging
 
 PRICE_LAG, PRICE_ROWS = 7, 28
 
+# What each builder of this module makes (patterns of whole names), under the group that a store's manifest lists it in.
+MAKES = {
+    "lag_features": ["sales_lag_.*"],
+    "rolling_features": ["rolling_.*"],
+    "calendar_features": [
+        "day_of_year", "quarter", "is_weekend", "is_month_start", "is_month_end", "is_year_start", "is_year_end",
+        "has_event", "has_event_2", "is_snap_day", "days_since_event",
+    ],
+    "price_features": ["price_.*", "is_price_promo"],
+    "label_encoded": [".*_enc"],
+}
+
 
 @dataclass
 class Features:

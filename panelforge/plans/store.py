@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import json
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -11,32 +12,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.functions import schema as S
+from panelforge.operators import features as X
 from panelforge.operators.clean import null_figures, refuse_nulls
 from panelforge.sources import readers
 from panelforge.sources.staging import Staging
 
-# Which columns belong to which group, besides those told by prefix or suffix.
-_CALENDAR = {
-    "date", "wm_yr_wk", "weekday", "wday", "month", "year", "day_of_year", "quarter", "is_weekend", "is_month_start", "is_month_end",
-    "is_year_start", "is_year_end", "has_event", "has_event_2", "is_snap_day", "days_since_event", *S.SNAP_COLUMNS, *S.EVENT_COLUMNS,
-}
+# The panel's own columns by group; what the feature builders make is added to the same groups.
+_GIVEN = {
+    "identifiers": [*S.ID_COLUMNS, "d", "d_int"],
+    "target": ["sales"],
+    "calendar_features": [c for c in S.CALENDAR_COLUMNS if c not in ("d", "d_int")],
+    "price_features": ["sell_price"],
+}
 GROUPS = ["identifiers", "target", "lag_features", "rolling_features", "calendar_features", "price_features", "label_encoded", "other"]
+_NAMES = re.compile("|".join(f"(?P<{g}>{'|'.join([*map(re.escape, _GIVEN.get(g, [])), *X.MAKES.get(g, [])])})" for g in GROUPS[:-1]), re.DOTALL)
 
 
 def group_of(column: str) -> str:
-    if column in (*S.ID_COLUMNS, "d", "d_int"):
-        return "identifiers"
-    if column == "sales":
-        return "target"
-    if column.startswith("sales_lag_"):
-        return "lag_features"
-    if column.startswith("rolling_"):
-        return "rolling_features"
-    if column in _CALENDAR:
-        return "calendar_features"
-    if column in ("sell_price", "is_price_promo") or column.startswith("price_"):
-        return "price_features"
-    return "label_encoded" if column.endswith("_enc") else "other"
+    """The first group of ``GROUPS`` that lists the name."""
+    found = _NAMES.fullmatch(column)
+    return found.lastgroup if found else GROUPS[-1]
 
 
 def feature_groups(columns: Sequence[str]) -> dict[str, list[str]]:

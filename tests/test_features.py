@@ -35,6 +35,12 @@ def test_shape_and_groups(built):
     assert [len(c) for c in st.feature_groups(built.df.columns).values()] == [8, 1, 6, 16, 24, 7, 8, 0]
 
 
+def test_first_group_wins():
+    names = ["d_int", "sales", "sales_lag_99", "rolling_x_enc", "snap_CA", "price_x_enc", "sell_price", "store_id_enc", "sales_x", "quarters", ""]
+    of = ["identifiers", "target", "lag_features", "rolling_features", "calendar_features", "price_features", "price_features", "label_encoded", "other", "other", "other"]
+    assert [st.group_of(n) for n in names] == of
+
+
 def test_lags_and_windows(built):
     rows = {r.d_int: r for r in built.df.where("id = 'a'").collect()}
     assert rows[28].sales_lag_28 == 0 and rows[29].sales_lag_28 == 1.0
