@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -154,8 +157,11 @@ def forest(n: int, pairs: tuple[np.ndarray, np.ndarray]) -> list[tuple[int, int]
         label = least
 
 
-#: Rounds in which a pivot is compared with all of a large group before what is left is compared in blocks.
-PIVOTS = 3
+#: Members of a large group that all of it are compared with, before what is left is compared in blocks (bits of a byte).
+PIVOTS = 8
+
+#: Members of a large group, on average, that tell which shingles are frequent in it and which members are good pivots.
+SAMPLE = 64
 
 
 def near_duplicates(
@@ -167,12 +173,12 @@ def near_duplicates(
     2. Within a table's bucket every class is tied to the bucket's smallest class, its leader: one row per class and
        leader, not per pair. Two classes that meet in any bucket share that bucket's leader.
     3. The sets of a leader's classes are compared exactly, all with all, if they fit into one block. In a larger group
-       all are first compared with the leader, then with a few pivots, each the smallest class outside of the
-       group's largest component so far, while more are outside than one block holds (work that grows with the group,
-       not with its square). Pairs within a component need no comparison any more. The classes outside of the largest
-       meet only those of the group that share one of their rarest shingles (``prefixes``), before so few others that
-       they can still be linked: pages of one template, whose own words are their rarest, share none, or too late. Each
-       such meeting is tied to its smallest class and compared like a bucket, block by block where it is large.
+       all are first compared, in one pass, with a few pivots: the leader and those of a sample that link most of it (work
+       that grows with the group, not with its square). Pairs within a component need no comparison any more. The
+       classes outside of the largest meet only those of the group that share one of their rarest shingles
+       (``prefix``), before so few others that they can still be linked: pages of one template, whose own words are
+       their rarest, share none, or too late. Each such meeting is tied to its smallest class and compared like a
+       bucket, block by block where it is large.
     4. Components are joined over these links and brought back to the documents, whose joins deal out large classes.
 
     Null, empty and blank texts: no shingles, linked with nothing. Whole texts are compared, however long. Rows with one
@@ -183,21 +189,19 @@ def near_duplicates(
     signed = materialise(signatures(docs, shingle_words=shingle_words, banding=banding), "signatures")
     known = signed.where("doc_id is not null and digest is not null")
     reps = known.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "keys")).alias("r")).select("r.*")
-    tables = reps.select("doc_id", F.explode("keys").alias("key"))
+    tables = reps.select("doc_id", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
     leaders = tables.groupBy("key").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last")).where("leader <> last")
-    tied = tables.join(leaders, "key").select("leader", "doc_id").distinct()
-    ties = materialise(tied.join(reps.select("doc_id", F.col("n_shingles").alias("n")), "doc_id").groupBy("leader", "doc_id").agg(F.max("n").alias("n")), "ties")
+    ties = materialise(tables.join(leaders, "key").groupBy("leader", "doc_id").agg(F.max("n").alias("n")), "ties")
     sets = materialise(_shingle_sets(docs, ties.select("doc_id").distinct(), shingle_words), "sets")
 
     sizes = ties.groupBy("leader").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
     blocks = _blocks(F.col("sets"), F.col("shingles"), block_sets, block_shingles)
-    sizes = sizes.select("leader", blocks.alias("blocks"))
-    sized = materialise(spread_join(ties, sizes, ["leader"], ["doc_id"], "inner"), "sized")
-    single = sized.where("blocks = 1").select("leader", "doc_id", F.lit(0).alias("low"), F.lit(0).alias("high"))
+    groups = materialise(sizes.select("leader", "sets", blocks.alias("blocks")).where("blocks > 1"), "groups")
+    some = not groups.isEmpty()
+    single = (ties.join(groups, "leader", "left_anti") if some else ties).select("leader", "doc_id", F.lit(0).alias("low"), F.lit(0).alias("high"))
     links = materialise(_verified(_with_sets(single, sets, ["leader", "low", "high"]), percent), "links")
-    large = sized.where("blocks > 1").select("leader", "doc_id", "n")
-    if not large.isEmpty():
-        links = links.unionByName(_large_links(large, sets, percent, block_sets, block_shingles))
+    if some:
+        links = links.unionByName(_large_links(ties.join(groups, "leader"), sets, percent, block_sets, block_shingles))
 
     classes = known.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     several = known.groupBy("doc_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x <> y")
@@ -215,84 +219,146 @@ def _blocks(sets, shingles, block_sets: int, block_shingles: int):
 
 
 def _large_links(large: DataFrame, sets: DataFrame, percent: int, block_sets: int, block_shingles: int) -> DataFrame:
-    """Links (a, b) that join all linked pairs of each group of ``large`` (leader, doc_id, n), as in ``near_duplicates``."""
-    links = _star(large.select("leader", F.col("leader").alias("pivot"), "doc_id", "n"), sets, percent, block_sets, block_shingles)
-    tried = large.select("leader", F.col("leader").alias("doc_id")).distinct()
-    marked = None
-    for last in [False] * PIVOTS + [True]:
-        if marked is None:
-            named = connected_components(links).select(F.col("node").alias("doc_id"), "component")
-            marked = materialise(spread_join(large, named, ["doc_id"], ["leader"]).select("leader", "doc_id", "n", F.coalesce("component", "doc_id").alias("c")), "marked")
-        main = marked.groupBy("leader", "c").count().groupBy("leader").agg(F.max(F.struct("count", "c")).alias("m")).select("leader", F.col("m.c").alias("main"))
-        outside = spread_join(marked, main, ["leader"], ["doc_id"], "inner")
-        if last:
-            return links.unionByName(_rest(outside, sets, percent, block_sets, block_shingles))
-        fresh = outside.where("c <> main").join(tried, ["leader", "doc_id"], "left_anti")
-        # what fits into one block is compared at once instead
-        many = fresh.groupBy("leader").agg(F.min(F.struct("doc_id", "c")).alias("p"), F.count(F.lit(1)).alias("sets")).where(F.col("sets") > block_sets)
-        pivots = materialise(many.select("leader", F.col("p.doc_id").alias("pivot"), F.col("p.c").alias("pc")), "pivots")
-        if pivots.isEmpty():
-            return links if outside.where("c <> main").isEmpty() else links.unionByName(_rest(outside, sets, percent, block_sets, block_shingles))
-        tried = tried.unionByName(pivots.select("leader", F.col("pivot").alias("doc_id")))
-        asked = spread_join(marked, pivots, ["leader"], ["doc_id"], "inner").where("c <> pc")
-        found = _star(asked.select("leader", "pivot", "doc_id", "n"), sets, percent, block_sets, block_shingles)
-        if not found.isEmpty():  # without new links the components stay as they are
-            links, marked = links.unionByName(found), None
-
-
-def _star(pairs: DataFrame, sets: DataFrame, percent: int, block_sets: int, block_shingles: int) -> DataFrame:
-    """Links (a, b) among ``pairs`` (leader, pivot, doc_id, n): each document against its group's pivot.
-
-    A group is dealt out in parts, each of which gets the pivot's set."""
-    pairs = materialise(pairs.where("pivot <> doc_id"), "pairs")
-    sizes = pairs.groupBy("leader", "pivot").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
-    sizes = sizes.select("leader", "pivot", _blocks(F.col("sets"), F.col("shingles"), block_sets, block_shingles).alias("parts"))
-    members = spread_join(pairs, sizes, ["leader", "pivot"], ["doc_id"], "inner")
-    members = members.select("leader", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int").alias("part"), "doc_id", F.lit(1).alias("role"))
-    heads = sizes.select("leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("pivot").alias("doc_id"), F.lit(0).alias("role"))
-    grouped = _with_sets(members.unionByName(heads), sets, ["leader", "part"], ["role"])
-    arrow = arrow_schema("a bigint, b bigint")
+    """Links (a, b) that join all linked pairs of each group of ``large`` (leader, doc_id, n, sets, blocks), as in
+    ``near_duplicates``.
+
+    Here and in ``_rest``, tables with a row a group or meeting are written before rows are joined with them, so that
+    Spark knows their size: it broadcasts small ones, and can split the rows of a large key in a join with others."""
+    heads = materialise(_heads(large, sets, percent, block_shingles), "heads")
+    marked = materialise(_marked(large, heads, sets, percent), "marked")
+    links = heads.select(F.explode(F.arrays_zip("a", "b")).alias("l")).select("l.a", "l.b")
+    links = links.unionByName(marked.select(F.col("doc_id").alias("a"), F.explode("pivots").alias("b")).where("a <> b"))
+    main = materialise(marked.groupBy("leader", "mask").count().groupBy("leader").applyInPandas(_largest, "leader bigint, main int, outer long"), "main")
+    open_groups = main.where("outer > 0")
+    if open_groups.isEmpty():
+        return links
+    outside = marked.join(open_groups, "leader").withColumn("c", F.when(F.col("mask").bitwiseAND(F.col("main")) != 0, F.col("main")).otherwise(0))
+    return links.unionByName(_rest(outside, sets, percent, block_sets, block_shingles))
+
+
+def _largest(rows):
+    """(leader, main, outer) of the (leader, mask, count) of one group: the labels of its largest component, as bits, and how
+    many are outside of it. A mask has the labels that a class is linked with, and so joins them."""
+    parts: list[int] = []
+    masks = [(int(m), int(n)) for m, n in zip(rows["mask"], rows["count"])]
+    for mask, _ in masks:
+        if mask:
+            parts = [p for p in parts if not p & mask] + [functools.reduce(operator.or_, (p for p in parts if p & mask), mask)]
+    most, main = max((sum(n for m, n in masks if m & p), p) for p in parts)
+    return pd.DataFrame({"leader": rows["leader"].iloc[:1], "main": [main], "outer": [sum(n for _, n in masks) - most]})
+
+
+def pivots(sets: list[np.ndarray], percent: int) -> tuple[list[int], list[int], list[tuple[int, int]]]:
+    """At most PIVOTS of ``sets``, the first one and then always that which links most that none is linked with so far; their
+    labels (the place of the first of a component among them); links that join the components of all sets."""
+    pairs = linked(sets, percent)
+    joined = forest(len(sets), pairs)
+    near = np.eye(len(sets), dtype=bool)
+    near[pairs[0], pairs[1]] = near[pairs[1], pairs[0]] = True
+    chosen, covered = [0], near[0].copy()
+    while len(chosen) < PIVOTS and not covered.all():
+        chosen.append(int(near[:, ~covered].sum(axis=1).argmax()))
+        covered |= near[chosen[-1]]
+    root = dict(joined)
+    roots = [root.get(k, k) for k in chosen]
+    return chosen, [roots.index(r) for r in roots], joined
+
+
+def _heads(large: DataFrame, sets: DataFrame, percent: int, block_shingles: int) -> DataFrame:
+    """A row for each group of ``large`` with what its members need: the shingles that a sample has more than once and how
+    often, and its pivots: ids, labels and sizes, the union of their sets, for each of it the pivots that have it as
+    bits of a byte, and links (a, b) of the sample.
+
+    The sample: about SAMPLE members by a hash of their ids, and the leader. Pivots are taken from as many as hold
+    ``block_shingles``, the leader first."""
+    drawn = large.where((F.pmod(F.xxhash64("doc_id", F.lit(1)), F.ceil(F.col("sets") / SAMPLE)) == 0) | (F.col("doc_id") == F.col("leader")))
+    schema = "leader bigint, blocks int, common binary, ranks binary, pivots array<bigint>, labels array<int>, sizes array<bigint>, values binary, bits binary, a array<bigint>, b array<bigint>"
+    arrow = arrow_schema(schema)
+
+    def close(leader, blocks, ids: list, held: list) -> dict:
+        if not held:
+            return {f.name: [] for f in arrow}
+        shingles, times = np.unique(np.concatenate(held), return_counts=True)
+        often = times > 1
+        first = max(1, int(np.searchsorted(np.cumsum([len(s) for s in held]), block_shingles, "right")))
+        chosen, labels, joined = pivots(held[:first], percent)
+        values, at = np.unique(np.concatenate([held[k] for k in chosen]), return_inverse=True)
+        bits = np.zeros(len(values), dtype=np.uint8)
+        np.bitwise_or.at(bits, at, np.repeat(np.uint8(1) << np.arange(len(chosen), dtype=np.uint8), [len(held[k]) for k in chosen]))
+        made = {"leader": leader, "blocks": blocks, "common": shingles[often].astype("<u8").tobytes(), "ranks": times[often].astype("<i8").tobytes()}
+        made |= {"pivots": [ids[k] for k in chosen], "labels": labels, "sizes": [len(held[k]) for k in chosen], "values": values.astype("<u8").tobytes(), "bits": bits.tobytes()}
+        made |= {"a": [ids[k] for k, _ in joined], "b": [ids[x] for _, x in joined]}
+        return {k: [v] for k, v in made.items()}
 
     def run(batches):
-        group, pivots, out = None, [], {"a": [], "b": []}
+        one_blas_thread()
+        group, ids, held = (None, None), [], []
         for batch in batches:
-            columns = [batch.column(batch.schema.names.index(c)).to_pylist() for c in ("leader", "part", "role", "doc_id", "shingles")]
-            for leader, part, role, doc_id, shingles in zip(*columns):
-                if (leader, part) != group:
-                    group, pivots = (leader, part), []
-                mine = np.frombuffer(shingles, dtype="<u8")
+            for leader, blocks, doc_id, mine in zip(*(batch.column(batch.schema.names.index(c)).to_pylist() for c in ("leader", "blocks", "doc_id", "shingles"))):
+                if leader != group[0]:
+                    yield to_batch(close(*group, ids, held), arrow)
+                    group, ids, held = (leader, blocks), [], []
+                ids.append(doc_id)
+                held.append(np.frombuffer(mine, dtype="<u8"))
+        yield to_batch(close(*group, ids, held), arrow)
+
+    return _with_sets(drawn.select("leader", "blocks", "doc_id"), sets, ["leader"]).select("leader", "blocks", "doc_id", "shingles").mapInArrow(run, schema)
+
+
+def _marked(large: DataFrame, heads: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(leader, doc_id, n, size, mask, pivots, keys) of each set of ``large``: its size, the labels of the pivots that it is
+    linked with, as bits, such a pivot for each label, and its rarest shingles (``prefix``).
+
+    A group is dealt out in parts, each of which gets the group's row of ``heads``; so all members use one order, and no
+    link is missed, whatever was drawn."""
+    held = [f.name for f in heads.schema if f.name not in ("leader", "blocks", "a", "b")]
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in heads.schema if f.name in held]
+    leading = heads.select("leader", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"), F.lit(0).alias("role"), *[F.lit(None).cast(t).alias(c) for c, t in (("doc_id", "bigint"), ("n", "bigint"), ("shingles", "binary"))], *held)
+    dealt = large.select("leader", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("part"), F.lit(1).alias("role"), "doc_id", "n")
+    rows = dealt.join(sets, "doc_id").select("leader", "part", "role", "doc_id", "n", "shingles", *nothing)
+    grouped = leading.unionByName(rows).repartition("leader", "part").sortWithinPartitions("leader", "part", "role", "doc_id")
+    schema = "leader bigint, doc_id bigint, n bigint, size bigint, mask int, pivots array<bigint>, keys array<bigint>"
+    arrow = arrow_schema(schema)
+
+    def run(batches):
+        for batch in batches:
+            out: dict[str, list] = {f.name: [] for f in arrow}
+            names = ("leader", "role", "doc_id", "n", "shingles", *held)
+            for leader, role, doc_id, n, shingles, *more in zip(*(batch.column(batch.schema.names.index(c)).to_pylist() for c in names)):
                 if role == 0:
-                    pivots.append((doc_id, mine))
+                    head = dict(zip(held, more))
+                    common, values = (np.frombuffer(head[c], dtype="<u8") for c in ("common", "values"))
+                    ranks, bits = np.frombuffer(head["ranks"], dtype="<i8"), np.frombuffer(head["bits"], dtype=np.uint8)
+                    sizes = np.array(head["sizes"], dtype=np.int64)
                     continue
-                for pivot, other in pivots:
-                    both = len(np.intersect1d(mine, other, assume_unique=True))
-                    if 100 * both >= percent * (len(mine) + len(other) - both):
-                        out["a"].append(doc_id)
-                        out["b"].append(pivot)
-                        break
+                mine = np.frombuffer(shingles, dtype="<u8")
+                at = np.searchsorted(values, mine)
+                at[at == len(values)] = 0
+                both = np.unpackbits(bits[at[values[at] == mine]][:, None], axis=1, bitorder="little").sum(axis=0, dtype=np.int64)[: len(sizes)]
+                near = np.flatnonzero(100 * both >= percent * (len(mine) + sizes - both)).tolist()
+                linked_with = {head["labels"][k]: head["pivots"][k] for k in near}
+                row = {"leader": leader, "doc_id": doc_id, "n": n, "size": len(mine), "mask": sum(1 << k for k in linked_with), "pivots": list(linked_with.values())}
+                for name, value in (row | {"keys": prefix(mine, common, ranks, percent).view(np.int64)}).items():
+                    out[name].append(value)
             yield to_batch(out, arrow)
-            out = {"a": [], "b": []}
 
-    return materialise(grouped.select("leader", "part", "role", "doc_id", "shingles").mapInArrow(run, "a bigint, b bigint"), "links")
+    return grouped.mapInArrow(run, schema)
 
 
 def _rest(outside: DataFrame, sets: DataFrame, percent: int, block_sets: int, block_shingles: int) -> DataFrame:
     """Links of the classes outside of their group's main component with all of the group that can be linked to them.
-    ``outside``: (leader, doc_id, n, c, main)."""
+    ``outside``: (leader, doc_id, n, size, keys, c, main)."""
     mine = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    members = outside.select("leader", "doc_id", "n", (F.col("c") != F.col("main")).alias("outer"))
-    open_groups = members.where("outer").select("leader").distinct()
-    members = materialise(spread_join(members, open_groups, ["leader"], ["doc_id"], "inner"), "members")
-    keys = prefixes(members, sets, percent, block_sets, block_shingles)
+    keys = outside.select("leader", "doc_id", "n", "size", (F.col("c") != F.col("main")).alias("outer"), F.posexplode("keys").alias("at", "key"))
     ends = (F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.max("outer").alias("any"))
     together = keys.groupBy("leader", "key").agg(F.min("size").alias("least"), *ends).where("first <> last and any").select("leader", "key", "least")
     # two sets whose first shared shingle is this one share none before it, and a linked one has at least so many of them
     other = F.greatest(F.col("least"), F.ceil(F.col("size") * percent / 100))
     enough = F.col("size") - F.col("at") >= F.ceil((F.col("size") + other) * percent / (100 + percent))
-    keys = materialise(spread_join(keys, together, ["leader", "key"], ["doc_id"], "inner").where(enough).drop("least"), "meeting")
+    keys = materialise(keys.join(materialise(together, "together"), ["leader", "key"]).where(enough).drop("least"), "meeting")
     meetings = keys.groupBy("leader", "key").agg(*ends).where("first <> last and any").select("leader", "key", "first")
-    met = spread_join(keys, meetings, ["leader", "key"], ["doc_id"], "inner")
+    met = keys.join(materialise(meetings, "meetings"), ["leader", "key"])
     met = met.groupBy(F.xxhash64("leader", "first").alias("leader"), "doc_id").agg(F.max("n").alias("n"), F.max("outer").alias("outer"))
     met = materialise(met, "met")
     sizes = met.groupBy("leader").agg(
@@ -303,17 +369,13 @@ def _rest(outside: DataFrame, sets: DataFrame, percent: int, block_sets: int, bl
         _blocks(F.col("outer_sets"), F.col("outer_shingles"), block_sets, block_shingles).alias("lows"),
         _blocks(F.col("sets"), F.col("shingles"), block_sets, block_shingles).alias("highs"),
     )
-    placed = spread_join(met, sizes, ["leader"], ["doc_id"], "inner")
-    low = placed.where("outer").select("leader", "doc_id", mine("lows").alias("low"), every("highs").alias("high"))
-    high = placed.select("leader", "doc_id", every("lows").alias("low"), mine("highs").alias("high"))
-    dealt = low.unionByName(high).distinct()
+    placed = met.join(materialise(sizes, "sizes"), "leader")
+    low = placed.where("outer").select("leader", "doc_id", mine("lows").alias("low"), every("highs").alias("high"), F.lit(None).cast("int").alias("own"))
+    high = placed.select("leader", "doc_id", every("lows").alias("low"), mine("highs").alias("high"), F.when(F.col("outer"), mine("lows")).alias("own"))
+    dealt = low.unionByName(high).where("own is null or own <> low").drop("own")
     return materialise(_verified(_with_sets(dealt, sets, ["leader", "low", "high"]), percent), "links")
 
 
-#: Members of a group whose shingles tell which ones are frequent in it.
-SAMPLE = 64
-
-
 def prefix(shingles: np.ndarray, common: np.ndarray, ranks: np.ndarray, percent: int) -> np.ndarray:
     """The rarest shingles of a set, one more than two linked sets can have without the other: if both sets take theirs in
     one order, linked ones share one. The order: by rank (0 for shingles that are not in ``common``, which is
@@ -326,63 +388,6 @@ def prefix(shingles: np.ndarray, common: np.ndarray, ranks: np.ndarray, percent:
     return shingles[np.lexsort((shingles, rank))[:keep]]
 
 
-def prefixes(members: DataFrame, sets: DataFrame, percent: int, block_sets: int, block_shingles: int) -> DataFrame:
-    """(leader, doc_id, n, outer, size, key, at): a row for each of the rarest shingles of each of ``members`` (leader,
-    doc_id, n, outer), with its place in the order and the size of its set.
-
-    How frequent a shingle is in a group is counted in SAMPLE of its sets, those with the smallest hashes, which go with
-    every part that the group is dealt into. All members use the same order, so none is missed, whatever was drawn."""
-    sizes = members.groupBy("leader").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
-    sizes = sizes.select("leader", _blocks(F.col("sets"), F.col("shingles"), block_sets, block_shingles).alias("parts"))
-    drawn = members.groupBy("leader").agg(*[F.min(F.struct(F.xxhash64("doc_id", F.lit(k)), "doc_id")).alias(f"d{k}") for k in range(SAMPLE)])
-    drawn = drawn.select("leader", F.explode(F.array_distinct(F.array(*[F.col(f"d{k}")["doc_id"] for k in range(SAMPLE)]))).alias("doc_id"))
-    arrow = arrow_schema("leader bigint, common binary, ranks binary")
-
-    def count(batches):
-        leader, held = None, []
-
-        def close() -> dict:
-            if leader is None:
-                return {"leader": [], "common": [], "ranks": []}
-            shingles, times = np.unique(np.concatenate(held), return_counts=True)
-            often = times > 1
-            return {"leader": [leader], "common": [shingles[often].astype("<u8").tobytes()], "ranks": [times[often].astype("<i8").tobytes()]}
-
-        for batch in batches:
-            for now, mine in zip(*(batch.column(batch.schema.names.index(c)).to_pylist() for c in ("leader", "shingles"))):
-                if now != leader:
-                    yield to_batch(close(), arrow)
-                    leader, held = now, []
-                held.append(np.frombuffer(mine, dtype="<u8"))
-        yield to_batch(close(), arrow)
-
-    counted = _with_sets(drawn, sets, ["leader"]).select("leader", "shingles").mapInArrow(count, "leader bigint, common binary, ranks binary")
-    heads = counted.join(sizes, "leader").select("leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("bigint").alias("n"), F.lit(None).cast("boolean").alias("outer"), F.col("common").alias("shingles"), "ranks")
-    dealt = spread_join(members, sizes, ["leader"], ["doc_id"], "inner").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
-    rows = dealt.join(sets, "doc_id").select("leader", "part", F.lit(1).alias("role"), "doc_id", "n", "outer", "shingles", F.lit(None).cast("binary").alias("ranks"))
-    grouped = heads.unionByName(rows).repartition("leader", "part").sortWithinPartitions("leader", "part", "role", "doc_id")
-    schema = "leader bigint, doc_id bigint, n bigint, outer boolean, size bigint, key bigint, at bigint"
-    keyed = arrow_schema(schema)
-
-    def cut(batches):
-        common, ranks = np.zeros(0, "<u8"), np.zeros(0, "<i8")
-        for batch in batches:
-            out: dict[str, list] = {f.name: [] for f in keyed}
-            for leader, role, doc_id, n, outer, shingles, more in zip(*(batch.column(batch.schema.names.index(c)).to_pylist() for c in ("leader", "role", "doc_id", "n", "outer", "shingles", "ranks"))):
-                mine = np.frombuffer(shingles, dtype="<u8")
-                if role == 0:
-                    common, ranks = mine, np.frombuffer(more, dtype="<i8")
-                    continue
-                found = prefix(mine, common, ranks, percent).view(np.int64).tolist()
-                for name, value in (("leader", leader), ("doc_id", doc_id), ("n", n), ("outer", outer), ("size", len(mine))):
-                    out[name] += [value] * len(found)
-                out["key"] += found
-                out["at"] += range(len(found))
-            yield to_batch(out, keyed)
-
-    return materialise(grouped.mapInArrow(cut, schema), "prefixes")
-
-
 def _shingle_sets(docs: DataFrame, ids: DataFrame, shingle_words: int) -> DataFrame:
     """(doc_id, shingles) of the documents named in ``ids``: sorted distinct hashes as bytes, a row for each distinct set
     of a doc_id."""
