@@ -201,7 +201,8 @@ def near_duplicates(
     single = (ties.join(groups, "leader", "left_anti") if some else ties).select("leader", "doc_id", F.lit(0).alias("low"), F.lit(0).alias("high"))
     links = materialise(_verified(_with_sets(single, sets, ["leader", "low", "high"]), percent), "links")
     if some:
-        links = links.unionByName(_large_links(ties.join(groups, "leader"), sets, percent, block_sets, block_shingles))
+        large = materialise(ties.join(groups, "leader"), "large")
+        links = links.unionByName(_large_links(large, sets, percent, block_sets, block_shingles))
 
     classes = known.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     several = known.groupBy("doc_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x <> y")
@@ -222,10 +223,11 @@ def _large_links(large: DataFrame, sets: DataFrame, percent: int, block_sets: in
     """Links (a, b) that join all linked pairs of each group of ``large`` (leader, doc_id, n, sets, blocks), as in
     ``near_duplicates``.
 
-    Here and in ``_rest``, tables with a row a group or meeting are written before rows are joined with them, so that
-    Spark knows their size: it broadcasts small ones, and can split the rows of a large key in a join with others."""
-    heads = materialise(_heads(large, sets, percent, block_shingles), "heads")
-    marked = materialise(_marked(large, heads, sets, percent), "marked")
+    Here and in ``_rest``, tables are written before others are joined with them, so that Spark knows their size: it
+    broadcasts small ones (all sets need no shuffle for a few), and can split the rows of a large key in other joins."""
+    large = materialise(large.join(sets, "doc_id"), "large-sets")
+    heads = materialise(_heads(large, percent, block_shingles), "heads")
+    marked = materialise(_marked(large, heads, percent), "marked")
     links = heads.select(F.explode(F.arrays_zip("a", "b")).alias("l")).select("l.a", "l.b")
     links = links.unionByName(marked.select(F.col("doc_id").alias("a"), F.explode("pivots").alias("b")).where("a <> b"))
     main = materialise(marked.groupBy("leader", "mask").count().groupBy("leader").applyInPandas(_largest, "leader bigint, main int, outer long"), "main")
@@ -264,7 +266,7 @@ def pivots(sets: list[np.ndarray], percent: int) -> tuple[list[int], list[int],
     return chosen, [roots.index(r) for r in roots], joined
 
 
-def _heads(large: DataFrame, sets: DataFrame, percent: int, block_shingles: int) -> DataFrame:
+def _heads(large: DataFrame, percent: int, block_shingles: int) -> DataFrame:
     """A row for each group of ``large`` with what its members need: the shingles that a sample has more than once and how
     often, and its pivots: ids, labels and sizes, the union of their sets, for each of it the pivots that have it as
     bits of a byte, and links (a, b) of the sample.
@@ -302,10 +304,10 @@ def _heads(large: DataFrame, sets: DataFrame, percent: int, block_shingles: int)
                 held.append(np.frombuffer(mine, dtype="<u8"))
         yield to_batch(close(*group, ids, held), arrow)
 
-    return _with_sets(drawn.select("leader", "blocks", "doc_id"), sets, ["leader"]).select("leader", "blocks", "doc_id", "shingles").mapInArrow(run, schema)
+    return drawn.select("leader", "blocks", "doc_id", "shingles").repartition("leader").sortWithinPartitions("leader", "doc_id").mapInArrow(run, schema)
 
 
-def _marked(large: DataFrame, heads: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _marked(large: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
     """(leader, doc_id, n, size, mask, pivots, keys) of each set of ``large``: its size, the labels of the pivots that it is
     linked with, as bits, such a pivot for each label, and its rarest shingles (``prefix``).
 
@@ -314,8 +316,7 @@ def _marked(large: DataFrame, heads: DataFrame, sets: DataFrame, percent: int) -
     held = [f.name for f in heads.schema if f.name not in ("leader", "blocks", "a", "b")]
     nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in heads.schema if f.name in held]
     leading = heads.select("leader", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"), F.lit(0).alias("role"), *[F.lit(None).cast(t).alias(c) for c, t in (("doc_id", "bigint"), ("n", "bigint"), ("shingles", "binary"))], *held)
-    dealt = large.select("leader", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("part"), F.lit(1).alias("role"), "doc_id", "n")
-    rows = dealt.join(sets, "doc_id").select("leader", "part", "role", "doc_id", "n", "shingles", *nothing)
+    rows = large.select("leader", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("part"), F.lit(1).alias("role"), "doc_id", "n", "shingles", *nothing)
     grouped = leading.unionByName(rows).repartition("leader", "part").sortWithinPartitions("leader", "part", "role", "doc_id")
     schema = "leader bigint, doc_id bigint, n bigint, size bigint, mask int, pivots array<bigint>, keys array<bigint>"
     arrow = arrow_schema(schema)
@@ -373,6 +374,7 @@ def _rest(outside: DataFrame, sets: DataFrame, percent: int, block_sets: int, bl
     low = placed.where("outer").select("leader", "doc_id", mine("lows").alias("low"), every("highs").alias("high"), F.lit(None).cast("int").alias("own"))
     high = placed.select("leader", "doc_id", every("lows").alias("low"), mine("highs").alias("high"), F.when(F.col("outer"), mine("lows")).alias("own"))
     dealt = low.unionByName(high).where("own is null or own <> low").drop("own")
+    dealt = materialise(dealt, "dealt")
     return materialise(_verified(_with_sets(dealt, sets, ["leader", "low", "high"]), percent), "links")
 
 
